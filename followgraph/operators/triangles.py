@@ -1,0 +1,384 @@
+"""Closed walks of three edges a->b->c->a, listed or counted.
+
+Three policies decide which closed walks count:
+
+``closed``   all of them, also those that visit a node twice over a self-loop
+``no_loop``  those whose 2-path a->b->c does not end where it started
+``strict``   those over three different nodes
+
+A triangle shows up as three closed walks, one from each of its nodes, so a triangle count is
+a third of a walk count, in whole numbers. Repeated edges multiply the walks they are part of.
+
+How a strict walk is found. All edges between two nodes are first merged into one row. Nodes
+are ranked by their number of neighbours, ties by id, and each 2-path is only made at the
+lowest-ranked node of its triangle. A hub then makes next to no paths: with m rows, no node
+has more than sqrt(2m) neighbours ranked above it. Walks over a self-loop need no join at all
+when they are counted: their number follows from per-node sums.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from followgraph.functions import whole_thirds
+from followgraph.functions.columns import WIDE
+from followgraph.plans.skew import (
+    Splits,
+    all_slots,
+    hot_keys,
+    pick_slot,
+    repeat_rows,
+    with_slots,
+)
+from followgraph.plans.strategy import BROADCAST_ROWS, choose, marker
+
+WALKS = ("closed", "no_loop", "strict")
+
+
+def _check(walks: str) -> None:
+    if walks not in WALKS:
+        raise ValueError(f"walks must be one of {WALKS}, not {walks!r}")
+
+
+def _pairs(edges: DataFrame) -> DataFrame:
+    """One row per unordered pair ``a <= b``: edges a->b (``ab``), b->a (``ba``), and, where
+    both ends are the same node, ``own``.
+
+    Every use below reads all five columns and filters on counts only, so that the plans stay
+    alike up to this shuffle and Spark runs it once.
+    """
+    a, b = F.col("follower"), F.col("followee")
+    return edges.groupBy(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).agg(
+        F.count_if(a < b).alias("ab"),
+        F.count_if(a > b).alias("ba"),
+        F.count_if(a == b).alias("own"),
+    )
+
+
+def _neighbours(pairs: DataFrame) -> DataFrame:
+    """``node, degree`` (different neighbours), and whether it has edges in and out."""
+    ends = pairs.filter("own = 0").select(
+        F.expr("stack(2, a, ba > 0, ab > 0, b, ab > 0, ba > 0) AS (node, has_in, has_out)")
+    )
+    return ends.groupBy("node").agg(
+        F.count(F.lit(1)).alias("degree"),
+        F.max("has_in").alias("has_in"),
+        F.max("has_out").alias("has_out"),
+    )
+
+
+def _ranked(pairs: DataFrame, strategy: str, splits: Splits) -> DataFrame:
+    """Pairs turned to point from the lower- to the higher-ranked node: ``low, high`` with
+    their degrees, edges low->high (``up``) and high->low (``down``).
+
+    Nodes that only follow or are only followed cannot be on a cycle; their pairs are dropped.
+    """
+    mark = marker(strategy)
+    nodes = _neighbours(pairs)
+    ranked = pairs.filter("own = 0")
+    cyclic = nodes.filter("has_in AND has_out").select("node", "degree")
+    keys = ["node"]
+    if strategy != "broadcast":
+        hot = hot_keys(nodes, "node", ["degree"], splits)
+        cyclic = with_slots(cyclic, "node", hot).withColumn("slot", all_slots(F.col("degree_slots")))
+        keys.append("slot")
+    for end, other in (("a", "b"), ("b", "a")):
+        left = ranked.withColumn("node", F.col(end))
+        if strategy != "broadcast":
+            left = with_slots(left, end, hot).withColumn(
+                "slot", pick_slot(F.col("degree_slots"), other)
+            )
+        ranked = left.join(mark(cyclic), keys).select(
+            *ranked.columns, F.col("degree").alias(f"{end}_degree")
+        )
+    a_low = F.col("a_degree") <= F.col("b_degree")  # a < b breaks ties
+
+    def pick(yes: str, no: str):
+        return F.when(a_low, F.col(yes)).otherwise(F.col(no))
+
+    return ranked.select(
+        pick("a", "b").alias("low"),
+        pick("b", "a").alias("high"),
+        pick("a_degree", "b_degree").alias("low_degree"),
+        pick("b_degree", "a_degree").alias("high_degree"),
+        pick("ab", "ba").alias("up"),
+        pick("ba", "ab").alias("down"),
+    )
+
+
+def _wedges(ranked: DataFrame, strategy: str, splits: Splits) -> DataFrame:
+    """Pairs of neighbours ``y``, ``z`` above a node ``x``, y ranked below z, that some cycle
+    through x may join: ``via_y`` counts z->x->y, ``via_z`` counts y->x->z.
+
+    Nodes with many neighbours do the work in several slots.
+    """
+    p, q, keys = ranked, ranked, ["low"]
+    if strategy != "broadcast":
+        slots = F.least(F.lit(splits.wedge_fan), F.ceil(F.col("low_degree") / splits.wedge_rows))
+        p = p.withColumn("slot", pick_slot(slots, "high"))
+        q = q.withColumn("slot", all_slots(slots))
+        keys.append("slot")
+    p, q = p.alias("p"), marker(strategy)(q).alias("q")
+    meet = [F.col(f"p.{k}") == F.col(f"q.{k}") for k in keys]
+    meet.append(
+        F.expr(
+            "p.high_degree < q.high_degree OR (p.high_degree = q.high_degree AND p.high < q.high)"
+        )
+    )
+    meet.append(F.expr("(p.up > 0 AND q.down > 0) OR (p.down > 0 AND q.up > 0)"))
+    return p.join(q, meet).select(
+        F.col("p.low").alias("x"),
+        F.col("p.high").alias("y"),
+        F.col("q.high").alias("z"),
+        F.col("p.high_degree").alias("y_degree"),
+        (F.col("p.up") * F.col("q.down")).alias("via_y"),
+        (F.col("p.down") * F.col("q.up")).alias("via_z"),
+    )
+
+
+def _widen(df: DataFrame, columns: list[str], wide: bool) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast(WIDE) for c in columns}) if wide else df
+
+
+def _strict_count(pairs: DataFrame, strategy: str, splits: Splits, wide: bool) -> DataFrame:
+    """One row ``n``: cycles over three different nodes, each counted once.
+
+    The 2-paths between the same two nodes are added up before they are shuffled, so two hubs
+    with all their neighbours in common do not make a hot key.
+    """
+    ranked = _widen(_ranked(pairs, strategy, splits), ["up", "down"], wide)
+    wedges = (
+        _wedges(ranked, strategy, splits)
+        .groupBy("y", "z")
+        .agg(F.sum("via_y").alias("via_y"), F.sum("via_z").alias("via_z"))
+    )
+    closing = ranked.select(F.col("low").alias("y"), F.col("high").alias("z"), "up", "down")
+    cycles = wedges.join(marker(strategy)(closing), ["y", "z"])
+    return cycles.agg(
+        F.coalesce(
+            F.sum(F.col("via_y") * F.col("up") + F.col("via_z") * F.col("down")), F.lit(0)
+        ).alias("n")
+    )
+
+
+def _loop_sums(pairs: DataFrame, wide: bool) -> DataFrame:
+    """One row: ``back``, walks that use one self-loop and go to a neighbour and back, and
+    ``own``, walks that use one self-loop three times."""
+    pairs = _widen(pairs, ["ab", "ba", "own"], wide)
+    zero = F.lit(0).cast(WIDE if wide else "bigint")
+    back = F.col("ab") * F.col("ba")
+
+    def row(node: str, back_column, own_column):
+        return F.struct(
+            F.col(node).alias("node"),
+            back_column.alias("back"),
+            own_column.alias("own"),
+        )
+
+    per_node = (
+        pairs.filter("own > 0 OR (ab > 0 AND ba > 0)")
+        .select(
+            F.inline(
+                F.when(F.col("own") > 0, F.array(row("a", zero, F.col("own")))).otherwise(
+                    F.array(row("a", back, zero), row("b", back, zero))
+                )
+            )
+        )
+        .groupBy("node")
+        .agg(F.sum("back").alias("back"), F.sum("own").alias("own"))
+    )
+    return per_node.agg(
+        F.coalesce(F.sum(F.col("own") * F.col("back")), F.lit(0)).alias("back"),
+        F.coalesce(F.sum(F.col("own") * F.col("own") * F.col("own")), F.lit(0)).alias("own"),
+    )
+
+
+def _totals(edges, walks, strategy, broadcast_rows, splits, wide) -> DataFrame:
+    """One row of sums: ``cycles``, and ``back`` and ``own`` as far as ``walks`` needs them."""
+    strategy = choose(edges, strategy, broadcast_rows)
+    to_type = WIDE if wide else "bigint"
+    pairs = _pairs(edges)
+    zero = F.lit(0).cast(to_type)
+    terms = [
+        _strict_count(pairs, strategy, splits, wide).select(
+            F.col("n").cast(to_type).alias("cycles"), zero.alias("back"), zero.alias("own")
+        )
+    ]
+    if walks != "strict":
+        terms.append(
+            _loop_sums(pairs, wide).select(
+                zero.alias("cycles"), F.col("back").cast(to_type), F.col("own").cast(to_type)
+            )
+        )
+    return reduce(DataFrame.unionAll, terms).agg(
+        *[F.sum(c).cast(to_type).alias(c) for c in ("cycles", "back", "own")]
+    )
+
+
+def walk_counts(
+    edges: DataFrame,
+    *,
+    strategy: str = "auto",
+    broadcast_rows: int = BROADCAST_ROWS,
+    splits: Splits = Splits(),
+    wide: bool = False,
+) -> DataFrame:
+    """One row: ``closed_walks, no_loop_walks, strict_walks``."""
+    totals = _totals(edges, "closed", strategy, broadcast_rows, splits, wide)
+    strict = 3 * F.col("cycles")
+    counts = {
+        "closed_walks": strict + 3 * F.col("back") + F.col("own"),
+        "no_loop_walks": strict + 2 * F.col("back"),
+        "strict_walks": strict,
+    }
+    to_type = WIDE if wide else "bigint"
+    return totals.select(*[c.cast(to_type).alias(name) for name, c in counts.items()])
+
+
+def triangle_count(
+    edges: DataFrame,
+    walks: str = "no_loop",
+    *,
+    strategy: str = "auto",
+    broadcast_rows: int = BROADCAST_ROWS,
+    splits: Splits = Splits(),
+    wide: bool = False,
+) -> DataFrame:
+    """One row, ``triangle_count``: closed walks of the policy divided by three.
+
+    BIGINT, and an error above 2^63 - 1; ``wide`` gives ``decimal(38,0)``.
+    """
+    _check(walks)
+    totals = _totals(edges, walks, strategy, broadcast_rows, splits, wide)
+    cycles, back, own = F.col("cycles"), F.col("back"), F.col("own")
+    if walks == "strict":
+        count = cycles
+    elif walks == "no_loop":
+        count = cycles + whole_thirds(2 * back, wide)
+    else:
+        count = cycles + back + whole_thirds(own, wide)
+    return totals.select(count.cast(WIDE if wide else "bigint").alias("triangle_count"))
+
+
+def _strict_walks(pairs: DataFrame, strategy: str, splits: Splits) -> DataFrame:
+    """``n1, n2, n3, walks``: every strict walk, from each of its three nodes.
+
+    Two hubs may have a hot number of 2-paths between them, and here each is a row of its own.
+    The lower degree of the two bounds that number and both sides know it, so it also gives the
+    slots of the closing join.
+    """
+    ranked = _ranked(pairs, strategy, splits)
+    wedges = _wedges(ranked, strategy, splits)
+    closing = ranked.select(
+        F.col("low").alias("y"), F.col("high").alias("z"), "low_degree", "up", "down"
+    )
+    keys = ["y", "z"]
+    if strategy != "broadcast":
+        def slots(degree: str):
+            return F.ceil(F.col(degree) / splits.rows)
+
+        wedges = wedges.withColumn("slot", pick_slot(slots("y_degree"), "x"))
+        closing = closing.withColumn("slot", all_slots(slots("low_degree")))
+        keys.append("slot")
+
+    def walk(n1: str, n2: str, n3: str, count):
+        return F.struct(
+            F.col(n1).alias("n1"),
+            F.col(n2).alias("n2"),
+            F.col(n3).alias("n3"),
+            count.alias("walks"),
+        )
+
+    one_way = F.col("via_y") * F.col("up")
+    other_way = F.col("via_z") * F.col("down")
+    return (
+        wedges.join(marker(strategy)(closing), keys)
+        .filter(one_way + other_way > 0)
+        .select(
+            F.inline(
+                F.array(
+                    walk("x", "y", "z", one_way),
+                    walk("y", "z", "x", one_way),
+                    walk("z", "x", "y", one_way),
+                    walk("x", "z", "y", other_way),
+                    walk("z", "y", "x", other_way),
+                    walk("y", "x", "z", other_way),
+                )
+            )
+        )
+        .filter("walks > 0")
+    )
+
+
+def _loop_walks(pairs: DataFrame, walks: str, splits: Splits) -> DataFrame:
+    """``n1, n2, n3, walks`` for the walks over a self-loop."""
+    own = pairs.filter("own > 0").select(F.col("a").alias("node"), "own", "ab", "ba")
+    mutual = pairs.filter("own = 0 AND ab > 0 AND ba > 0").select(
+        F.expr("stack(2, a, b, b, a) AS (node, other)"), (F.col("ab") * F.col("ba")).alias("back"), "own"
+    )
+    hot = hot_keys(_neighbours(pairs), "node", ["degree"], splits)
+    mutual = with_slots(mutual, "node", hot).withColumn(
+        "slot", pick_slot(F.col("degree_slots"), "other")
+    )
+    looped = with_slots(own, "node", hot).select(
+        "node", F.col("own").alias("loops"), all_slots(F.col("degree_slots")).alias("slot")
+    )
+    turns = [("node", "node", "other"), ("other", "node", "node")]
+    if walks == "closed":
+        turns.append(("node", "other", "node"))
+    there_and_back = mutual.join(looped, ["node", "slot"]).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        *[F.col(c).alias(f"n{i}") for i, c in enumerate(turn, 1)],
+                        (F.col("back") * F.col("loops")).alias("walks"),
+                    )
+                    for turn in turns
+                ]
+            )
+        )
+    )
+    if walks == "no_loop":
+        return there_and_back
+    thrice = own.select(
+        *[F.col("node").alias(n) for n in ("n1", "n2", "n3")],
+        (F.col("own") * F.col("own") * F.col("own")).alias("walks"),
+    )
+    return there_and_back.unionAll(thrice)
+
+
+def closed_walks(
+    edges: DataFrame,
+    walks: str = "no_loop",
+    *,
+    strategy: str = "auto",
+    broadcast_rows: int = BROADCAST_ROWS,
+    splits: Splits = Splits(),
+) -> DataFrame:
+    """``n1, n2, n3, walks``: each closed walk n1->n2->n3->n1 once, with its number of copies."""
+    _check(walks)
+    strategy = choose(edges, strategy, broadcast_rows)
+    pairs = _pairs(edges)
+    found = _strict_walks(pairs, strategy, splits)
+    if walks != "strict":
+        found = found.unionAll(_loop_walks(pairs, walks, splits))
+    return found
+
+
+def triangles(
+    edges: DataFrame,
+    walks: str = "no_loop",
+    *,
+    strategy: str = "auto",
+    broadcast_rows: int = BROADCAST_ROWS,
+    splits: Splits = Splits(),
+) -> DataFrame:
+    """``n1, n2, n3``: one row per closed walk, so three rows per triangle, times its copies."""
+    found = closed_walks(
+        edges, walks, strategy=strategy, broadcast_rows=broadcast_rows, splits=splits
+    )
+    return repeat_rows(found, "walks", ["n1", "n2", "n3"], splits)

@@ -1,0 +1,40 @@
+"""Join strategies a caller may ask for."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+STRATEGIES = ("auto", "shuffle", "broadcast")
+
+# Edges that may be broadcast on request: about 100 MB of id pairs.
+BROADCAST_ROWS = 4_000_000
+
+
+def choose(edges: DataFrame, strategy: str, broadcast_rows: int) -> str:
+    """Check ``strategy`` and whether a requested broadcast is small enough.
+
+    ``broadcast`` counts the edges (one scan, no shuffle) and turns into ``shuffle`` when there
+    are more than ``broadcast_rows``. No relation an operator broadcasts has more rows than the
+    edge table or twice as many nodes.
+    """
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
+    if strategy == "broadcast" and edges.count() > broadcast_rows:
+        return "shuffle"
+    return strategy
+
+
+def marker(strategy: str) -> Callable[[DataFrame], DataFrame]:
+    """Marks the right side of a join.
+
+    ``auto`` leaves it to the planner and AQE, which broadcast only below their size limits.
+    ``shuffle`` asks for a sort-merge join, the one that spills on both sides.
+    """
+    if strategy == "broadcast":
+        return F.broadcast
+    if strategy == "shuffle":
+        return lambda df: df.hint("merge")
+    return lambda df: df
