@@ -10,7 +10,7 @@ from followgraph.operators.degrees import (
 )
 from followgraph.operators.edges import adjacency, core, multiplicity, reverse, under_max, valid
 from followgraph.operators.paths import two_paths
-from followgraph.operators.triangles import (
+from followgraph.operators.cycles import (
     WALKS,
     closed_walks,
     triangle_count,

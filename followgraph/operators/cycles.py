@@ -29,8 +29,10 @@ from followgraph.plans.skew import (
     Splits,
     all_slots,
     hot_keys,
+    hot_limit,
     pick_slot,
     repeat_rows,
+    slots_for,
     with_slots,
 )
 from followgraph.plans.strategy import BROADCAST_ROWS, choose, marker
@@ -82,8 +84,9 @@ def _ranked(pairs: DataFrame, strategy: str, splits: Splits) -> DataFrame:
     cyclic = nodes.filter("has_in AND has_out").select("node", "degree")
     keys = ["node"]
     if strategy != "broadcast":
-        hot = hot_keys(nodes, "node", ["degree"], splits)
-        cyclic = with_slots(cyclic, "node", hot).withColumn("slot", all_slots(F.col("degree_slots")))
+        limit = hot_limit(nodes, ["degree"], splits)
+        hot = hot_keys(nodes, "node", ["degree"], limit)
+        cyclic = cyclic.withColumn("slot", all_slots(slots_for("degree", limit)))
         keys.append("slot")
     for end, other in (("a", "b"), ("b", "a")):
         left = ranked.withColumn("node", F.col(end))
@@ -147,19 +150,26 @@ def _strict_count(pairs: DataFrame, strategy: str, splits: Splits, wide: bool) -
     """One row ``n``: cycles over three different nodes, each counted once.
 
     The 2-paths between the same two nodes are added up before they are shuffled, so two hubs
-    with all their neighbours in common do not make a hot key.
+    with all their neighbours in common do not make a hot key. The sums are keyed like the
+    pairs are, which therefore need no further shuffle to close the cycles.
     """
     ranked = _widen(_ranked(pairs, strategy, splits), ["up", "down"], wide)
-    wedges = (
+    y_first = F.col("y") < F.col("z")
+    sums = (
         _wedges(ranked, strategy, splits)
-        .groupBy("y", "z")
-        .agg(F.sum("via_y").alias("via_y"), F.sum("via_z").alias("via_z"))
+        .select(
+            F.least("y", "z").alias("a"),
+            F.greatest("y", "z").alias("b"),
+            F.when(y_first, F.col("via_y")).otherwise(F.col("via_z")).alias("need_ab"),
+            F.when(y_first, F.col("via_z")).otherwise(F.col("via_y")).alias("need_ba"),
+        )
+        .groupBy("a", "b")
+        .agg(F.sum("need_ab").alias("need_ab"), F.sum("need_ba").alias("need_ba"))
     )
-    closing = ranked.select(F.col("low").alias("y"), F.col("high").alias("z"), "up", "down")
-    cycles = wedges.join(marker(strategy)(closing), ["y", "z"])
-    return cycles.agg(
+    closing = marker(strategy)(pairs.filter("own = 0"))
+    return sums.join(closing, ["a", "b"]).agg(
         F.coalesce(
-            F.sum(F.col("via_y") * F.col("up") + F.col("via_z") * F.col("down")), F.lit(0)
+            F.sum(F.col("need_ab") * F.col("ab") + F.col("need_ba") * F.col("ba")), F.lit(0)
         ).alias("n")
     )
 
@@ -319,7 +329,8 @@ def _loop_walks(pairs: DataFrame, walks: str, splits: Splits) -> DataFrame:
     mutual = pairs.filter("own = 0 AND ab > 0 AND ba > 0").select(
         F.expr("stack(2, a, b, b, a) AS (node, other)"), (F.col("ab") * F.col("ba")).alias("back"), "own"
     )
-    hot = hot_keys(_neighbours(pairs), "node", ["degree"], splits)
+    nodes = _neighbours(pairs)
+    hot = hot_keys(nodes, "node", ["degree"], hot_limit(nodes, ["degree"], splits))
     mutual = with_slots(mutual, "node", hot).withColumn(
         "slot", pick_slot(F.col("degree_slots"), "other")
     )

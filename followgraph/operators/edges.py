@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from followgraph.functions import below
 from followgraph.operators.degrees import degrees
-from followgraph.plans.skew import Splits, all_slots, hot_keys, pick_slot, with_slots
+from followgraph.plans.skew import (
+    Splits,
+    all_slots,
+    hot_keys,
+    hot_limit,
+    pick_slot,
+    slots_for,
+    with_slots,
+)
 
 
 def valid(edges: DataFrame) -> DataFrame:
@@ -58,17 +66,22 @@ def core(edges: DataFrame, *, splits: Splits = Splits()) -> DataFrame:
     No other edge can be part of a closed walk.
     """
     sizes = degrees(edges)
-    hot = hot_keys(sizes, "node", ["in_degree", "out_degree"], splits)
-    members = with_slots(sizes.filter("in_degree > 0 AND out_degree > 0"), "node", hot)
-
-    def keep(df: DataFrame, end: str, other: str, slots: str) -> DataFrame:
-        side = with_slots(df, end, hot).withColumn("slot", pick_slot(F.col(slots), other, "block"))
-        there = members.select(F.col("node").alias(end), all_slots(F.col(slots)).alias("slot"))
+    limit = hot_limit(sizes, ["in_degree", "out_degree"], splits)
+    members = sizes.filter("in_degree > 0 AND out_degree > 0")
+
+    def keep(df: DataFrame, end: str, other: str, size: str) -> DataFrame:
+        hot = hot_keys(sizes, "node", [size], limit)
+        side = with_slots(df, end, hot).withColumn(
+            "slot", pick_slot(F.col(f"{size}_slots"), other, "block")
+        )
+        there = members.select(
+            F.col("node").alias(end), all_slots(slots_for(size, limit)).alias("slot")
+        )
         return side.join(there, [end, "slot"], "left_semi").select(df.columns)
 
     kept = copies_in_blocks(multiplicity(edges), splits)
-    kept = keep(kept, "follower", "followee", "out_degree_slots")
-    kept = keep(kept, "followee", "follower", "in_degree_slots")
+    kept = keep(kept, "follower", "followee", "out_degree")
+    kept = keep(kept, "followee", "follower", "in_degree")
     one = F.lit(1).cast("bigint")
     return kept.select(
         "follower", "followee", F.explode(F.sequence(one, F.col("copies"))).alias("copy")
@@ -82,17 +95,15 @@ def adjacency(edges: DataFrame, *, splits: Splits = Splits()) -> DataFrame:
     apart by ``part``, so no list grows with the data. Repeated edges are kept as a number.
     """
     distinct = multiplicity(edges)
-    sizes = distinct.groupBy("follower").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("multiplicity").alias("edges")
-    )
-    hot = hot_keys(sizes, "follower", ["n"], splits)
-    long_lists = with_slots(sizes.filter(F.col("n") > splits.list_size), "follower", hot).select(
+    sizes = distinct.groupBy("follower").agg(F.count("multiplicity").alias("n"))
+    limit = hot_limit(sizes, ["n"], splits)
+    long_lists = sizes.filter(F.col("n") > splits.list_size).select(
         "follower",
         F.ceil(F.col("n") / splits.list_size).alias("parts"),
-        all_slots(F.col("n_slots")).alias("slot"),
+        all_slots(slots_for("n", limit)).alias("slot"),
     )
     return (
-        with_slots(distinct, "follower", hot)
+        with_slots(distinct, "follower", hot_keys(sizes, "follower", ["n"], limit))
         .withColumn("slot", pick_slot(F.col("n_slots"), "followee"))
         .join(long_lists, ["follower", "slot"], "left")
         .withColumn("part", pick_slot(F.coalesce(F.col("parts"), F.lit(1)), "followee"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from followgraph.operators.edges import copies_in_blocks, multiplicity
-from followgraph.plans.skew import Splits, all_slots, hot_keys, pick_slot, with_slots
+from followgraph.plans.skew import Splits, all_slots, hot_keys, hot_limit, pick_slot, with_slots
 from followgraph.plans.strategy import BROADCAST_ROWS, choose, marker
 
 
@@ -46,7 +46,8 @@ def two_paths(
             .groupBy("node")
             .agg(F.sum("in").alias("in"), F.sum("out").alias("out"))
         )
-        hot = hot_keys(sizes, "node", ["in", "out"], splits)
+        limit = hot_limit(sizes, ["in", "out"], splits)
+        hot = hot_keys(sizes, "node", ["in", "out"], limit)
         first = (
             with_slots(first, "mid_node", hot)
             .withColumn("in_slot", pick_slot(F.col("in_slots"), "start_node", "block"))

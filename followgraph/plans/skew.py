@@ -41,26 +41,31 @@ class Splits:
     list_size: int = 100_000
 
 
-def hot_keys(sizes: DataFrame, key: str, columns: list[str], splits: Splits) -> DataFrame:
-    """``hot_key`` and, for each size column ``c``, its number of slots ``c_slots``.
+def hot_limit(sizes: DataFrame, columns: list[str], splits: Splits) -> Column:
+    """The size above which a key is hot.
 
-    The limit is a scalar subquery, so nothing runs while the plan is built.
+    A scalar subquery over ``sizes``, so nothing runs while the plan is built.
     """
     total = sizes.agg(
         F.sum(sum((F.col(c) for c in columns), F.lit(0))).alias("total")
     ).scalar()
-    limit = F.greatest(
-        F.lit(splits.rows).cast("bigint"),
-        F.coalesce(F.call_function("div", total, F.lit(splits.max_share)), F.lit(0)) + 1,
-    )
+    share = F.call_function("div", total, F.lit(splits.max_share))
+    return F.greatest(F.lit(splits.rows).cast("bigint"), F.coalesce(share, F.lit(0)) + 1)
+
+
+def slots_for(size: str, limit: Column) -> Column:
+    """Slots of a key with ``size`` rows: one unless it is hot."""
+    return F.greatest(F.lit(1), F.ceil(F.col(size) / limit))
+
+
+def hot_keys(sizes: DataFrame, key: str, columns: list[str], limit: Column) -> DataFrame:
+    """``hot_key`` and, for each size column ``c``, its slots ``c_slots``; hot keys only."""
     hot = F.lit(False)
     for c in columns:
         hot = hot | (F.col(c) > limit)
-    slots = [
-        F.greatest(F.lit(1), F.call_function("div", F.col(c) + limit - 1, limit)).alias(f"{c}_slots")
-        for c in columns
-    ]
-    return sizes.filter(hot).select(F.col(key).alias("hot_key"), *slots)
+    return sizes.filter(hot).select(
+        F.col(key).alias("hot_key"), *[slots_for(c, limit).alias(f"{c}_slots") for c in columns]
+    )
 
 
 def with_slots(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
