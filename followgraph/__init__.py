@@ -6,8 +6,8 @@ gives a DataFrame back; nothing runs until the caller asks for the result.
 
 from followgraph.operators import *  # noqa: F401,F403
 from followgraph.operators import __all__ as _operators
-from followgraph.plans import Splits, plan_text, with_metrics
+from followgraph.plans import STRATEGIES, Splits, plan_text, with_metrics
 from followgraph.sources import *  # noqa: F401,F403
 from followgraph.sources import __all__ as _sources
 
-__all__ = [*_operators, *_sources, "Splits", "plan_text", "with_metrics"]
+__all__ = [*_operators, *_sources, "STRATEGIES", "Splits", "plan_text", "with_metrics"]
