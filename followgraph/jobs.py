@@ -54,10 +54,13 @@ def _triangle_list(edges: DataFrame, args) -> int:
 
 
 def _triangle_count(edges: DataFrame, args) -> int:
-    count = fg.triangle_count(edges, args.walks, strategy=args.strategy, wide=args.wide)
+    count, seen = fg.with_metrics(
+        fg.triangle_count(edges, args.walks, strategy=args.strategy, wide=args.wide),
+        "triangle_count",
+        count=F.max("triangle_count"),
+    )
     fg.write_scalar(count, args.output, mode=args.mode)
-    (line,) = edges.sparkSession.read.text(args.output).head(1)
-    return int(line.value)
+    return int(seen.get["count"])
 
 
 JOBS = {
