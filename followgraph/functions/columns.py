@@ -13,6 +13,15 @@ def divisible_by(column: str, modulus: int) -> Column:
     return F.col(column) % F.lit(modulus) == 0
 
 
+def both_ends() -> Column:
+    """True for edges that have both ends.
+
+    Written as two IS NOT NULL tests, which reach the scan. Joins imply the same tests, and where
+    they are there already, the inputs of several joins stay alike and share one shuffle.
+    """
+    return F.col("follower").isNotNull() & F.col("followee").isNotNull()
+
+
 def below(max_id: int) -> Column:
     """True for edges whose ends are both strictly below ``max_id``."""
     return (F.col("follower") < max_id) & (F.col("followee") < max_id)

@@ -25,17 +25,17 @@ from pyspark.sql import functions as F
 
 from followgraph.functions import whole_thirds
 from followgraph.functions.columns import WIDE
+from followgraph.operators.edges import keep_core, valid
+from followgraph.plans.route import Limits, Route, route
 from followgraph.plans.skew import (
-    Splits,
     all_slots,
     hot_keys,
-    hot_limit,
+    long,
     pick_slot,
     repeat_rows,
     slots_for,
     with_slots,
 )
-from followgraph.plans.strategy import BROADCAST_ROWS, choose, marker
 
 WALKS = ("closed", "no_loop", "strict")
 
@@ -50,13 +50,20 @@ def _pairs(edges: DataFrame) -> DataFrame:
     both ends are the same node, ``own``.
 
     Every use below reads all five columns and filters on counts only, so that the plans stay
-    alike up to this shuffle and Spark runs it once.
+    alike up to this shuffle and Spark runs it once. For the same reason ``a`` and ``b`` are
+    tested for null here, as the joins on them would do.
     """
     a, b = F.col("follower"), F.col("followee")
-    return edges.groupBy(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).agg(
-        F.count_if(a < b).alias("ab"),
-        F.count_if(a > b).alias("ba"),
-        F.count_if(a == b).alias("own"),
+    return (
+        valid(edges)
+        .select(a, b, F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+        .filter("a IS NOT NULL AND b IS NOT NULL")
+        .groupBy("a", "b")
+        .agg(
+            F.count_if(a < b).alias("ab"),
+            F.count_if(a > b).alias("ba"),
+            F.count_if(a == b).alias("own"),
+        )
     )
 
 
@@ -72,29 +79,27 @@ def _neighbours(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _ranked(pairs: DataFrame, strategy: str, splits: Splits) -> DataFrame:
+def _ranked(pairs: DataFrame, way: Route) -> DataFrame:
     """Pairs turned to point from the lower- to the higher-ranked node: ``low, high`` with
     their degrees, edges low->high (``up``) and high->low (``down``).
 
     Nodes that only follow or are only followed cannot be on a cycle; their pairs are dropped.
     """
-    mark = marker(strategy)
     nodes = _neighbours(pairs)
-    ranked = pairs.filter("own = 0")
     cyclic = nodes.filter("has_in AND has_out").select("node", "degree")
     keys = ["node"]
-    if strategy != "broadcast":
-        limit = hot_limit(nodes, ["degree"], splits)
-        hot = hot_keys(nodes, "node", ["degree"], limit)
-        cyclic = cyclic.withColumn("slot", all_slots(slots_for("degree", limit)))
+    if way.split:
+        hot = hot_keys(nodes, "node", ["degree"], way.hot_limit)
+        cyclic = cyclic.withColumn("slot", all_slots(slots_for("degree", way.hot_limit)))
         keys.append("slot")
+    ranked = pairs.filter("own = 0").drop("own")
     for end, other in (("a", "b"), ("b", "a")):
         left = ranked.withColumn("node", F.col(end))
-        if strategy != "broadcast":
+        if way.split:
             left = with_slots(left, end, hot).withColumn(
                 "slot", pick_slot(F.col("degree_slots"), other)
             )
-        ranked = left.join(mark(cyclic), keys).select(
+        ranked = left.join(way.mark(cyclic), keys).select(
             *ranked.columns, F.col("degree").alias(f"{end}_degree")
         )
     a_low = F.col("a_degree") <= F.col("b_degree")  # a < b breaks ties
@@ -112,19 +117,22 @@ def _ranked(pairs: DataFrame, strategy: str, splits: Splits) -> DataFrame:
     )
 
 
-def _wedges(ranked: DataFrame, strategy: str, splits: Splits) -> DataFrame:
+def _wedges(ranked: DataFrame, way: Route) -> DataFrame:
     """Pairs of neighbours ``y``, ``z`` above a node ``x``, y ranked below z, that some cycle
     through x may join: ``via_y`` counts z->x->y, ``via_z`` counts y->x->z.
 
-    Nodes with many neighbours do the work in several slots.
+    In a large graph the nodes with many neighbours do this in several slots.
     """
     p, q, keys = ranked, ranked, ["low"]
-    if strategy != "broadcast":
-        slots = F.least(F.lit(splits.wedge_fan), F.ceil(F.col("low_degree") / splits.wedge_rows))
+    if way.split:
+        slots = F.least(
+            long(way.limits.wedge_fan),
+            slots_for("low_degree", way.limits.wedge_rows),
+        )
         p = p.withColumn("slot", pick_slot(slots, "high"))
         q = q.withColumn("slot", all_slots(slots))
         keys.append("slot")
-    p, q = p.alias("p"), marker(strategy)(q).alias("q")
+    p, q = p.alias("p"), way.mark(q).alias("q")
     meet = [F.col(f"p.{k}") == F.col(f"q.{k}") for k in keys]
     meet.append(
         F.expr(
@@ -146,32 +154,34 @@ def _widen(df: DataFrame, columns: list[str], wide: bool) -> DataFrame:
     return df.withColumns({c: F.col(c).cast(WIDE) for c in columns}) if wide else df
 
 
-def _strict_count(pairs: DataFrame, strategy: str, splits: Splits, wide: bool) -> DataFrame:
+def _strict_count(pairs: DataFrame, way: Route, wide: bool) -> DataFrame:
     """One row ``n``: cycles over three different nodes, each counted once.
 
-    The 2-paths between the same two nodes are added up before they are shuffled, so two hubs
-    with all their neighbours in common do not make a hot key. The sums are keyed like the
-    pairs are, which therefore need no further shuffle to close the cycles.
+    When rows are sent by key, the 2-paths between the same two nodes are added up before the
+    shuffle, so two hubs with all their neighbours in common do not make a hot key. The sums
+    are keyed like the pairs are, which therefore close the cycles without being moved again.
     """
-    ranked = _widen(_ranked(pairs, strategy, splits), ["up", "down"], wide)
-    y_first = F.col("y") < F.col("z")
-    sums = (
-        _wedges(ranked, strategy, splits)
-        .select(
-            F.least("y", "z").alias("a"),
-            F.greatest("y", "z").alias("b"),
-            F.when(y_first, F.col("via_y")).otherwise(F.col("via_z")).alias("need_ab"),
-            F.when(y_first, F.col("via_z")).otherwise(F.col("via_y")).alias("need_ba"),
+    ranked = _widen(_ranked(pairs, way), ["up", "down"], wide)
+    wedges = _wedges(ranked, way)
+    if way.broadcast:
+        closing = ranked.select(F.col("low").alias("y"), F.col("high").alias("z"), "up", "down")
+        closed = wedges.join(way.mark(closing), ["y", "z"])
+        n = F.col("via_y") * F.col("up") + F.col("via_z") * F.col("down")
+    else:
+        y_first = F.col("y") < F.col("z")
+        sums = (
+            wedges.select(
+                F.least("y", "z").alias("a"),
+                F.greatest("y", "z").alias("b"),
+                F.when(y_first, F.col("via_y")).otherwise(F.col("via_z")).alias("need_ab"),
+                F.when(y_first, F.col("via_z")).otherwise(F.col("via_y")).alias("need_ba"),
+            )
+            .groupBy("a", "b")
+            .agg(F.sum("need_ab").alias("need_ab"), F.sum("need_ba").alias("need_ba"))
         )
-        .groupBy("a", "b")
-        .agg(F.sum("need_ab").alias("need_ab"), F.sum("need_ba").alias("need_ba"))
-    )
-    closing = marker(strategy)(pairs.filter("own = 0"))
-    return sums.join(closing, ["a", "b"]).agg(
-        F.coalesce(
-            F.sum(F.col("need_ab") * F.col("ab") + F.col("need_ba") * F.col("ba")), F.lit(0)
-        ).alias("n")
-    )
+        closed = sums.join(way.mark(pairs.filter("own = 0")), ["a", "b"])
+        n = F.col("need_ab") * F.col("ab") + F.col("need_ba") * F.col("ba")
+    return closed.agg(F.coalesce(F.sum(n), F.lit(0)).alias("n"))
 
 
 def _loop_sums(pairs: DataFrame, wide: bool) -> DataFrame:
@@ -206,14 +216,19 @@ def _loop_sums(pairs: DataFrame, wide: bool) -> DataFrame:
     )
 
 
-def _totals(edges, walks, strategy, broadcast_rows, splits, wide) -> DataFrame:
+def _start(edges: DataFrame, strategy: str, limits: Limits, edge_rows: int | None):
+    """The merged pairs and the route. Where whole relations may be broadcast, edges that
+    cannot be on a walk are dropped before anything is shuffled."""
+    way = route(edges, strategy, limits, edge_rows)
+    return _pairs(keep_core(edges, way) if way.broadcast else edges), way
+
+
+def _totals(pairs: DataFrame, way: Route, walks: str, wide: bool) -> DataFrame:
     """One row of sums: ``cycles``, and ``back`` and ``own`` as far as ``walks`` needs them."""
-    strategy = choose(edges, strategy, broadcast_rows)
     to_type = WIDE if wide else "bigint"
-    pairs = _pairs(edges)
     zero = F.lit(0).cast(to_type)
     terms = [
-        _strict_count(pairs, strategy, splits, wide).select(
+        _strict_count(pairs, way, wide).select(
             F.col("n").cast(to_type).alias("cycles"), zero.alias("back"), zero.alias("own")
         )
     ]
@@ -232,12 +247,12 @@ def walk_counts(
     edges: DataFrame,
     *,
     strategy: str = "auto",
-    broadcast_rows: int = BROADCAST_ROWS,
-    splits: Splits = Splits(),
+    limits: Limits = Limits(),
+    edge_rows: int | None = None,
     wide: bool = False,
 ) -> DataFrame:
     """One row: ``closed_walks, no_loop_walks, strict_walks``."""
-    totals = _totals(edges, "closed", strategy, broadcast_rows, splits, wide)
+    totals = _totals(*_start(edges, strategy, limits, edge_rows), "closed", wide)
     strict = 3 * F.col("cycles")
     counts = {
         "closed_walks": strict + 3 * F.col("back") + F.col("own"),
@@ -253,8 +268,8 @@ def triangle_count(
     walks: str = "no_loop",
     *,
     strategy: str = "auto",
-    broadcast_rows: int = BROADCAST_ROWS,
-    splits: Splits = Splits(),
+    limits: Limits = Limits(),
+    edge_rows: int | None = None,
     wide: bool = False,
 ) -> DataFrame:
     """One row, ``triangle_count``: closed walks of the policy divided by three.
@@ -262,7 +277,7 @@ def triangle_count(
     BIGINT, and an error above 2^63 - 1; ``wide`` gives ``decimal(38,0)``.
     """
     _check(walks)
-    totals = _totals(edges, walks, strategy, broadcast_rows, splits, wide)
+    totals = _totals(*_start(edges, strategy, limits, edge_rows), walks, wide)
     cycles, back, own = F.col("cycles"), F.col("back"), F.col("own")
     if walks == "strict":
         count = cycles
@@ -273,25 +288,23 @@ def triangle_count(
     return totals.select(count.cast(WIDE if wide else "bigint").alias("triangle_count"))
 
 
-def _strict_walks(pairs: DataFrame, strategy: str, splits: Splits) -> DataFrame:
+def _strict_walks(pairs: DataFrame, way: Route) -> DataFrame:
     """``n1, n2, n3, walks``: every strict walk, from each of its three nodes.
 
     Two hubs may have a hot number of 2-paths between them, and here each is a row of its own.
     The lower degree of the two bounds that number and both sides know it, so it also gives the
     slots of the closing join.
     """
-    ranked = _ranked(pairs, strategy, splits)
-    wedges = _wedges(ranked, strategy, splits)
+    ranked = _ranked(pairs, way)
+    wedges = _wedges(ranked, way)
     closing = ranked.select(
         F.col("low").alias("y"), F.col("high").alias("z"), "low_degree", "up", "down"
     )
     keys = ["y", "z"]
-    if strategy != "broadcast":
-        def slots(degree: str):
-            return F.ceil(F.col(degree) / splits.rows)
-
-        wedges = wedges.withColumn("slot", pick_slot(slots("y_degree"), "x"))
-        closing = closing.withColumn("slot", all_slots(slots("low_degree")))
+    if way.split:
+        most = way.limits.rows
+        wedges = wedges.withColumn("slot", pick_slot(slots_for("y_degree", most), "x"))
+        closing = closing.withColumn("slot", all_slots(slots_for("low_degree", most)))
         keys.append("slot")
 
     def walk(n1: str, n2: str, n3: str, count):
@@ -305,7 +318,7 @@ def _strict_walks(pairs: DataFrame, strategy: str, splits: Splits) -> DataFrame:
     one_way = F.col("via_y") * F.col("up")
     other_way = F.col("via_z") * F.col("down")
     return (
-        wedges.join(marker(strategy)(closing), keys)
+        wedges.join(way.mark(closing), keys)
         .filter(one_way + other_way > 0)
         .select(
             F.inline(
@@ -323,24 +336,25 @@ def _strict_walks(pairs: DataFrame, strategy: str, splits: Splits) -> DataFrame:
     )
 
 
-def _loop_walks(pairs: DataFrame, walks: str, splits: Splits) -> DataFrame:
+def _loop_walks(pairs: DataFrame, way: Route, walks: str) -> DataFrame:
     """``n1, n2, n3, walks`` for the walks over a self-loop."""
-    own = pairs.filter("own > 0").select(F.col("a").alias("node"), "own", "ab", "ba")
+    # ab and ba are always 0 here; naming them keeps the plan of the pairs the same (see _pairs)
+    own = pairs.filter("own > 0 AND ab = 0 AND ba = 0").select(F.col("a").alias("node"), F.col("own").alias("loops"))
     mutual = pairs.filter("own = 0 AND ab > 0 AND ba > 0").select(
-        F.expr("stack(2, a, b, b, a) AS (node, other)"), (F.col("ab") * F.col("ba")).alias("back"), "own"
-    )
-    nodes = _neighbours(pairs)
-    hot = hot_keys(nodes, "node", ["degree"], hot_limit(nodes, ["degree"], splits))
-    mutual = with_slots(mutual, "node", hot).withColumn(
-        "slot", pick_slot(F.col("degree_slots"), "other")
-    )
-    looped = with_slots(own, "node", hot).select(
-        "node", F.col("own").alias("loops"), all_slots(F.col("degree_slots")).alias("slot")
+        F.expr("stack(2, a, b, b, a) AS (node, other)"), (F.col("ab") * F.col("ba")).alias("back")
     )
+    looped, keys = own, ["node"]
+    if way.split:
+        hot = hot_keys(_neighbours(pairs), "node", ["degree"], way.hot_limit)
+        mutual = with_slots(mutual, "node", hot).withColumn(
+            "slot", pick_slot(F.col("degree_slots"), "other")
+        )
+        looped = with_slots(own, "node", hot).withColumn("slot", all_slots(F.col("degree_slots")))
+        keys.append("slot")
     turns = [("node", "node", "other"), ("other", "node", "node")]
     if walks == "closed":
         turns.append(("node", "other", "node"))
-    there_and_back = mutual.join(looped, ["node", "slot"]).select(
+    there_and_back = mutual.join(way.mark(looped), keys).select(
         F.inline(
             F.array(
                 *[
@@ -357,7 +371,7 @@ def _loop_walks(pairs: DataFrame, walks: str, splits: Splits) -> DataFrame:
         return there_and_back
     thrice = own.select(
         *[F.col("node").alias(n) for n in ("n1", "n2", "n3")],
-        (F.col("own") * F.col("own") * F.col("own")).alias("walks"),
+        (F.col("loops") * F.col("loops") * F.col("loops")).alias("walks"),
     )
     return there_and_back.unionAll(thrice)
 
@@ -367,17 +381,14 @@ def closed_walks(
     walks: str = "no_loop",
     *,
     strategy: str = "auto",
-    broadcast_rows: int = BROADCAST_ROWS,
-    splits: Splits = Splits(),
+    limits: Limits = Limits(),
+    edge_rows: int | None = None,
 ) -> DataFrame:
     """``n1, n2, n3, walks``: each closed walk n1->n2->n3->n1 once, with its number of copies."""
     _check(walks)
-    strategy = choose(edges, strategy, broadcast_rows)
-    pairs = _pairs(edges)
-    found = _strict_walks(pairs, strategy, splits)
-    if walks != "strict":
-        found = found.unionAll(_loop_walks(pairs, walks, splits))
-    return found
+    pairs, way = _start(edges, strategy, limits, edge_rows)
+    found = _strict_walks(pairs, way)
+    return found if walks == "strict" else found.unionAll(_loop_walks(pairs, way, walks))
 
 
 def triangles(
@@ -385,11 +396,9 @@ def triangles(
     walks: str = "no_loop",
     *,
     strategy: str = "auto",
-    broadcast_rows: int = BROADCAST_ROWS,
-    splits: Splits = Splits(),
+    limits: Limits = Limits(),
+    edge_rows: int | None = None,
 ) -> DataFrame:
     """``n1, n2, n3``: one row per closed walk, so three rows per triangle, times its copies."""
-    found = closed_walks(
-        edges, walks, strategy=strategy, broadcast_rows=broadcast_rows, splits=splits
-    )
-    return repeat_rows(found, "walks", ["n1", "n2", "n3"], splits)
+    found = closed_walks(edges, walks, strategy=strategy, limits=limits, edge_rows=edge_rows)
+    return repeat_rows(found, "walks", ["n1", "n2", "n3"], limits.repeats)

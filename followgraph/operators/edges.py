@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from followgraph.functions import below
+from followgraph.functions import below, both_ends
 from followgraph.operators.degrees import degrees
+from followgraph.plans.route import Limits, Route, route
 from followgraph.plans.skew import (
-    Splits,
     all_slots,
     hot_keys,
-    hot_limit,
+    long,
     pick_slot,
     slots_for,
     with_slots,
@@ -20,7 +20,7 @@ from followgraph.plans.skew import (
 
 def valid(edges: DataFrame) -> DataFrame:
     """Edges that have both ends."""
-    return edges.dropna(subset=["follower", "followee"])
+    return edges.filter(both_ends())
 
 
 def under_max(edges: DataFrame, max_id: int | None) -> DataFrame:
@@ -39,20 +39,18 @@ def multiplicity(edges: DataFrame) -> DataFrame:
     The key is the whole edge and counts are combined before the shuffle, so neither a hub nor
     an edge repeated without end makes a large partition.
     """
-    return edges.groupBy("follower", "followee").agg(F.count(F.lit(1)).alias("multiplicity"))
+    return valid(edges).groupBy("follower", "followee").agg(F.count(F.lit(1)).alias("multiplicity"))
 
 
-def copies_in_blocks(distinct: DataFrame, splits: Splits) -> DataFrame:
-    """``multiplicity`` rows cut so that no row stands for more than ``splits.copies`` edges.
+def copies_in_blocks(distinct: DataFrame, most: int) -> DataFrame:
+    """``multiplicity`` rows cut so that no row stands for more than ``most`` edges.
 
     Adds ``block`` and ``copies``. A hash that includes ``block`` can then spread even the
     copies of one single edge.
     """
-    size = F.lit(splits.copies).cast("bigint")
+    size = long(most)
     last = F.call_function("div", F.col("multiplicity") - 1, size)
-    return distinct.select(
-        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("block")
-    ).select(
+    return distinct.select("*", F.explode(F.sequence(long(0), last)).alias("block")).select(
         "follower",
         "followee",
         "block",
@@ -60,53 +58,75 @@ def copies_in_blocks(distinct: DataFrame, splits: Splits) -> DataFrame:
     )
 
 
-def core(edges: DataFrame, *, splits: Splits = Splits()) -> DataFrame:
-    """Edges whose ends both follow somebody and are followed by somebody.
-
-    No other edge can be part of a closed walk.
-    """
+def keep_core(edges: DataFrame, way: Route) -> DataFrame:
+    """``core`` on a given route."""
     sizes = degrees(edges)
-    limit = hot_limit(sizes, ["in_degree", "out_degree"], splits)
     members = sizes.filter("in_degree > 0 AND out_degree > 0")
-
-    def keep(df: DataFrame, end: str, other: str, size: str) -> DataFrame:
-        hot = hot_keys(sizes, "node", [size], limit)
-        side = with_slots(df, end, hot).withColumn(
+    ends = [("follower", "followee", "out_degree"), ("followee", "follower", "in_degree")]
+    kept = edges
+    if not way.split:
+        for end, _, _ in ends:
+            there = members.select(F.col("node").alias(end))
+            kept = kept.join(way.mark(there), [end], "left_semi")
+        return kept.select("follower", "followee")
+    kept = copies_in_blocks(multiplicity(edges), way.limits.copies)
+    for end, other, size in ends:
+        hot = hot_keys(sizes, "node", [size], way.hot_limit)
+        side = with_slots(kept, end, hot).withColumn(
             "slot", pick_slot(F.col(f"{size}_slots"), other, "block")
         )
         there = members.select(
-            F.col("node").alias(end), all_slots(slots_for(size, limit)).alias("slot")
+            F.col("node").alias(end), all_slots(slots_for(size, way.hot_limit)).alias("slot")
         )
-        return side.join(there, [end, "slot"], "left_semi").select(df.columns)
-
-    kept = copies_in_blocks(multiplicity(edges), splits)
-    kept = keep(kept, "follower", "followee", "out_degree")
-    kept = keep(kept, "followee", "follower", "in_degree")
-    one = F.lit(1).cast("bigint")
+        kept = side.join(way.mark(there), [end, "slot"], "left_semi").select(kept.columns)
     return kept.select(
-        "follower", "followee", F.explode(F.sequence(one, F.col("copies"))).alias("copy")
+        "follower", "followee", F.explode(F.sequence(long(1), F.col("copies"))).alias("copy")
     ).drop("copy")
 
 
-def adjacency(edges: DataFrame, *, splits: Splits = Splits()) -> DataFrame:
+def core(
+    edges: DataFrame,
+    *,
+    strategy: str = "auto",
+    limits: Limits = Limits(),
+    edge_rows: int | None = None,
+) -> DataFrame:
+    """Edges whose ends both follow somebody and are followed by somebody.
+
+    No other edge can be part of a closed walk.
+    """
+    return keep_core(edges, route(edges, strategy, limits, edge_rows))
+
+
+def adjacency(
+    edges: DataFrame, *, limits: Limits = Limits(), edge_rows: int | None = None
+) -> DataFrame:
     """Adjacency lists: ``follower, part, followees: array<struct<followee, multiplicity>>``.
 
-    A follower with more than ``splits.list_size`` distinct followees gets several rows, told
+    A follower with more than ``limits.list_size`` distinct followees gets several rows, told
     apart by ``part``, so no list grows with the data. Repeated edges are kept as a number.
     """
+    way = route(edges, "auto", limits, edge_rows)
     distinct = multiplicity(edges)
-    sizes = distinct.groupBy("follower").agg(F.count("multiplicity").alias("n"))
-    limit = hot_limit(sizes, ["n"], splits)
-    long_lists = sizes.filter(F.col("n") > splits.list_size).select(
-        "follower",
-        F.ceil(F.col("n") / splits.list_size).alias("parts"),
-        all_slots(slots_for("n", limit)).alias("slot"),
-    )
-    return (
-        with_slots(distinct, "follower", hot_keys(sizes, "follower", ["n"], limit))
-        .withColumn("slot", pick_slot(F.col("n_slots"), "followee"))
-        .join(long_lists, ["follower", "slot"], "left")
-        .withColumn("part", pick_slot(F.coalesce(F.col("parts"), F.lit(1)), "followee"))
-        .groupBy("follower", "part")
-        .agg(F.collect_list(F.struct("followee", "multiplicity")).alias("followees"))
+    if way.edge_rows <= limits.list_size:
+        parted = distinct.withColumn("part", long(0))
+    else:
+        sizes = distinct.groupBy("follower").agg(F.count("multiplicity").alias("n"))
+        parts = F.ceil(F.col("n") / limits.list_size).alias("parts")
+        long_lists = sizes.filter(F.col("n") > limits.list_size)
+        if way.split:
+            long_lists = long_lists.select(
+                "follower", parts, all_slots(slots_for("n", way.hot_limit)).alias("slot")
+            )
+            parted = (
+                with_slots(distinct, "follower", hot_keys(sizes, "follower", ["n"], way.hot_limit))
+                .withColumn("slot", pick_slot(F.col("n_slots"), "followee"))
+                .join(way.mark(long_lists), ["follower", "slot"], "left")
+            )
+        else:
+            long_lists = long_lists.select("follower", parts)
+            parted = distinct.join(way.mark(long_lists), "follower", "left")
+        parted = parted.withColumn("part", pick_slot(F.coalesce(F.col("parts"), long(1)), "followee"))
+    return parted.groupBy("follower", "part").agg(
+        F.collect_list(F.struct("followee", "multiplicity")).alias("followees")
     )

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from followgraph.operators.edges import copies_in_blocks, multiplicity
-from followgraph.plans.skew import Splits, all_slots, hot_keys, hot_limit, pick_slot, with_slots
-from followgraph.plans.strategy import BROADCAST_ROWS, choose, marker
+from followgraph.plans.route import Limits, route
+from followgraph.plans.skew import all_slots, hot_keys, long, pick_slot, with_slots
 
 
 def two_paths(
@@ -15,8 +15,8 @@ def two_paths(
     *,
     loops: bool = True,
     strategy: str = "auto",
-    broadcast_rows: int = BROADCAST_ROWS,
-    splits: Splits = Splits(),
+    limits: Limits = Limits(),
+    edge_rows: int | None = None,
 ) -> DataFrame:
     """``start_node, mid_node, end_node`` for every pair of edges a->b, b->c.
 
@@ -25,9 +25,9 @@ def two_paths(
     slots: its incoming edges choose a row of the grid and are sent to all columns, its outgoing
     edges choose a column and are sent to all rows.
     """
-    strategy = choose(edges, strategy, broadcast_rows)
+    way = route(edges, strategy, limits, edge_rows)
     distinct = multiplicity(edges)
-    steps = copies_in_blocks(distinct, splits)
+    steps = copies_in_blocks(distinct, limits.copies)
     first = steps.select(
         F.col("follower").alias("start_node"), F.col("followee").alias("mid_node"), "block", "copies"
     )
@@ -35,7 +35,7 @@ def two_paths(
         F.col("followee").alias("end_node"), F.col("follower").alias("mid_node"), "block", "copies"
     )
     keys = ["mid_node"]
-    if strategy != "broadcast":  # nothing is sent by key in a broadcast join
+    if way.split:
         sizes = (
             distinct.select(
                 F.expr(
@@ -46,8 +46,7 @@ def two_paths(
             .groupBy("node")
             .agg(F.sum("in").alias("in"), F.sum("out").alias("out"))
         )
-        limit = hot_limit(sizes, ["in", "out"], splits)
-        hot = hot_keys(sizes, "node", ["in", "out"], limit)
+        hot = hot_keys(sizes, "node", ["in", "out"], way.hot_limit)
         first = (
             with_slots(first, "mid_node", hot)
             .withColumn("in_slot", pick_slot(F.col("in_slots"), "start_node", "block"))
@@ -60,14 +59,13 @@ def two_paths(
         )
         keys += ["in_slot", "out_slot"]
 
-    a, b = first.alias("a"), marker(strategy)(second).alias("b")
+    a, b = first.alias("a"), way.mark(second).alias("b")
     meet = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
     if not loops:
         meet.append(F.col("a.start_node") != F.col("b.end_node"))
-    one = F.lit(1).cast("bigint")
     return a.join(b, meet).select(
         "a.start_node",
         "a.mid_node",
         "b.end_node",
-        F.explode(F.sequence(one, F.col("a.copies") * F.col("b.copies"))).alias("copy"),
+        F.explode(F.sequence(long(1), F.col("a.copies") * F.col("b.copies"))).alias("copy"),
     ).drop("copy")

@@ -1,7 +1,6 @@
-"""Physical choices a caller can see: join strategy, hot-key slots, plan text, metrics."""
+"""Physical choices a caller can see: join route, hot-key slots, plan text, metrics."""
 
 from followgraph.plans.inspect import plan_text, with_metrics
-from followgraph.plans.skew import Splits
-from followgraph.plans.strategy import BROADCAST_ROWS, STRATEGIES
+from followgraph.plans.route import STRATEGIES, Limits
 
-__all__ = ["BROADCAST_ROWS", "STRATEGIES", "Splits", "plan_text", "with_metrics"]
+__all__ = ["STRATEGIES", "Limits", "plan_text", "with_metrics"]

@@ -6,63 +6,32 @@ one side pick one slot from a hash of their own values, rows of the other side a
 every slot. Each pair of matching rows still meets exactly once, and because the slot is a
 hash, a task that is run again after a lost executor puts its rows where they were before.
 
-The slot counts of the hot keys are broadcast. Their number has a bound that does not depend
-on the data: a key is hot only if it holds more than ``1 / max_share`` of the summed sizes, so
-there are fewer than ``max_share`` of them. All other keys have one slot.
+The slot counts of the hot keys are broadcast. ``Route.hot_limit`` bounds their number by
+``Limits.max_share``, which does not grow with the data. All other keys have one slot.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-@dataclass(frozen=True)
-class Splits:
-    """When and how far groups are split.
-
-    ``rows``       a key with at most this many rows is never hot
-    ``max_share``  a hot key holds more than 1/max_share of all rows
-    ``wedge_rows`` edges of one middle node that pair up in one slot of the wedge join
-    ``wedge_fan``  most slots of one middle node in the wedge join
-    ``copies``     identical edges carried as one row
-    ``repeats``    identical result rows written out by one row
-    ``list_size``  expected neighbours in one adjacency row
-    """
-
-    rows: int = 1_000_000
-    max_share: int = 10_000
-    wedge_rows: int = 10_000
-    wedge_fan: int = 64
-    copies: int = 1_000
-    repeats: int = 1_000_000
-    list_size: int = 100_000
-
-
-def hot_limit(sizes: DataFrame, columns: list[str], splits: Splits) -> Column:
-    """The size above which a key is hot.
-
-    A scalar subquery over ``sizes``, so nothing runs while the plan is built.
-    """
-    total = sizes.agg(
-        F.sum(sum((F.col(c) for c in columns), F.lit(0))).alias("total")
-    ).scalar()
-    share = F.call_function("div", total, F.lit(splits.max_share))
-    return F.greatest(F.lit(splits.rows).cast("bigint"), F.coalesce(share, F.lit(0)) + 1)
+def long(value: int) -> Column:
+    """A BIGINT literal, whatever its size."""
+    return F.lit(value).cast("bigint")
 
 
-def slots_for(size: str, limit: Column) -> Column:
+def slots_for(size: str, limit: int) -> Column:
     """Slots of a key with ``size`` rows: one unless it is hot."""
-    return F.greatest(F.lit(1), F.ceil(F.col(size) / limit))
+    return F.greatest(long(1), F.call_function("div", F.col(size) + (limit - 1), F.lit(limit)))
 
 
-def hot_keys(sizes: DataFrame, key: str, columns: list[str], limit: Column) -> DataFrame:
+def hot_keys(sizes: DataFrame, key: str, columns: list[str], limit: int) -> DataFrame:
     """``hot_key`` and, for each size column ``c``, its slots ``c_slots``; hot keys only."""
-    hot = F.lit(False)
-    for c in columns:
-        hot = hot | (F.col(c) > limit)
+    hot = reduce(or_, [F.col(c) > limit for c in columns])
     return sizes.filter(hot).select(
         F.col(key).alias("hot_key"), *[slots_for(c, limit).alias(f"{c}_slots") for c in columns]
     )
@@ -72,34 +41,30 @@ def with_slots(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Add the slot counts of ``key``; keys that are not hot get 1."""
     counts = [c for c in hot.columns if c != "hot_key"]
     return df.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left").select(
-        *df.columns, *[F.coalesce(F.col(c), F.lit(1).cast("bigint")).alias(c) for c in counts]
+        *df.columns, *[F.coalesce(F.col(c), long(1)).alias(c) for c in counts]
     )
 
 
 def pick_slot(slots: Column, *by: str) -> Column:
     """The one slot of this row, from a hash of ``by``."""
-    return F.pmod(F.xxhash64(*by), slots.cast("bigint"))
+    return F.pmod(F.xxhash64(*by), slots)
 
 
 def all_slots(slots: Column) -> Column:
     """One row for every slot."""
-    return F.explode(F.sequence(F.lit(0).cast("bigint"), slots.cast("bigint") - 1))
+    return F.explode(F.sequence(long(0), slots - 1))
 
 
-def repeat_rows(df: DataFrame, times: str, columns: list[str], splits: Splits) -> DataFrame:
+def repeat_rows(df: DataFrame, times: str, columns: list[str], most: int) -> DataFrame:
     """Each row ``times`` times over.
 
-    Rows with many repeats are first cut into blocks and the blocks spread over tasks, so one
-    heavy row is not written out by a single task.
+    Rows with many repeats are first cut into blocks of ``most`` and the blocks spread over
+    tasks, so one heavy row is not written out by a single task.
     """
-    size = F.lit(splits.repeats).cast("bigint")
-    one = F.lit(1).cast("bigint")
+    size = long(most)
+    last = F.call_function("div", F.col(times) - 1, size)
     blocks = df.select(
-        *columns,
-        F.col(times),
-        F.explode(
-            F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col(times) - 1, size))
-        ).alias("block"),
+        *columns, times, F.explode(F.sequence(long(0), last)).alias("block")
     ).repartition(*columns, "block")
     rest = F.least(size, F.col(times) - F.col("block") * size)
-    return blocks.select(*columns, F.explode(F.sequence(one, rest)).alias("repeat")).select(*columns)
+    return blocks.select(*columns, F.explode(F.sequence(long(1), rest)).alias("repeat")).select(*columns)

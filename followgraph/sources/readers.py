@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from followgraph.functions import both_ends
+
 EDGE_SCHEMA = "follower bigint, followee bigint"
 
 
@@ -27,7 +29,7 @@ def read_edges(
     reader = spark.read.schema(f"follower {id_type}, followee {id_type}").option("mode", mode)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return reader.csv(path, sep=sep).dropna(subset=["follower", "followee"])
+    return reader.csv(path, sep=sep).filter(both_ends())
 
 
 def from_table(df: DataFrame, follower: str, followee: str, *, id_type: str = "bigint") -> DataFrame:
@@ -41,9 +43,8 @@ def from_table(df: DataFrame, follower: str, followee: str, *, id_type: str = "b
             column = column.cast(id_type)
         return column
 
-    return df.select(ids(follower).alias("follower"), ids(followee).alias("followee")).dropna(
-        subset=["follower", "followee"]
-    )
+    edges = df.select(ids(follower).alias("follower"), ids(followee).alias("followee"))
+    return edges.filter(both_ends())
 
 
 def read_walks(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

@@ -9,7 +9,9 @@ import followgraph as fg
 STRATEGIES = ["auto", "shuffle", "broadcast"]
 
 # Every splitting rule at work on a handful of rows.
-TINY = fg.Splits(rows=2, max_share=4, wedge_rows=1, wedge_fan=3, copies=2, repeats=2, list_size=2)
+TINY = fg.Limits(
+    rows=2, max_share=50, wedge_rows=1, wedge_fan=3, copies=2, repeats=2, list_size=2, broadcast_rows=0
+)
 
 
 @pytest.mark.parametrize("strategy", STRATEGIES)
@@ -29,19 +31,19 @@ def test_two_paths_of_the_sample(graph):
 def test_two_paths_with_split_groups(graph, seed):
     pairs = random_edges(seed)
     for loops in (True, False):
-        got = rows(fg.two_paths(graph(pairs), loops=loops, strategy="shuffle", splits=TINY))
+        got = rows(fg.two_paths(graph(pairs), loops=loops, strategy="shuffle", limits=TINY))
         assert got == brute_paths(pairs, loops)
 
 
 def test_broadcast_beyond_the_bound_turns_into_a_shuffle(graph):
     e = graph(TOY)
-    within = fg.plan_text(fg.two_paths(e, strategy="broadcast", broadcast_rows=len(TOY)))
-    beyond = fg.plan_text(fg.two_paths(e, strategy="broadcast", broadcast_rows=len(TOY) - 1))
+    within = fg.plan_text(fg.two_paths(e, strategy="broadcast", limits=fg.Limits(broadcast_rows=len(TOY))))
+    beyond = fg.plan_text(fg.two_paths(e, strategy="broadcast", limits=fg.Limits(broadcast_rows=len(TOY) - 1)))
     assert "SortMergeJoin" not in within
     assert "SortMergeJoin" in beyond
-    got = fg.two_paths(e, strategy="broadcast", broadcast_rows=1)
+    got = fg.two_paths(e, strategy="broadcast", limits=fg.Limits(broadcast_rows=1))
     assert rows(got) == brute_paths(TOY)
-    assert rows(fg.triangle_count(e, strategy="broadcast", broadcast_rows=1)) == [(2,)]
+    assert rows(fg.triangle_count(e, strategy="broadcast", limits=fg.Limits(broadcast_rows=1))) == [(2,)]
 
 
 @pytest.mark.parametrize("strategy", STRATEGIES)
@@ -68,14 +70,14 @@ def test_walks_of_random_multigraphs(graph, seed):
     pairs = random_edges(seed)
     e = graph(pairs)
     expected = {w: brute_walks(pairs, w) for w in fg.WALKS}
-    assert [tuple(r) for r in fg.walk_counts(e, splits=TINY).collect()] == [
+    assert [tuple(r) for r in fg.walk_counts(e, limits=TINY).collect()] == [
         tuple(len(expected[w]) for w in fg.WALKS)
     ]
     for walks in fg.WALKS:
         n = len(expected[walks]) // 3
-        assert rows(fg.triangle_count(e, walks, strategy="shuffle", splits=TINY)) == [(n,)]
+        assert rows(fg.triangle_count(e, walks, strategy="shuffle", limits=TINY)) == [(n,)]
         assert rows(fg.triangle_count(e, walks, wide=True)) == [(Decimal(n),)]
-        assert rows(fg.triangles(e, walks, strategy="shuffle", splits=TINY)) == expected[walks]
+        assert rows(fg.triangles(e, walks, strategy="shuffle", limits=TINY)) == expected[walks]
 
 
 def test_weighted_walks(graph):
@@ -120,12 +122,12 @@ def test_core(graph):
     follow, followed = {a for a, _ in pairs}, {b for _, b in pairs}
     expected = sorted((a, b) for a, b in pairs if a in followed and b in follow)
     assert rows(fg.core(graph(pairs))) == expected
-    assert rows(fg.core(graph(pairs), splits=TINY)) == expected
+    assert rows(fg.core(graph(pairs), limits=TINY)) == expected
 
 
 def test_adjacency_lists_are_whole_and_short(graph):
     pairs = random_edges(5, nodes=40, edges=300)
-    lists = fg.adjacency(graph(pairs), splits=TINY).collect()
+    lists = fg.adjacency(graph(pairs), limits=TINY).collect()
     got = Counter()
     for r in lists:
         for item in r.followees:

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import followgraph as fg
+from followgraph.plans.route import route
+from followgraph.plans.skew import hot_keys
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,6 +55,8 @@ def test_no_nested_loops_and_no_python(lp, strategy):
 
 def test_shuffle_strategy_sends_edges_by_key(lp):
     text = plan(fg.two_paths(lp, strategy="shuffle"))
+    assert "SortMergeJoin" in text and "in_slot" not in text
+    text = plan(fg.two_paths(lp, strategy="shuffle", edge_rows=10**12))
     assert "SortMergeJoin" in text and "in_slot" in text
 
 
@@ -61,21 +65,50 @@ def test_broadcast_strategy_sends_no_edges_by_key(lp):
     assert "SortMergeJoin" not in text and "in_slot" not in text
 
 
-def test_edges_are_merged_once(lp):
-    """All uses of the merged pairs share one shuffle of the edges."""
-    df = fg.triangle_count(lp, strategy="shuffle")
+@pytest.mark.parametrize("limits", [fg.Limits(), fg.Limits(broadcast_rows=0, rows=100)])
+@pytest.mark.parametrize(
+    "build",
+    [
+        lambda e, **how: fg.triangle_count(e, strategy="shuffle", **how),
+        lambda e, **how: fg.triangles(e, "closed", strategy="shuffle", **how),
+        lambda e, **how: fg.two_paths(e, strategy="shuffle", **how),
+        fg.adjacency,
+    ],
+    ids=["triangle_count", "triangles", "two_paths", "adjacency"],
+)
+def test_edges_are_merged_once(lp, build, limits):
+    """All uses of the merged edges share one scan and one shuffle of them."""
+    df = build(lp, limits=limits)
     df.collect()
     final = plan(df).split("== Initial Plan ==")[0]
     assert final.count("FileScan") == 1
 
 
-def test_hot_keys_are_few(spark):
-    from followgraph.plans.skew import hot_keys, hot_limit
-
-    sizes = spark.range(1000).select("id", (F.col("id") % 50 + 1).alias("n"))
-    splits = fg.Splits(rows=1, max_share=20)
-    hot = hot_keys(sizes, "id", ["n"], hot_limit(sizes, ["n"], splits))
-    assert hot.count() < 20
-    one_big = sizes.union(spark.sql("SELECT 5000L, 12000L"))
-    hot = hot_keys(one_big, "id", ["n"], hot_limit(one_big, ["n"], splits))
-    assert [tuple(r) for r in hot.collect()] == [(5000, 7)]
+def test_hot_keys_are_few(spark, lp):
+    n = lp.count()
+    limits = fg.Limits(broadcast_rows=0, rows=1, max_share=20)
+    way = route(lp, "auto", limits)
+    assert way.split and way.edge_rows == n
+    sizes = fg.degrees(lp)
+    hot = hot_keys(sizes, "node", ["in_degree", "out_degree"], way.hot_limit)
+    assert 0 < hot.count() < 20
+    assert hot.filter("in_degree_slots > 1").count() == hot.count()
+    # ten thousand times the data, the same bound
+    assert route(lp, "auto", limits, edge_rows=n * 10_000).hot_limit > 10_000 * (n // 20)
+
+
+def test_a_known_number_of_edges_is_not_counted_again(spark, lp):
+    broken = lp.filter(F.raise_error(F.lit("scanned")).isNull())
+    fg.triangle_count(broken, edge_rows=10)
+    with pytest.raises(Exception, match="scanned"):
+        fg.triangle_count(broken)
+
+
+def test_routes(lp):
+    n = lp.count()
+    small = fg.Limits(broadcast_rows=n - 1, rows=n)
+    assert route(lp, "auto", fg.Limits()).broadcast
+    assert not route(lp, "shuffle", fg.Limits()).broadcast
+    for strategy in ("auto", "broadcast"):
+        way = route(lp, strategy, small)
+        assert not way.broadcast and not way.split
