@@ -89,7 +89,8 @@ def _ranked(pairs: DataFrame, way: Route) -> DataFrame:
     cyclic = nodes.filter("has_in AND has_out").select("node", "degree")
     keys = ["node"]
     if way.split:
-        hot = hot_keys(nodes, "node", ["degree"], way.hot_limit)
+        # true of every node; with all columns in use, both uses of ``nodes`` share a shuffle
+        hot = hot_keys(nodes.filter("has_in OR has_out"), "node", ["degree"], way.hot_limit)
         cyclic = cyclic.withColumn("slot", all_slots(slots_for("degree", way.hot_limit)))
         keys.append("slot")
     ranked = pairs.filter("own = 0").drop("own")
@@ -345,7 +346,8 @@ def _loop_walks(pairs: DataFrame, way: Route, walks: str) -> DataFrame:
     )
     looped, keys = own, ["node"]
     if way.split:
-        hot = hot_keys(_neighbours(pairs), "node", ["degree"], way.hot_limit)
+        nodes = _neighbours(pairs).filter("has_in OR has_out")
+        hot = hot_keys(nodes, "node", ["degree"], way.hot_limit)
         mutual = with_slots(mutual, "node", hot).withColumn(
             "slot", pick_slot(F.col("degree_slots"), "other")
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from followgraph.functions import below, divisible_by
+from followgraph.functions import below, both_ends, divisible_by
 from followgraph.functions.columns import WIDE
 
 
@@ -29,17 +29,21 @@ def follower_group_size(edges: DataFrame, modulus: int | None = 100) -> DataFram
     )
 
 
-def _ends(edges: DataFrame, *columns: str) -> DataFrame:
-    """Two rows per edge: one for the follower with ``out`` = 1, one for the followee with
-    ``in`` = 1. One scan, where a union of two projections would make two."""
+def _ends(edges: DataFrame, *columns: str, weight: str = "1L") -> DataFrame:
+    """Two rows per edge: one for the follower with ``out`` = weight, one for the followee with
+    ``in`` = weight. One scan, where a union of two projections would make two."""
     extra = "".join(f", {c}" for c in columns)
     names = ", ".join(["node", "`in`", "`out`", *columns])
-    return edges.select(F.expr(f"stack(2, follower, 0L, 1L{extra}, followee, 1L, 0L{extra}) AS ({names})"))
+    ends = f"stack(2, follower, 0L, {weight}{extra}, followee, {weight}, 0L{extra}) AS ({names})"
+    return edges.filter(both_ends()).select(F.expr(ends)).filter("node IS NOT NULL")
 
 
-def degrees(edges: DataFrame) -> DataFrame:
-    """``node, in_degree, out_degree`` for every node of an edge."""
-    return _ends(edges).groupBy("node").agg(
+def degrees(edges: DataFrame, *, weight: str = "1L") -> DataFrame:
+    """``node, in_degree, out_degree`` for every node of an edge.
+
+    ``weight`` names the column that holds how often an edge occurs, if edges are merged.
+    """
+    return _ends(edges, weight=weight).groupBy("node").agg(
         F.sum("in").alias("in_degree"), F.sum("out").alias("out_degree")
     )
 

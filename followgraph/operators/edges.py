@@ -60,18 +60,21 @@ def copies_in_blocks(distinct: DataFrame, most: int) -> DataFrame:
 
 def keep_core(edges: DataFrame, way: Route) -> DataFrame:
     """``core`` on a given route."""
-    sizes = degrees(edges)
-    members = sizes.filter("in_degree > 0 AND out_degree > 0")
+    in_core = "in_degree > 0 AND out_degree > 0"
     ends = [("follower", "followee", "out_degree"), ("followee", "follower", "in_degree")]
-    kept = edges
     if not way.split:
+        members = degrees(edges).filter(in_core)
+        kept = edges
         for end, _, _ in ends:
             there = members.select(F.col("node").alias(end))
             kept = kept.join(way.mark(there), [end], "left_semi")
         return kept.select("follower", "followee")
-    kept = copies_in_blocks(multiplicity(edges), way.limits.copies)
+    distinct = multiplicity(edges)
+    sizes = degrees(distinct, weight="multiplicity")
+    hot = hot_keys(sizes, "node", ["in_degree", "out_degree"], way.hot_limit)
+    members = sizes.filter(in_core)
+    kept = copies_in_blocks(distinct, way.limits.copies)
     for end, other, size in ends:
-        hot = hot_keys(sizes, "node", [size], way.hot_limit)
         side = with_slots(kept, end, hot).withColumn(
             "slot", pick_slot(F.col(f"{size}_slots"), other, "block")
         )
@@ -111,7 +114,10 @@ def adjacency(
     if way.edge_rows <= limits.list_size:
         parted = distinct.withColumn("part", long(0))
     else:
-        sizes = distinct.groupBy("follower").agg(F.count("multiplicity").alias("n"))
+        # count_if and not count, which would leave the multiplicities out of this use of the
+        # distinct edges and so cost a second shuffle of them
+        n = F.count_if(F.col("multiplicity") > 0).alias("n")
+        sizes = distinct.groupBy("follower").agg(n)
         parts = F.ceil(F.col("n") / limits.list_size).alias("parts")
         long_lists = sizes.filter(F.col("n") > limits.list_size)
         if way.split:

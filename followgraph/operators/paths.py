@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from followgraph.operators.degrees import degrees
 from followgraph.operators.edges import copies_in_blocks, multiplicity
 from followgraph.plans.route import Limits, route
 from followgraph.plans.skew import all_slots, hot_keys, long, pick_slot, with_slots
@@ -36,26 +37,17 @@ def two_paths(
     )
     keys = ["mid_node"]
     if way.split:
-        sizes = (
-            distinct.select(
-                F.expr(
-                    "stack(2, follower, 0L, multiplicity, followee, multiplicity, 0L)"
-                    " AS (node, `in`, `out`)"
-                )
-            )
-            .groupBy("node")
-            .agg(F.sum("in").alias("in"), F.sum("out").alias("out"))
-        )
-        hot = hot_keys(sizes, "node", ["in", "out"], way.hot_limit)
+        sizes = degrees(distinct, weight="multiplicity")
+        hot = hot_keys(sizes, "node", ["in_degree", "out_degree"], way.hot_limit)
         first = (
             with_slots(first, "mid_node", hot)
-            .withColumn("in_slot", pick_slot(F.col("in_slots"), "start_node", "block"))
-            .withColumn("out_slot", all_slots(F.col("out_slots")))
+            .withColumn("in_slot", pick_slot(F.col("in_degree_slots"), "start_node", "block"))
+            .withColumn("out_slot", all_slots(F.col("out_degree_slots")))
         )
         second = (
             with_slots(second, "mid_node", hot)
-            .withColumn("in_slot", all_slots(F.col("in_slots")))
-            .withColumn("out_slot", pick_slot(F.col("out_slots"), "end_node", "block"))
+            .withColumn("in_slot", all_slots(F.col("in_degree_slots")))
+            .withColumn("out_slot", pick_slot(F.col("out_degree_slots"), "end_node", "block"))
         )
         keys += ["in_slot", "out_slot"]
 

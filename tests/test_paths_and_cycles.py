@@ -135,3 +135,32 @@ def test_adjacency_lists_are_whole_and_short(graph):
     assert got == Counter(pairs)
     assert max(len(r.followees) for r in lists) < 10
     assert len(fg.adjacency(graph(pairs)).collect()) == len({a for a, _ in pairs})
+
+
+def test_a_hub_with_a_third_of_all_edges(spark, graph):
+    """Against SQL on a graph too large to try all triples."""
+    import random
+
+    import duckdb
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    pairs = []
+    for _ in range(12_000):
+        a, b, kind = rng.randrange(1, 800), rng.randrange(1, 800), rng.random()
+        pairs.append((0, b) if kind < 0.3 else (a, 0) if kind < 0.4 else (7, 9) if kind < 0.45 else (a, b))
+    e = graph(pairs)
+    limits = fg.Limits(broadcast_rows=0, rows=500, max_share=100, wedge_rows=50, copies=10, repeats=7)
+    table = pa.table({"follower": [a for a, _ in pairs], "followee": [b for _, b in pairs]})
+    con = duckdb.connect()
+    con.register("e", table)
+    expected = con.execute(
+        """SELECT count(*), count(*) FILTER (WHERE a.follower <> b.followee),
+                  count(*) FILTER (WHERE a.follower <> b.followee AND a.follower <> a.followee
+                                   AND b.follower <> b.followee)
+           FROM e a JOIN e b ON a.followee = b.follower
+           JOIN e c ON b.followee = c.follower AND c.followee = a.follower"""
+    ).fetchone()
+    for strategy in ("auto", "shuffle"):
+        assert tuple(fg.walk_counts(e, strategy=strategy, limits=limits).first()) == expected
+    assert fg.triangles(e, "closed", limits=limits).count() == expected[0]
