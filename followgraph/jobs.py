@@ -1,6 +1,6 @@
 """The analytics as batch programs: read edge files, write result files.
 
-    spark-submit --py-files followgraph.zip run_job.py JOB INPUT OUTPUT [options]
+    spark-submit --py-files followgraph.zip followgraph/jobs.py JOB INPUT OUTPUT [options]
     python -m followgraph.jobs JOB INPUT OUTPUT [options]
 
 Jobs
@@ -10,6 +10,10 @@ two-path-exact    every node with its in-degree times out-degree; prints the sum
 two-path-list     every 2-path under --max; prints how many
 triangle-list     every closed walk under --max; prints a third of their number
 triangle-count    a third of the closed walks under --max
+
+--walks says which walks count: closed (default for two-path-list), no_loop (default for the
+triangle jobs) or strict. For 2-paths, anything but closed leaves out those that go back to
+where they started.
 """
 
 from __future__ import annotations
@@ -38,27 +42,35 @@ def _two_path_exact(edges: DataFrame, args) -> int:
 
 
 def _two_path_list(edges: DataFrame, args) -> int:
-    paths, seen = fg.with_metrics(
-        fg.two_paths(edges, loops=args.walks == "closed", strategy=args.strategy), "two_path_list"
+    paths = fg.two_paths(
+        edges,
+        loops=args.walks in (None, "closed"),
+        strategy=args.strategy,
+        edge_rows=args.edges,
     )
+    paths, seen = fg.with_metrics(paths, "two_path_list")
     fg.write_tsv(paths, args.output, mode=args.mode)
     return seen.get["rows"]
 
 
 def _triangle_list(edges: DataFrame, args) -> int:
-    walks, seen = fg.with_metrics(
-        fg.triangles(edges, args.walks, strategy=args.strategy), "triangle_list"
+    walks = fg.triangles(
+        edges, args.walks or "no_loop", strategy=args.strategy, edge_rows=args.edges
     )
+    walks, seen = fg.with_metrics(walks, "triangle_list")
     fg.write_tsv(walks, args.output, key="n1", values=["n1", "n2", "n3", "n1"], mode=args.mode)
     return seen.get["rows"] // 3
 
 
 def _triangle_count(edges: DataFrame, args) -> int:
-    count, seen = fg.with_metrics(
-        fg.triangle_count(edges, args.walks, strategy=args.strategy, wide=args.wide),
-        "triangle_count",
-        count=F.max("triangle_count"),
+    count = fg.triangle_count(
+        edges,
+        args.walks or "no_loop",
+        strategy=args.strategy,
+        edge_rows=args.edges,
+        wide=args.wide,
     )
+    count, seen = fg.with_metrics(count, "triangle_count", count=F.max("triangle_count"))
     fg.write_scalar(count, args.output, mode=args.mode)
     return int(seen.get["count"])
 
@@ -81,8 +93,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("input", help="file or directory of follower,followee lines")
     p.add_argument("output", help="directory to write")
     p.add_argument("--max", type=int, default=None, help="keep edges with both ids below this")
+    p.add_argument("--edges", type=int, help="number of edges, if known; saves counting them")
     p.add_argument("--modulus", type=int, default=100, help="0 keeps all followees")
-    p.add_argument("--walks", choices=fg.WALKS, default="no_loop")
+    p.add_argument("--walks", choices=fg.WALKS)
     p.add_argument("--strategy", choices=fg.STRATEGIES, default="auto")
     p.add_argument("--format", choices=("csv", "pairs"), default="csv", help="of follower-count")
     p.add_argument("--overwrite", dest="mode", action="store_const", const="overwrite", default="errorifexists")

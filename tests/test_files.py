@@ -103,7 +103,8 @@ TOY_TEXT = "\n".join(f"{a},{b}" for a, b in TOY2)
     "options, result",
     [
         (["two-path-exact"], 24),
-        (["two-path-list", "--max", "6", "--walks", "closed"], len(brute_paths([p for p in TOY2 if max(p) < 6]))),
+        (["two-path-list", "--max", "6"], len(brute_paths([p for p in TOY2 if max(p) < 6]))),
+        (["two-path-list", "--walks", "no_loop"], 16),
         (["triangle-list", "--max", "10000"], 4),
         (["triangle-list", "--walks", "closed", "--strategy", "broadcast"], 5),
         (["triangle-count", "--max", "10000", "--strategy", "shuffle"], 4),
