@@ -122,19 +122,28 @@ def _wedges(ranked: DataFrame, way: Route) -> DataFrame:
     """Pairs of neighbours ``y``, ``z`` above a node ``x``, y ranked below z, that some cycle
     through x may join: ``via_y`` counts z->x->y, ``via_z`` counts y->x->z.
 
-    In a large graph the nodes with many neighbours do this in several slots.
+    In a large graph, nodes with many neighbours put them into groups, and there is a cell for
+    every two groups and for each group with itself. Neighbours go to all cells of their group,
+    those of the same group pair up in its own cell. Both sides of the join are the same rows,
+    so they are computed and shuffled once.
     """
-    p, q, keys = ranked, ranked, ["low"]
+    keys = ["low"]
     if way.split:
-        slots = F.least(
-            long(way.limits.wedge_fan),
-            slots_for("low_degree", way.limits.wedge_rows),
+        most = way.limits
+        groups = F.least(long(most.wedge_groups), slots_for("low_degree", most.wedge_rows))
+        ranked = (
+            ranked.withColumn("group", pick_slot(groups, "high"))
+            .withColumn("with", all_slots(groups))
+            .withColumn("cell_i", F.least("group", "with"))
+            .withColumn("cell_j", F.greatest("group", "with"))
         )
-        p = p.withColumn("slot", pick_slot(slots, "high"))
-        q = q.withColumn("slot", all_slots(slots))
-        keys.append("slot")
-    p, q = p.alias("p"), way.mark(q).alias("q")
+        keys += ["cell_i", "cell_j"]
+    p, q = ranked.alias("p"), way.mark(ranked).alias("q")
     meet = [F.col(f"p.{k}") == F.col(f"q.{k}") for k in keys]
+    if way.split:
+        meet.append(
+            F.expr("p.group <> q.group OR (p.group = p.`with` AND q.group = q.`with`)")
+        )
     meet.append(
         F.expr(
             "p.high_degree < q.high_degree OR (p.high_degree = q.high_degree AND p.high < q.high)"

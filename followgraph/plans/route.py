@@ -17,8 +17,8 @@ class Limits:
     ``broadcast_rows``  most edges whose relations may be broadcast (tens of MB of id pairs)
     ``rows``            a key with at most this many rows is never split
     ``max_share``       a key is split only if it holds more than 1/max_share of all edge ends
-    ``wedge_rows``      neighbours of one middle node for each slot of the wedge join
-    ``wedge_fan``       most slots of one middle node in the wedge join
+    ``wedge_rows``      neighbours of one middle node for each group of the wedge join
+    ``wedge_groups``    most groups of one middle node; also how often its rows are sent
     ``copies``          most identical edges that one row of a join stands for
     ``repeats``         most identical result rows written out by one row
     ``list_size``       expected neighbours in one adjacency row
@@ -28,7 +28,7 @@ class Limits:
     rows: int = 1_000_000
     max_share: int = 10_000
     wedge_rows: int = 10_000
-    wedge_fan: int = 64
+    wedge_groups: int = 16
     copies: int = 1_000
     repeats: int = 1_000_000
     list_size: int = 100_000

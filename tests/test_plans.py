@@ -86,6 +86,16 @@ def test_edges_are_merged_once(lp, build, limits):
     assert final.count("FileScan") == (2 if build is fg.core and limits == fg.Limits() else 1)
 
 
+@pytest.mark.parametrize("limits", [fg.Limits(), fg.Limits(broadcast_rows=0, rows=100)])
+def test_ranked_pairs_are_shuffled_once_for_both_sides(lp, limits):
+    df = fg.triangle_count(lp, strategy="shuffle", limits=limits)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    made = re.findall(r"(?<!Reused)Exchange hashpartitioning\(low", final)
+    reused = [line for line in final.splitlines() if "ReusedExchange" in line and "(low#" in line]
+    assert len(made) - len(reused) == 1 and len(reused) == 1
+
+
 def test_hot_keys_are_few(spark, lp):
     n = lp.count()
     limits = fg.Limits(broadcast_rows=0, rows=1, max_share=20)
