@@ -20,6 +20,12 @@ from pyspark.sql import functions as F
 
 import followgraph as fg
 
+try:  # the training-data operators and their pipeline may be left out of a checkout
+    import corpus_pipeline
+    from followgraph.llm import queries as llm
+except ImportError:
+    llm = corpus_pipeline = None
+
 MAX_ID = 10_000
 MAX_IDS = [100, 1_000, 10_000]
 MODULUS = 100
@@ -136,6 +142,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 "LP", lambda e, how=how: fg.triangle_count(e, "closed", **how)
             ),
         }
+    if llm:
+        found |= llm.queries() | {"pipeline": corpus_pipeline.run}
     return found
 
 
@@ -243,4 +251,6 @@ def oracle_sql() -> dict[str, str]:
             f"triangle_count_no_loop_{strategy}": sql["triangle_count_no_loop"],
             f"triangle_count_closed_walks_{strategy}": sql["triangle_count_closed_walks"],
         }
+    if llm:
+        sql |= llm.oracle_sql()
     return sql
