@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followgraph.llm import bpe, html_extract, quality, secret_scan
+from followgraph.llm import bpe, decontamination, html_extract, license_scan, quality, secret_scan
 from followgraph.llm.common import fold, sha256_hex
 
 TOKENIZER = "word_bpe_49k.json"
@@ -41,6 +41,37 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.drop("text")
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("hit").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        sha256_hex(F.array_join("items", ",")).alias("items_sha256"),
+        (F.size("hit") > 0).alias("contaminated"),
+    )
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS k, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+g AS (SELECT DISTINCT item_id, w[i : i + least(len(w), 10) - 1] AS win
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+n AS (SELECT DISTINCT len(win) AS m FROM g),
+h AS (SELECT x.k, x.i, x.m, g.item_id FROM (SELECT k, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, n WHERE len(w) >= m) x
+    JOIN g ON g.win = x.w[x.i : x.i + x.m - 1]),
+c AS (SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(i, i + m)) AS p FROM h) GROUP BY k),
+t AS (SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS item FROM h WHERE item_id IS NOT NULL) GROUP BY k)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(t.n_items, 0) AS n_items,
+    sha256(coalesce(t.items, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON d.k = c.k LEFT JOIN t ON d.k = t.k
+"""
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from followgraph.llm.common import stored
 
@@ -82,14 +113,38 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents")).withColumn(
+        "detections", F.coalesce("detections", F.array())
+    )
+    base = F.filter("detections", lambda d: d["base"])
+
+    def labels(of):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(of, lambda d: d["label"]))), ",")
+
+    first = F.transform(base, lambda d: d["first"].cast("long"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(first).alias("first_word"),
+        F.array_max(first).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("detections")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("detections", lambda d: d["confidence"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bpe_tokens": op2,
+        "op4_decontamination": op4,
         "op5_quality": op5,
         "op6_secrets": op6,
         "op7_main_text": op7,
+        "op8_licenses": op8,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_decontamination": OP4_SQL}
