@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followgraph.llm import bpe, decontamination, html_extract, license_scan, quality, secret_scan
+from followgraph.llm import bpe, decontamination, html_extract, license_scan, quality, secret_scan, vectors
 from followgraph.llm.common import fold, sha256_hex
 
 TOKENIZER = "word_bpe_49k.json"
@@ -41,6 +41,21 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.drop("text")
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return vectors.search(rows, rows.where(F.col("vec_id") % 20 == 0))
+
+
+OP3_SQL = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e) AS score
+    FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -138,6 +153,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bpe_tokens": op2,
+        "op3_neighbours": op3,
         "op4_decontamination": op4,
         "op5_quality": op5,
         "op6_secrets": op6,
@@ -147,4 +163,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": OP4_SQL}
+    return {"op3_neighbours": OP3_SQL, "op4_decontamination": OP4_SQL}
