@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followgraph.llm import bpe, decontamination, html_extract, license_scan, quality, secret_scan, vectors
+from followgraph.llm import bpe, decontamination, html_extract, license_scan, minhash_dedup, quality, secret_scan, vectors
 from followgraph.llm.common import fold, sha256_hex
 
 TOKENIZER = "word_bpe_49k.json"
@@ -34,6 +34,10 @@ def _digests(ids: bytes, shown: str) -> dict:
     }
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -152,6 +156,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_near_duplicates": op1,
         "op2_bpe_tokens": op2,
         "op3_neighbours": op3,
         "op4_decontamination": op4,
