@@ -150,3 +150,12 @@ def keep_matching(rows: DataFrame, keys: DataFrame, key: str, bits: int = 18) ->
         F.broadcast(slots), "__slot", "left_semi"
     )
     return near.drop("__slot").join(keys.select(key).distinct(), key, "left_semi")
+
+
+def pandas_column(run, schema: str):
+    """A pandas UDF of several columns that gives a struct."""
+
+    def typed(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        return run(a, b)
+
+    return F.pandas_udf(typed, schema)

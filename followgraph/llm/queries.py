@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followgraph.llm import bpe, decontamination, html_extract, license_scan, minhash_dedup, quality, secret_scan, vectors
+from followgraph.llm import bpe, decontamination, html_extract, license_scan, minhash_dedup, quality, secret_scan, substring_dedup, vectors
 from followgraph.llm.common import fold, sha256_hex
 
 TOKENIZER = "word_bpe_49k.json"
@@ -154,6 +154,34 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _kept_digest(kept: list[bytes], gone: int) -> dict:
+    return {
+        "n_words": len(kept) + gone,
+        "n_removed": gone,
+        "kept_sha256": hashlib.sha256(b" ".join(kept)).hexdigest(),
+    }
+
+
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(
+        table(spark, sf_dir, "documents"), finish=_kept_digest, schema="n_words long, n_removed long, kept_sha256 string"
+    )
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT k, doc_id, i, array_to_string(w[i : i + 19], ' ') AS g
+    FROM (SELECT k, doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+f AS (SELECT g, min({'d': doc_id, 'i': i}) AS first FROM x GROUP BY g HAVING count(*) > 1),
+c AS (SELECT DISTINCT k, unnest(range(i, i + 20)) AS p FROM x JOIN f ON x.g = f.g WHERE {'d': x.doc_id, 'i': x.i} > f.first),
+r AS (SELECT k, list(p) AS gone FROM c GROUP BY k),
+o AS (SELECT d.doc_id, len(d.w) AS n, list_filter(range(1, len(d.w) + 1), lambda p: NOT list_contains(coalesce(r.gone, []), p)) AS left_places, d.w
+    FROM d LEFT JOIN r ON d.k = r.k)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n - len(left_places) AS BIGINT) AS n_removed,
+    sha256(array_to_string(list_transform(left_places, lambda p: w[p]), ' ')) AS kept_sha256 FROM o
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_duplicates": op1,
@@ -164,8 +192,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_secrets": op6,
         "op7_main_text": op7,
         "op8_licenses": op8,
+        "op9_repeats": op9,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_neighbours": OP3_SQL, "op4_decontamination": OP4_SQL}
+    return {"op3_neighbours": OP3_SQL, "op4_decontamination": OP4_SQL, "op9_repeats": OP9_SQL}
