@@ -159,3 +159,8 @@ def pandas_column(run, schema: str):
         return run(a, b)
 
     return F.pandas_udf(typed, schema)
+
+
+def bucket_count(df: DataFrame, least: int = 32) -> int:
+    """Buckets for an exchange between tasks: as many as the input has partitions."""
+    return max(least, df.rdd.getNumPartitions())

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followgraph.llm import bpe, decontamination, html_extract, license_scan, minhash_dedup, quality, secret_scan, substring_dedup, vectors
+from followgraph.llm import bpe, decontamination, html_extract, license_scan, minhash_dedup, pitman_yor, quality, secret_scan, substring_dedup, vectors
 from followgraph.llm.common import fold, sha256_hex
 
 TOKENIZER = "word_bpe_49k.json"
@@ -182,6 +182,20 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n - len(left_places) AS BIGINT
 """
 
 
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = pitman_yor.train(pitman_yor.learned_from(docs))
+    return pitman_yor.score(docs, model).select(
+        "doc_id",
+        (fold(F.col("doc_id"), 7) == 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_duplicates": op1,
@@ -193,6 +207,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_main_text": op7,
         "op8_licenses": op8,
         "op9_repeats": op9,
+        "op10_language_model": op10,
     }
 
 
