@@ -139,7 +139,8 @@ def inside(starts: np.ndarray, width: int) -> np.ndarray:
 
 
 def coarse(key: Column, bits: int = 18) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(1 << bits))
+    """One of 2**bits slots; equal ids have one slot whatever their integer type."""
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(1 << bits))
 
 
 def keep_matching(rows: DataFrame, keys: DataFrame, key: str, bits: int = 18) -> DataFrame:
@@ -149,7 +150,18 @@ def keep_matching(rows: DataFrame, keys: DataFrame, key: str, bits: int = 18) ->
     near = rows.withColumn("__slot", coarse(F.col(key), bits)).join(
         F.broadcast(slots), "__slot", "left_semi"
     )
-    return near.drop("__slot").join(keys.select(key).distinct(), key, "left_semi")
+    return near.drop("__slot").join(keys.select(key).distinct(), key, "left_semi").select(*rows.columns)
+
+
+def drop_matching(rows: DataFrame, keys: DataFrame, key: str, bits: int = 18) -> DataFrame:
+    """The rows whose key is not in `keys` (null keys stay); only rows that share a slot with
+    one of the keys are shuffled."""
+    slots = keys.select(coarse(F.col(key), bits).alias("__slot")).distinct()
+    slotted = rows.withColumn("__slot", coarse(F.col(key), bits))
+    apart = slotted.join(F.broadcast(slots), "__slot", "left_anti").drop("__slot")
+    near = slotted.join(F.broadcast(slots), "__slot", "left_semi").drop("__slot")
+    left = near.join(keys.select(key).distinct(), key, "left_anti")
+    return apart.select(*rows.columns).unionByName(left.select(*rows.columns))
 
 
 def pandas_column(run, schema: str):
