@@ -29,6 +29,7 @@ class Rule(NamedTuple):
     keyword: str
     priority: int
     confidence: float
+    base: bool = False
 
 
 #: Base phrases: always reported, never suppressed.
@@ -36,7 +37,7 @@ BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved"
 
 
 def _base_rules() -> list[Rule]:
-    return [Rule(label, phrase, phrase, 1, 0.6) for phrase, label in BASE.items()]
+    return [Rule(label, phrase, phrase, 1, 0.6, True) for phrase, label in BASE.items()]
 
 
 def _creative_commons() -> list[Rule]:
@@ -186,9 +187,8 @@ def detections(docs: DataFrame, id_column: str = "doc_id", text: str = "text", u
     ends included, before suppression. `key` is the row_key of the document."""
     spark: SparkSession = docs.sparkSession
     use = rules() if use is None else use
-    base = {(phrase, label) for phrase, label in BASE.items()}
     table = spark.createDataFrame(
-        [(r.keyword, r.label, f"(?<= )(?:{r.pattern})(?= )", r.priority, r.confidence, (r.pattern, r.label) in base) for r in use],
+        [(r.keyword, r.label, f"(?<= )(?:{r.pattern})(?= )", r.priority, r.confidence, r.base) for r in use],
         "keyword string, label string, pattern string, priority int, confidence double, base boolean",
     )
     keywords = sorted({r.keyword for r in use})
