@@ -6,9 +6,11 @@ LP  lineitem  l_partkey  -> l_suppkey   (repeated edges and self-loops)
 PL  lineitem  l_suppkey  -> l_partkey
 OC  orders    o_orderkey -> o_custkey
 
-The id cut-off (MAX_ID) and the divisor (MODULUS) are parameters of the operators themselves;
-where they appear they hold the customary values, and every cut-off or divided query has a
-counterpart over all ids.
+The id cut-offs (MAX_ID, LOW_MAX_ID) and the divisor (MODULUS) are parameters of the operators
+themselves; every cut-off or divided query has a counterpart over all ids.
+
+Queries ending in `_split` run the code for large graphs: their Limits are so low that joins
+shuffle and keys are split on any of the tables.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import followgraph as fg
+from followgraph.functions import pair_text, walk_text
 
 try:  # the training-data operators and their pipeline may be left out of a checkout
     import corpus_pipeline
@@ -27,6 +30,10 @@ except ImportError:
     llm = corpus_pipeline = None
 
 MAX_ID = 10_000
+LOW_MAX_ID = 60
+SPLIT = fg.Limits(
+    broadcast_rows=0, rows=200, max_share=1_000, wedge_rows=5, path_rows=10, task_paths=50_000, copies=2, repeats=2, list_size=50
+)
 MAX_IDS = [100, 1_000, 10_000]
 MODULUS = 100
 
@@ -49,10 +56,10 @@ def entry(spark: SparkSession) -> DataFrame:
     return fg.triangle_count(edges(spark, SMOKE_DIR, "LP"))
 
 
-def _adjacency(e: DataFrame) -> DataFrame:
+def _adjacency(e: DataFrame, **how) -> DataFrame:
     """Adjacency lists taken apart again, so that list order does not enter the check."""
     return (
-        fg.adjacency(e)
+        fg.adjacency(e, **how)
         .select("follower", F.inline("followees"))
         .groupBy("follower")
         .agg(
@@ -77,6 +84,23 @@ def _path_profile(e: DataFrame, **how) -> DataFrame:
     )
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines of the part-supplier edges: some broken by rule, some with blanks or more fields."""
+    table = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    number = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    follower, followee = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
+    return table.select(
+        F.when(number % 11 == 0, F.concat(F.lit("x"), follower, F.lit(","), followee))
+        .when(number % 11 == 1, F.concat(follower, F.lit(".0,"), followee))
+        .when(number % 11 == 2, F.concat(follower, F.lit(",")))
+        .when(number % 11 == 3, F.concat(F.lit(" "), follower, F.lit(" , "), followee))
+        .when(number % 11 == 4, F.concat(follower, F.lit(","), followee, F.lit(",more")))
+        .when(number % 11 == 5, F.lit("  "))
+        .otherwise(F.concat(follower, F.lit(","), followee))
+        .alias("value")
+    )
+
+
 def _walk_profile(e: DataFrame) -> DataFrame:
     """Closed walks by start node, summed over weighted walks."""
     return (
@@ -127,21 +151,40 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "triangle_walk_metrics": on("LP", fg.walk_counts),
         "triangles_per_node": on("LP", _walk_profile),
     }
-    for strategy in ("shuffle", "broadcast"):
-        how = {"strategy": strategy}
-        found |= {
-            f"two_paths_{strategy}": on("LP", lambda e, how=how: _path_profile(e, **how)),
-            f"two_paths_no_loop_{strategy}": on(
-                "LP", lambda e, how=how: _path_profile(e, loops=False, **how)
-            ),
-            f"triangles_no_loop_{strategy}": on("LP", lambda e, how=how: fg.triangles(e, **how)),
-            f"triangle_count_no_loop_{strategy}": on(
-                "LP", lambda e, how=how: fg.triangle_count(e, **how)
-            ),
-            f"triangle_count_closed_walks_{strategy}": on(
-                "LP", lambda e, how=how: fg.triangle_count(e, "closed", **how)
-            ),
-        }
+    how = {"strategy": "shuffle"}
+    found |= {
+        "two_paths_shuffle": on("LP", lambda e: _path_profile(e, **how)),
+        "two_paths_no_loop_shuffle": on("LP", lambda e: _path_profile(e, loops=False, **how)),
+        "triangles_no_loop_shuffle": on("LP", lambda e: fg.triangles(e, **how)),
+        "triangle_count_no_loop_shuffle": on("LP", lambda e: fg.triangle_count(e, **how)),
+        "triangle_count_closed_walks_shuffle": on("LP", lambda e: fg.triangle_count(e, "closed", **how)),
+        "triangle_count_no_loop_broadcast": on("LP", lambda e: fg.triangle_count(e, strategy="broadcast")),
+    }
+    split = {"limits": SPLIT}
+    found |= {
+        "two_paths_split": on("LP", lambda e: _path_profile(e, **split)),
+        "two_paths_no_loop_split": on("LP", lambda e: _path_profile(e, loops=False, **split)),
+        "triangles_closed_walks_split": on("LP", lambda e: fg.triangles(e, "closed", **split)),
+        "triangles_no_loop_split": on("LP", lambda e: fg.triangles(e, **split)),
+        "triangles_strict_split": on("LP", lambda e: fg.triangles(e, "strict", **split)),
+        "triangle_count_no_loop_split": on("LP", lambda e: fg.triangle_count(e, **split)),
+        "edges_core_split": on("LP", lambda e: fg.core(e, **split)),
+        "adjacency_split": on("LP", lambda e: _adjacency(e, **split)),
+        "edges_under_low_max": on("LP", lambda e: fg.under_max(e, LOW_MAX_ID)),
+        "two_path_count_low_max": on("LP", lambda e: fg.two_path_count(e, LOW_MAX_ID)),
+        "triangle_count_low_max": on("LP", lambda e: fg.triangle_count(fg.under_max(e, LOW_MAX_ID))),
+        "edges_under_max_orders": on("OC", capped(fg.valid)),
+        "two_path_count_sampled_orders": on("OC", lambda e: fg.two_path_count(e, MAX_ID)),
+        "degrees_reversed": on("LP", lambda e: fg.degrees(fg.reverse(e))),
+        "follower_group_size_plain": on("PL", lambda e: fg.follower_group_size(e, None, distinct=False)),
+        "lines_parsed": lambda spark, sf_dir: fg.valid(fg.parse_lines(_lines(spark, sf_dir))),
+        "lines_parsed_as_text": lambda spark, sf_dir: fg.valid(fg.parse_lines(_lines(spark, sf_dir), id_type="string")),
+        "lines_dropped": lambda spark, sf_dir: fg.dropped_lines(fg.parse_lines(_lines(spark, sf_dir))),
+        "pair_lines": on("PL", lambda e: fg.follower_count(e, None).select(pair_text("followee", "follower_count").alias("line"))),
+        "walk_lines": on(
+            "LP", lambda e: fg.triangles(e).select(F.concat_ws("\t", "n3", walk_text("n1", "n2", "n3", "n1")).alias("line"))
+        ),
+    }
     if llm:
         found |= llm.queries() | {"pipeline": corpus_pipeline.run}
     return found
@@ -187,7 +230,7 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "edges_valid": f"SELECT follower, followee FROM ({lp}) WHERE follower IS NOT NULL AND followee IS NOT NULL",
         "edges_under_max": f"{max_lp} SELECT follower, followee FROM e",
-        "edges_reversed": f"SELECT followee, follower FROM ({lp})",
+        "edges_reversed": f"SELECT followee AS follower, follower AS followee FROM ({lp})",
         "edges_core": (
             f"{all_lp} SELECT follower, followee FROM e"
             " WHERE follower IN (SELECT followee FROM e) AND followee IN (SELECT follower FROM e)"
@@ -243,14 +286,48 @@ def oracle_sql() -> dict[str, str]:
             f" FROM {walk} WHERE {no_loop} GROUP BY a.follower"
         ),
     }
-    for strategy in ("shuffle", "broadcast"):
+    low_lp = f"WITH e AS (SELECT follower, followee FROM ({lp}) WHERE follower < {LOW_MAX_ID} AND followee < {LOW_MAX_ID})"
+    max_oc = f"WITH e AS (SELECT follower, followee FROM ({oc}) WHERE follower < {MAX_ID} AND followee < {MAX_ID})"
+    kind = "(l_orderkey * 7 + l_linenumber) % 11"
+    good = f"SELECT l_partkey AS follower, l_suppkey AS followee FROM lineitem WHERE {kind} NOT IN (0, 1, 2, 5)"
+    text = f"""SELECT CASE {kind} WHEN 0 THEN 'x' ELSE '' END || l_partkey || CASE {kind} WHEN 1 THEN '.0' ELSE '' END AS follower,
+        CAST(l_suppkey AS VARCHAR) AS followee FROM lineitem WHERE {kind} NOT IN (2, 5)"""
+    for strategy in ("shuffle", "split"):
         sql |= {
             f"two_paths_{strategy}": path_profile(""),
             f"two_paths_no_loop_{strategy}": path_profile(f"WHERE {no_loop}"),
             f"triangles_no_loop_{strategy}": sql["triangles_no_loop"],
             f"triangle_count_no_loop_{strategy}": sql["triangle_count_no_loop"],
-            f"triangle_count_closed_walks_{strategy}": sql["triangle_count_closed_walks"],
         }
+    sql |= {
+        "triangle_count_closed_walks_shuffle": sql["triangle_count_closed_walks"],
+        "triangle_count_no_loop_broadcast": sql["triangle_count_no_loop"],
+        "triangles_closed_walks_split": sql["triangles_closed_walks"],
+        "triangles_strict_split": sql["triangles_strict"],
+        "edges_core_split": sql["edges_core"],
+        "adjacency_split": sql["adjacency"],
+        "edges_under_low_max": f"{low_lp} SELECT follower, followee FROM e",
+        "two_path_count_low_max": f"{low_lp} SELECT count(*) AS two_path_count FROM {path}",
+        "triangle_count_low_max": f"{low_lp} SELECT {thirds} FROM {walk} WHERE {no_loop}",
+        "edges_under_max_orders": f"{max_oc} SELECT follower, followee FROM e",
+        "two_path_count_sampled_orders": f"{max_oc} SELECT count(*) AS two_path_count FROM {path}",
+        "degrees_reversed": (
+            f"{ends} SELECT node, CAST(sum(o) AS BIGINT) AS in_degree,"
+            " CAST(sum(i) AS BIGINT) AS out_degree FROM d GROUP BY node"
+        ),
+        "follower_group_size_plain": f"SELECT followee, count(*) AS n_followers FROM ({pl}) GROUP BY followee",
+        "lines_parsed": good,
+        "lines_parsed_as_text": text,
+        "lines_dropped": (
+            f"SELECT count(*) FILTER (WHERE {kind} <> 5) AS n_lines,"
+            f" count(*) FILTER (WHERE {kind} IN (0, 1, 2)) AS n_dropped FROM lineitem"
+        ),
+        "pair_lines": f"SELECT '(' || followee || ',' || count(*) || ')' AS line FROM ({pl}) GROUP BY followee",
+        "walk_lines": (
+            f"{all_lp} SELECT b.followee || chr(9) || a.follower || ' ' || a.followee || ' ' || b.followee || ' ' || a.follower AS line"
+            f" FROM {walk} WHERE {no_loop}"
+        ),
+    }
     if llm:
         sql |= llm.oracle_sql()
     return sql

@@ -4,9 +4,10 @@ from followgraph.functions.columns import (
     below,
     both_ends,
     divisible_by,
+    line_ids,
     pair_text,
     whole_thirds,
     walk_text,
 )
 
-__all__ = ["below", "both_ends", "divisible_by", "pair_text", "walk_text", "whole_thirds"]
+__all__ = ["below", "both_ends", "divisible_by", "line_ids", "pair_text", "walk_text", "whole_thirds"]

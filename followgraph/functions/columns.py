@@ -42,3 +42,15 @@ def pair_text(key: str, value: str) -> Column:
 def walk_text(*nodes: str) -> Column:
     """Node ids separated by single blanks."""
     return F.concat_ws(" ", *[F.col(n).cast("string") for n in nodes])
+
+
+def line_ids(line: str, sep: str, id_type: str) -> tuple[Column, Column]:
+    """The first two fields of a line as ids, null where a field is none. White space around an
+    id is no part of it; fields beyond the second are ignored."""
+    fields = F.split(F.col(line), F.lit("\\Q" + sep + "\\E"), F.lit(3))
+
+    def field(place: int) -> Column:
+        text = F.nullif(F.btrim(F.get(fields, F.lit(place)), F.lit(" \t\r")), F.lit(""))
+        return text if id_type == "string" else text.try_cast(id_type)
+
+    return field(0), field(1)

@@ -8,22 +8,28 @@ Jobs
 follower-count    followees divisible by --modulus with their number of followers
 two-path-exact    every node with its in-degree times out-degree; prints the sum
 two-path-list     every 2-path under --max; prints how many
+two-path-count    how many 2-paths there are under --max, without listing one
 triangle-list     every closed walk under --max; prints a third of their number
 triangle-count    a third of the closed walks under --max
 
 --walks says which walks count: closed (default for two-path-list), no_loop (default for the
-triangle jobs) or strict. For 2-paths, anything but closed leaves out those that go back to
-where they started.
+triangle jobs) or strict. For 2-paths there are closed and no_loop, which leaves out those that
+go back to where they started.
+
+Lines that are no edge are dropped and their number is printed to standard error;
+--strict-input makes them an error.
 """
 
 from __future__ import annotations
 
 import argparse
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import followgraph as fg
+from followgraph.functions import both_ends
 
 
 def _follower_count(edges: DataFrame, args) -> None:
@@ -53,6 +59,13 @@ def _two_path_list(edges: DataFrame, args) -> int:
     return seen.get["rows"]
 
 
+def _two_path_count(edges: DataFrame, args) -> int:
+    count = fg.two_path_count(edges, loops=args.walks in (None, "closed"), wide=args.wide)
+    count, seen = fg.with_metrics(count, "two_path_count", count=F.max("two_path_count"))
+    fg.write_scalar(count, args.output, mode=args.mode)
+    return int(seen.get["count"])
+
+
 def _triangle_list(edges: DataFrame, args) -> int:
     walks = fg.triangles(
         edges, args.walks or "no_loop", strategy=args.strategy, edge_rows=args.edges
@@ -79,10 +92,11 @@ JOBS = {
     "follower-count": _follower_count,
     "two-path-exact": _two_path_exact,
     "two-path-list": _two_path_list,
+    "two-path-count": _two_path_count,
     "triangle-list": _triangle_list,
     "triangle-count": _triangle_count,
 }
-WITH_MAX = {"two-path-list", "triangle-list", "triangle-count"}
+WITH_MAX = {"two-path-list", "two-path-count", "triangle-list", "triangle-count"}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -109,17 +123,19 @@ def parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, arguments: list[str]) -> int | None:
     """Run one job; the number it reports, if any."""
     args = parser().parse_args(arguments)
-    edges = fg.read_edges(
-        spark,
-        args.input,
-        recursive=args.recursive,
-        mode="FAILFAST" if args.strict_input else "PERMISSIVE",
-    )
+    if args.job.startswith("two-path") and args.walks == "strict":
+        raise ValueError("2-paths are closed or no_loop")
+    lines = fg.read_lines(spark, args.input, recursive=args.recursive, strict=args.strict_input)
+    lines, seen = fg.with_metrics(lines, "lines", dropped=F.count_if(~both_ends()))
+    edges = fg.valid(lines)
     if args.job in WITH_MAX:
         edges = fg.under_max(edges, args.max)
     if args.explain:
         print(fg.plan_text(edges))
-    return JOBS[args.job](edges, args)
+    result = JOBS[args.job](edges, args)
+    if seen.get["dropped"]:
+        print(f"{seen.get['dropped']} lines are no edge", file=sys.stderr)
+    return result
 
 
 def main(arguments: list[str] | None = None) -> None:

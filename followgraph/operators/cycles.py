@@ -97,7 +97,7 @@ def _ranked(pairs: DataFrame, way: Route) -> DataFrame:
     for end, other in (("a", "b"), ("b", "a")):
         left = ranked.withColumn("node", F.col(end))
         if way.split:
-            left = with_slots(left, end, hot).withColumn(
+            left = with_slots(left, end, hot, way.counted).withColumn(
                 "slot", pick_slot(F.col("degree_slots"), other)
             )
         ranked = left.join(way.mark(cyclic), keys).select(
@@ -130,7 +130,7 @@ def _wedges(ranked: DataFrame, way: Route) -> DataFrame:
     keys = ["low"]
     if way.split:
         most = way.limits
-        groups = F.least(long(most.wedge_groups), slots_for("low_degree", most.wedge_rows))
+        groups = F.least(long(way.wedge_groups), slots_for("low_degree", most.wedge_rows))
         ranked = (
             ranked.withColumn("group", pick_slot(groups, "high"))
             .withColumn("with", all_slots(groups))
@@ -357,10 +357,10 @@ def _loop_walks(pairs: DataFrame, way: Route, walks: str) -> DataFrame:
     if way.split:
         nodes = _neighbours(pairs).filter("has_in OR has_out")
         hot = hot_keys(nodes, "node", ["degree"], way.hot_limit)
-        mutual = with_slots(mutual, "node", hot).withColumn(
+        mutual = with_slots(mutual, "node", hot, way.counted).withColumn(
             "slot", pick_slot(F.col("degree_slots"), "other")
         )
-        looped = with_slots(own, "node", hot).withColumn("slot", all_slots(F.col("degree_slots")))
+        looped = with_slots(own, "node", hot, way.counted).withColumn("slot", all_slots(F.col("degree_slots")))
         keys.append("slot")
     turns = [("node", "node", "other"), ("other", "node", "node")]
     if walks == "closed":

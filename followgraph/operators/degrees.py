@@ -11,16 +11,21 @@ from followgraph.functions.columns import WIDE
 
 def follower_count(edges: DataFrame, modulus: int | None = 100) -> DataFrame:
     """``followee, follower_count`` for followees divisible by ``modulus`` (all for ``None``)."""
+    edges = edges.filter(both_ends())
     if modulus is not None:
         edges = edges.filter(divisible_by("followee", modulus))
     return edges.groupBy("followee").agg(F.count(F.lit(1)).alias("follower_count"))
 
 
-def follower_group_size(edges: DataFrame, modulus: int | None = 100) -> DataFrame:
+def follower_group_size(edges: DataFrame, modulus: int | None = 100, *, distinct: bool = True) -> DataFrame:
     """``followee, n_followers, n_distinct_followers``: the size of each group of followers.
 
-    Groups are not built. Counts are taken per edge first, then per followee.
+    Groups are not built. Counts are taken per edge first, then per followee;
+    ``distinct=False`` leaves out the second number and with it the shuffle of whole edges.
     """
+    edges = edges.filter(both_ends())
+    if not distinct:
+        return follower_count(edges, modulus).withColumnRenamed("follower_count", "n_followers")
     if modulus is not None:
         edges = edges.filter(divisible_by("followee", modulus))
     per_edge = edges.groupBy("followee", "follower").agg(F.count("follower").alias("n"))

@@ -11,6 +11,7 @@ from followgraph.plans.route import Limits, Route, route
 from followgraph.plans.skew import (
     all_slots,
     hot_keys,
+    in_blocks,
     long,
     pick_slot,
     slots_for,
@@ -29,8 +30,8 @@ def under_max(edges: DataFrame, max_id: int | None) -> DataFrame:
 
 
 def reverse(edges: DataFrame) -> DataFrame:
-    """Every edge turned round: the followee comes first."""
-    return edges.select("followee", "follower")
+    """Every edge turned round: who was followed follows."""
+    return edges.select(F.col("followee").alias("follower"), F.col("follower").alias("followee"))
 
 
 def multiplicity(edges: DataFrame) -> DataFrame:
@@ -50,7 +51,7 @@ def copies_in_blocks(distinct: DataFrame, most: int) -> DataFrame:
     """
     size = long(most)
     last = F.call_function("div", F.col("multiplicity") - 1, size)
-    return distinct.select("*", F.explode(F.sequence(long(0), last)).alias("block")).select(
+    return in_blocks(distinct, last).select(
         "follower",
         "followee",
         "block",
@@ -75,7 +76,7 @@ def keep_core(edges: DataFrame, way: Route) -> DataFrame:
     members = sizes.filter(in_core)
     kept = copies_in_blocks(distinct, way.limits.copies)
     for end, other, size in ends:
-        side = with_slots(kept, end, hot).withColumn(
+        side = with_slots(kept, end, hot, way.counted).withColumn(
             "slot", pick_slot(F.col(f"{size}_slots"), other, "block")
         )
         there = members.select(
@@ -125,7 +126,7 @@ def adjacency(
                 "follower", parts, all_slots(slots_for("n", way.hot_limit)).alias("slot")
             )
             parted = (
-                with_slots(distinct, "follower", hot_keys(sizes, "follower", ["n"], way.hot_limit))
+                with_slots(distinct, "follower", hot_keys(sizes, "follower", ["n"], way.hot_limit), way.counted)
                 .withColumn("slot", pick_slot(F.col("n_slots"), "followee"))
                 .join(way.mark(long_lists), ["follower", "slot"], "left")
             )

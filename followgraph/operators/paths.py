@@ -7,8 +7,24 @@ from pyspark.sql import functions as F
 
 from followgraph.operators.degrees import degrees
 from followgraph.operators.edges import copies_in_blocks, multiplicity
-from followgraph.plans.route import Limits, route
-from followgraph.plans.skew import all_slots, hot_keys, long, pick_slot, with_slots
+from followgraph.plans.route import Limits, Route, route
+from followgraph.plans.skew import all_slots, hot_keys, in_blocks, long, pick_slot, slots_for, with_slots
+
+
+def _with_grid(rows: DataFrame, other: str, size: str, grid: DataFrame, hot: DataFrame, way: Route) -> DataFrame:
+    """Rows keyed by ``mid_node`` with the grid of that node: ``in_slots`` times ``out_slots``
+    cells. A node with very many rows is itself met in slots, as elsewhere."""
+    keys = ["mid_node"]
+    columns = rows.columns
+    if way.split:
+        rows = with_slots(rows, "mid_node", hot, way.counted).withColumn(
+            "slot", pick_slot(F.col(f"{size}_slots"), other, "block")
+        )
+        grid = grid.withColumn("slot", all_slots(slots_for(size, way.hot_limit)))
+        keys.append("slot")
+    return rows.join(way.mark(grid), keys, "left").select(
+        *columns, *[F.coalesce(c, long(1)).alias(c) for c in ("in_slots", "out_slots")]
+    )
 
 
 def two_paths(
@@ -22,36 +38,63 @@ def two_paths(
     """``start_node, mid_node, end_node`` for every pair of edges a->b, b->c.
 
     ``loops=False`` leaves out the paths that end where they started. Repeated edges are joined
-    once and repeated in the result. The paths of a hot middle node are worked out in a grid of
-    slots: its incoming edges choose a row of the grid and are sent to all columns, its outgoing
-    edges choose a column and are sent to all rows.
+    once and repeated in the result.
+
+    A node with i edges in and o out is in the middle of i * o paths, so what a task has to
+    write is not seen from the size of its input. Every such node gets a grid of
+    ceil(i / path_rows) times ceil(o / path_rows) cells: an incoming edge picks a row of the grid
+    and is sent to all columns, an outgoing edge picks a column and is sent to all rows. A cell
+    then makes about path_rows**2 paths whatever the degrees, and the copies sent are 2/path_rows
+    of the output. Cells are dealt to as many tasks as the number of paths asks for; it is known
+    from the degrees before anything is joined.
     """
     way = route(edges, strategy, limits, edge_rows)
     distinct = multiplicity(edges)
-    steps = copies_in_blocks(distinct, limits.copies)
+    sizes = degrees(distinct, weight="multiplicity")
+    paths = sizes.agg(
+        F.sum(F.col("in_degree").cast("double") * F.col("out_degree")).alias("n")
+    ).first()["n"] or 0
+    shuffles = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(shuffles, min(limits.tasks, int(paths // limits.task_paths) + 1))
+
+    steps = copies_in_blocks(distinct, min(limits.copies, limits.path_rows))
     first = steps.select(
         F.col("follower").alias("start_node"), F.col("followee").alias("mid_node"), "block", "copies"
     )
     second = steps.select(
         F.col("followee").alias("end_node"), F.col("follower").alias("mid_node"), "block", "copies"
     )
-    keys = ["mid_node"]
-    if way.split:
-        sizes = degrees(distinct, weight="multiplicity")
-        hot = hot_keys(sizes, "node", ["in_degree", "out_degree"], way.hot_limit)
-        first = (
-            with_slots(first, "mid_node", hot)
-            .withColumn("in_slot", pick_slot(F.col("in_degree_slots"), "start_node", "block"))
-            .withColumn("out_slot", all_slots(F.col("out_degree_slots")))
+    grid = (
+        sizes.filter((F.col("in_degree") > limits.path_rows) | (F.col("out_degree") > limits.path_rows))
+        .filter("in_degree > 0 AND out_degree > 0")
+        .select(
+            F.col("node").alias("mid_node"),
+            "in_degree",
+            "out_degree",
+            slots_for("in_degree", limits.path_rows).alias("in_slots"),
+            slots_for("out_degree", limits.path_rows).alias("out_slots"),
         )
-        second = (
-            with_slots(second, "mid_node", hot)
-            .withColumn("in_slot", all_slots(F.col("in_degree_slots")))
-            .withColumn("out_slot", pick_slot(F.col("out_degree_slots"), "end_node", "block"))
-        )
-        keys += ["in_slot", "out_slot"]
-
-    a, b = first.alias("a"), way.mark(second).alias("b")
+    )
+    hot = hot_keys(sizes, "node", ["in_degree", "out_degree"], way.hot_limit)
+    first = in_blocks(
+        _with_grid(first, "start_node", "in_degree", grid, hot, way).withColumn(
+            "in_slot", pick_slot(F.col("in_slots"), "start_node", "block")
+        ),
+        F.col("out_slots") - 1,
+        "out_slot",
+    )
+    second = in_blocks(
+        _with_grid(second, "end_node", "out_degree", grid, hot, way).withColumn(
+            "out_slot", pick_slot(F.col("out_slots"), "end_node", "block")
+        ),
+        F.col("in_slots") - 1,
+        "in_slot",
+    )
+    # dealt to a stated number of tasks, which adaptive execution leaves as it is: it would merge
+    # partitions by the size of their input
+    keys = ["mid_node", "in_slot", "out_slot"]
+    a = first.repartition(tasks, *keys).alias("a")
+    b = way.mark(second if way.broadcast else second.repartition(tasks, *keys)).alias("b")
     meet = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
     if not loops:
         meet.append(F.col("a.start_node") != F.col("b.end_node"))

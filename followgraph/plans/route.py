@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -18,7 +20,9 @@ class Limits:
     ``rows``            a key with at most this many rows is never split
     ``max_share``       a key is split only if it holds more than 1/max_share of all edge ends
     ``wedge_rows``      neighbours of one middle node for each group of the wedge join
-    ``wedge_groups``    most groups of one middle node; also how often its rows are sent
+    ``path_rows``       edges into, and out of, a middle node for each cell of the 2-path join
+    ``task_paths``      2-paths that one task of a listing is to make
+    ``tasks``           most tasks of a listing
     ``copies``          most identical edges that one row of a join stands for
     ``repeats``         most identical result rows written out by one row
     ``list_size``       expected neighbours in one adjacency row
@@ -26,9 +30,11 @@ class Limits:
 
     broadcast_rows: int = 1_000_000
     rows: int = 1_000_000
-    max_share: int = 10_000
+    max_share: int = 1_000_000
     wedge_rows: int = 10_000
-    wedge_groups: int = 16
+    path_rows: int = 100
+    task_paths: int = 200_000
+    tasks: int = 50_000
     copies: int = 1_000
     repeats: int = 1_000_000
     list_size: int = 100_000
@@ -42,6 +48,7 @@ class Route:
     hint: str | None
     edge_rows: int
     limits: Limits
+    counted: bool = True
 
     @property
     def split(self) -> bool:
@@ -54,6 +61,12 @@ class Route:
         can pass it, however many edges there are."""
         return max(self.limits.rows, 2 * self.edge_rows // self.limits.max_share + 1)
 
+    @property
+    def wedge_groups(self) -> int:
+        """Groups of a node's neighbours at most. With m edges, no node has more than sqrt(2m)
+        neighbours ranked above it, and only these are put into groups."""
+        return max(1, -(-(math.isqrt(2 * self.edge_rows) + 1) // self.limits.wedge_rows))
+
     def mark(self, df: DataFrame) -> DataFrame:
         """Mark the right side of a join."""
         if self.broadcast:
@@ -67,17 +80,27 @@ def route(
     """Choose a route.
 
     The edges are counted (a scan, no shuffle) unless the caller knows an upper bound and says
-    so in ``edge_rows``. Up to ``limits.broadcast_rows`` edges, ``auto`` and ``broadcast`` send
-    whole relations to every task; none of these has more rows than there are edges or edge
-    ends. Beyond that both turn to joins that shuffle and spill. ``shuffle`` always does, and
+    so in ``edge_rows``. Such a number never leads to a broadcast by itself: where it would, the
+    scan goes on until there are more edges than may be broadcast. Up to
+    ``limits.broadcast_rows`` edges, ``auto`` and ``broadcast`` send whole relations to every
+    task; none of these has more rows than there are edges or edge ends. Beyond that both turn
+    to joins that shuffle and spill, and ``broadcast`` warns of it. ``shuffle`` always does, and
     asks for sort-merge joins; ``auto`` leaves their kind to the planner.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
-    n = edges.count() if edge_rows is None else edge_rows
+    if edge_rows is None:
+        n = edges.count()
+    elif edge_rows > limits.broadcast_rows:
+        n = edge_rows
+    else:
+        n = max(edge_rows, edges.limit(limits.broadcast_rows + 1).count())
+    if strategy == "broadcast" and n > limits.broadcast_rows:
+        warnings.warn(f"{n} edges are too many to broadcast (Limits.broadcast_rows); joins will shuffle", stacklevel=3)
     return Route(
         broadcast=strategy != "shuffle" and n <= limits.broadcast_rows,
         hint=None if strategy == "auto" else "merge",
         edge_rows=n,
         limits=limits,
+        counted=edge_rows is None,
     )

@@ -37,10 +37,13 @@ def hot_keys(sizes: DataFrame, key: str, columns: list[str], limit: int) -> Data
     )
 
 
-def with_slots(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Add the slot counts of ``key``; keys that are not hot get 1."""
+def with_slots(df: DataFrame, key: str, hot: DataFrame, bounded: bool = True) -> DataFrame:
+    """Add the slot counts of ``key``; keys that are not hot get 1.
+
+    ``bounded`` says that the number of hot keys is known to be small; where it rests on an
+    unchecked number of edges, the planner chooses the join by what it finds."""
     counts = [c for c in hot.columns if c != "hot_key"]
-    return df.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left").select(
+    return df.join(F.broadcast(hot) if bounded else hot, F.col(key) == F.col("hot_key"), "left").select(
         *df.columns, *[F.coalesce(F.col(c), long(1)).alias(c) for c in counts]
     )
 
@@ -55,16 +58,39 @@ def all_slots(slots: Column) -> Column:
     return F.explode(F.sequence(long(0), slots - 1))
 
 
+def in_blocks(df: DataFrame, last: Column, name: str = "block") -> DataFrame:
+    """Each row once for every number from 0 to ``last``, in the column ``name``. Numbers are written out digit by
+    digit in base 2^16, so no array has more than 65,536 elements however large ``last`` is."""
+    base = long(1 << 16)
+    columns = df.columns
+    df = df.select(*columns, last.alias("__last"), long(0).alias(name))
+    for power in (2, 1, 0):
+        unit = long((1 << 16) ** power)
+        # how many units are left from this block's start to the end
+        left = F.call_function("div", F.col("__last") - F.col(name), unit)
+        digits = F.sequence(long(0), F.least(base - 1, left)) if power < 2 else F.sequence(long(0), left)
+        df = df.select(*columns, "__last", name, F.explode(digits).alias("__digit")).select(
+            *columns, "__last", (F.col(name) + F.col("__digit") * unit).alias(name)
+        )
+    return df.drop("__last")
+
+
 def repeat_rows(df: DataFrame, times: str, columns: list[str], most: int) -> DataFrame:
     """Each row ``times`` times over.
 
-    Rows with many repeats are first cut into blocks of ``most`` and the blocks spread over
-    tasks, so one heavy row is not written out by a single task.
+    Rows with more than ``most`` repeats are cut into blocks of ``most`` and the blocks spread
+    over tasks, so one heavy row is not written out by a single task. All other rows stay in
+    the partition they are in.
     """
     size = long(most)
+    light = df.filter(F.col(times) <= size).select(*columns, F.col(times).alias("__times"))
+    heavy = df.filter(F.col(times) > size).select(*columns, times)
     last = F.call_function("div", F.col(times) - 1, size)
-    blocks = df.select(
-        *columns, times, F.explode(F.sequence(long(0), last)).alias("block")
-    ).repartition(*columns, "block")
-    rest = F.least(size, F.col(times) - F.col("block") * size)
-    return blocks.select(*columns, F.explode(F.sequence(long(1), rest)).alias("repeat")).select(*columns)
+    blocks = in_blocks(heavy, last).repartition(*columns, "block").select(
+        *columns, F.least(size, F.col(times) - F.col("block") * size).alias("__times")
+    )
+
+    def written(rows: DataFrame) -> DataFrame:
+        return rows.select(*columns, F.explode(F.sequence(long(1), F.col("__times")))).select(*columns)
+
+    return written(light).unionByName(written(blocks))

@@ -1,12 +1,23 @@
 """Edge tables in, result files out."""
 
-from followgraph.sources.readers import EDGE_SCHEMA, from_table, read_edges, read_walks
+from followgraph.sources.readers import (
+    EDGE_SCHEMA,
+    dropped_lines,
+    from_table,
+    parse_lines,
+    read_edges,
+    read_lines,
+    read_walks,
+)
 from followgraph.sources.writers import write_csv, write_pairs, write_scalar, write_tsv
 
 __all__ = [
     "EDGE_SCHEMA",
+    "dropped_lines",
     "from_table",
+    "parse_lines",
     "read_edges",
+    "read_lines",
     "read_walks",
     "write_csv",
     "write_pairs",

@@ -6,11 +6,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from followgraph.functions import both_ends
+from followgraph.functions import both_ends, line_ids
 
 EDGE_SCHEMA = "follower bigint, followee bigint"
 
 
+def parse_lines(
+    lines: DataFrame, line: str = "value", *, sep: str = ",", id_type: str = "bigint", strict: bool = False
+) -> DataFrame:
+    """``follower, followee`` of every line of text that isn't blank; a field that is no id is
+    null. ``strict`` raises on such lines, and on lines with more than two fields."""
+    follower, followee = line_ids(line, sep, id_type)
+    filled = lines.filter(F.trim(F.col(line)) != "")
+    edges = filled.select(follower.alias("follower"), followee.alias("followee"), F.col(line).alias("__line"))
+    if strict:
+        good = both_ends() & (F.size(F.split("__line", "\\Q" + sep + "\\E")) <= 2)
+        fail = F.raise_error(F.concat(F.lit("MALFORMED line: "), F.col("__line"))).cast(id_type)
+        edges = edges.withColumn("follower", F.when(good, F.col("follower")).otherwise(fail))
+    return edges.drop("__line")
+
+
+def read_lines(
+    spark: SparkSession,
+    path: str | list[str],
+    *,
+    recursive: bool = False,
+    id_type: str = "bigint",
+    sep: str = ",",
+    strict: bool = False,
+) -> DataFrame:
+    """Headerless ``follower,followee`` text files or directories, one row per line that isn't
+    blank, with nulls where a field is no id; ``valid`` drops these rows."""
+    reader = spark.read.option("recursiveFileLookup", "true") if recursive else spark.read
+    return parse_lines(reader.text(path), sep=sep, id_type=id_type, strict=strict)
+
+
 def read_edges(
     spark: SparkSession,
     path: str | list[str],
@@ -22,26 +52,31 @@ def read_edges(
 ) -> DataFrame:
     """Headerless ``follower,followee`` text files or directories.
 
-    The schema is given, not inferred, so no extra pass over the data runs. By default a cell
-    that is no id becomes null and its row is dropped, and further columns are ignored;
-    ``mode="FAILFAST"`` raises on both. ``id_type="string"`` keeps ids as text.
+    By default (and with ``mode="DROPMALFORMED"``) a line with a field that is no id is dropped,
+    and further fields are ignored; ``mode="FAILFAST"`` raises on both. ``id_type="string"``
+    keeps ids as text. ``dropped_lines`` tells how many lines have gone.
     """
-    reader = spark.read.schema(f"follower {id_type}, followee {id_type}").option("mode", mode)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    return reader.csv(path, sep=sep).filter(both_ends())
+    strict = mode.upper() == "FAILFAST"
+    return read_lines(spark, path, recursive=recursive, id_type=id_type, sep=sep, strict=strict).filter(both_ends())
+
+
+def dropped_lines(lines: DataFrame) -> DataFrame:
+    """One row, ``n_lines, n_dropped``: lines that aren't blank, and those that are no edge."""
+    return lines.agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count_if(~both_ends()).alias("n_dropped")
+    )
 
 
 def from_table(df: DataFrame, follower: str, followee: str, *, id_type: str = "bigint") -> DataFrame:
-    """Two columns of any DataFrame as edges; rows without both ids are dropped."""
+    """Two columns of any DataFrame as edges; rows without both ids are dropped.
+
+    A column of fractions is refused: casting would make one id of several."""
 
     def ids(name: str):
-        column = F.col(name)
-        if isinstance(df.schema[name].dataType, T.StringType):
-            column = column.try_cast(id_type)
-        else:
-            column = column.cast(id_type)
-        return column
+        column, kind = F.col(name), df.schema[name].dataType
+        if isinstance(kind, T.FractionalType) and not (isinstance(kind, T.DecimalType) and kind.scale == 0):
+            raise ValueError(f"{name}: ids can't be of type {kind.simpleString()}")
+        return column.try_cast(id_type) if isinstance(kind, T.StringType) else column.cast(id_type)
 
     edges = df.select(ids(follower).alias("follower"), ids(followee).alias("followee"))
     return edges.filter(both_ends())

@@ -96,5 +96,15 @@ def test_string_ids(spark):
 def test_multiplicity_and_reverse(graph):
     e = graph(TOY2)
     assert rows(fg.multiplicity(e)) == sorted((a, b, n) for (a, b), n in Counter(TOY2).items())
-    assert fg.reverse(e).columns == ["followee", "follower"]
+    assert fg.reverse(e).columns == ["follower", "followee"]
     assert rows(fg.reverse(e)) == sorted((b, a) for a, b in TOY2)
+    assert rows(fg.reverse(fg.reverse(e))) == sorted(TOY2)
+    assert rows(fg.degrees(fg.reverse(e))) == sorted((n, o, i) for n, i, o in rows(fg.degrees(e)))
+
+
+def test_null_ends_count_nowhere(graph):
+    e = graph([(1, 2), (None, 2), (3, None)])
+    assert rows(fg.follower_count(e, None)) == [(2, 1)]
+    assert rows(fg.follower_group_size(e, None)) == [(2, 1, 1)]
+    assert rows(fg.follower_group_size(e, None, distinct=False)) == [(2, 1)]
+    assert rows(fg.degrees(e)) == [(1, 0, 1), (2, 1, 0)]

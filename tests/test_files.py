@@ -43,6 +43,21 @@ def test_extra_columns(spark, write):
         fg.read_edges(spark, path, mode="FAILFAST").collect()
 
 
+def test_blanks_and_fractions(spark, write):
+    path = write(" 1, 100\n5.0,100\n2 ,\t7\n1;2\n")
+    assert rows(fg.read_edges(spark, path)) == [(1, 100), (2, 7)]
+    lines = fg.read_lines(spark, path)
+    assert [tuple(r) for r in fg.dropped_lines(lines).collect()] == [(4, 2)]
+    assert rows(fg.read_edges(spark, path, sep=";")) == [(1, 2)]
+
+
+def test_fractions_are_no_ids(spark):
+    df = spark.createDataFrame([(100.9, 2)], "a double, b int")
+    with pytest.raises(ValueError, match="double"):
+        fg.from_table(df, "a", "b")
+    assert rows(fg.from_table(df.select(df.a.cast("decimal(5,0)"), "b"), "a", "b")) == [(101, 2)]
+
+
 def test_nested_directories(spark, write):
     write("1,2\n", "top.csv")
     path = write("3,4\n", "deep/er/more.csv")
@@ -88,6 +103,8 @@ def test_triangle_lines(graph, tmp_path):
 def test_scalar(graph, tmp_path):
     fg.write_scalar(fg.triangle_count(graph(TOY2), "closed"), str(tmp_path / "n"))
     assert lines(tmp_path / "n") == ["5"]
+    with pytest.raises(ValueError, match="one column"):
+        fg.write_scalar(fg.degrees(graph(TOY2)), str(tmp_path / "m"))
 
 
 def test_metrics_ride_along_with_a_write(graph, tmp_path):
@@ -105,6 +122,9 @@ TOY_TEXT = "\n".join(f"{a},{b}" for a, b in TOY2)
         (["two-path-exact"], 24),
         (["two-path-list", "--max", "6"], len(brute_paths([p for p in TOY2 if max(p) < 6]))),
         (["two-path-list", "--walks", "no_loop"], 16),
+        (["two-path-count", "--max", "6"], len(brute_paths([p for p in TOY2 if max(p) < 6]))),
+        (["two-path-count"], 24),
+        (["two-path-count", "--walks", "no_loop", "--wide"], 16),
         (["triangle-list", "--max", "10000"], 4),
         (["triangle-list", "--walks", "closed", "--strategy", "broadcast"], 5),
         (["triangle-count", "--max", "10000", "--strategy", "shuffle"], 4),
@@ -137,3 +157,18 @@ def test_listed_triangles_match(spark, write, tmp_path):
     jobs.run(spark, ["triangle-list", write(TOY_TEXT), str(tmp_path / "t"), "--walks", "closed"])
     got = rows(fg.read_walks(spark, str(tmp_path / "t"), ["key", "n1", "n2", "n3", "back"]))
     assert [r[1:4] for r in got] == brute_walks(TOY2, "closed")
+
+
+def test_sample_counts(spark, write, tmp_path):
+    source = write("\n".join(f"{a},{b}" for a, b in TOY))
+    assert jobs.run(spark, ["two-path-count", source, str(tmp_path / "a"), "--max", "6"]) == 8
+    assert jobs.run(spark, ["two-path-count", source, str(tmp_path / "b")]) == 13
+    with pytest.raises(ValueError, match="no_loop"):
+        jobs.run(spark, ["two-path-list", source, str(tmp_path / "c"), "--walks", "strict"])
+
+
+def test_dropped_lines_are_told(spark, write, tmp_path, capsys):
+    source = write("1,100\nx,1\n\n2,\n")
+    jobs.run(spark, ["follower-count", source, str(tmp_path / "out")])
+    assert "2 lines are no edge" in capsys.readouterr().err
+    assert lines(tmp_path / "out") == ["100,1"]

@@ -10,7 +10,7 @@ STRATEGIES = ["auto", "shuffle", "broadcast"]
 
 # Every splitting rule at work on a handful of rows.
 TINY = fg.Limits(
-    rows=2, max_share=50, wedge_rows=1, wedge_groups=3, copies=2, repeats=2, list_size=2, broadcast_rows=0
+    rows=2, max_share=50, wedge_rows=1, path_rows=2, task_paths=3, copies=2, repeats=2, list_size=2, broadcast_rows=0
 )
 
 

@@ -55,14 +55,47 @@ def test_no_nested_loops_and_no_python(lp, strategy):
 
 def test_shuffle_strategy_sends_edges_by_key(lp):
     text = plan(fg.two_paths(lp, strategy="shuffle"))
-    assert "SortMergeJoin" in text and "in_slot" not in text
+    assert "SortMergeJoin" in text and "in_slot" in text and "in_degree_slots" not in text
     text = plan(fg.two_paths(lp, strategy="shuffle", edge_rows=10**12))
-    assert "SortMergeJoin" in text and "in_slot" in text
+    assert "SortMergeJoin" in text and "in_slot" in text and "in_degree_slots" in text
 
 
-def test_broadcast_strategy_sends_no_edges_by_key(lp):
+def test_broadcast_strategy_joins_without_sorting(lp):
     text = plan(fg.two_paths(lp, strategy="broadcast"))
-    assert "SortMergeJoin" not in text and "in_slot" not in text
+    assert "SortMergeJoin" not in text and "in_slot" in text
+
+
+@pytest.mark.parametrize("how", [{"strategy": "shuffle"}, {"strategy": "auto"}, {"strategy": "shuffle", "limits": fg.Limits(broadcast_rows=0, rows=1000)}])
+def test_no_task_lists_a_hub(spark, how):
+    """3,000 followers of one node and 3,000 it follows make 9 million of 9.2 million paths."""
+    into = spark.range(3000).select((F.col("id") + 10).alias("follower"), F.lit(0).cast("long").alias("followee"))
+    out = into.select(F.col("followee").alias("follower"), (F.col("follower") + 10_000).alias("followee"))
+    rest = spark.range(200_000).select(
+        (F.xxhash64("id") % 100_000 + 200_000).alias("follower"), (F.xxhash64("id", "id") % 100_000 + 200_000).alias("followee")
+    )
+    paths = fg.two_paths(into.union(out).union(rest), **how)
+    sizes = [r["count"] for r in paths.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) > 9_000_000 and max(sizes) <= 0.05 * sum(sizes)
+
+
+def test_blocks_have_no_long_arrays(spark):
+    from followgraph.plans.skew import in_blocks
+
+    got = in_blocks(spark.range(2), F.when(F.col("id") == 0, 0).otherwise(70_000)).groupBy("id").agg(
+        F.count("*").alias("n"), F.countDistinct("block").alias("d"), F.max("block").alias("top")
+    )
+    assert sorted(tuple(r) for r in got.collect()) == [(0, 1, 1, 0), (1, 70_001, 70_001, 70_000)]
+    # 3e12 copies in blocks of 1,000 are more than one array can hold; the first ones come at once
+    first = in_blocks(spark.range(1), F.lit(3 * 10**9 - 1).cast("long")).limit(5)
+    assert first.count() == 5
+
+
+def test_a_wrong_number_of_edges_broadcasts_nothing(spark, lp):
+    n = lp.count()
+    way = route(lp, "auto", fg.Limits(broadcast_rows=n - 1), edge_rows=1)
+    assert not way.broadcast and way.edge_rows == n
+    with pytest.warns(UserWarning, match="too many"):
+        route(lp, "broadcast", fg.Limits(broadcast_rows=n - 1))
 
 
 @pytest.mark.parametrize("limits", [fg.Limits(), fg.Limits(broadcast_rows=0, rows=100, list_size=5)])
@@ -111,7 +144,7 @@ def test_hot_keys_are_few(spark, lp):
 
 def test_a_known_number_of_edges_is_not_counted_again(spark, lp):
     broken = lp.filter(F.raise_error(F.lit("scanned")).isNull())
-    fg.triangle_count(broken, edge_rows=10)
+    fg.triangle_count(broken, edge_rows=10**7)
     with pytest.raises(Exception, match="scanned"):
         fg.triangle_count(broken)
 
