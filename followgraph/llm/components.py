@@ -18,7 +18,8 @@ from followgraph.llm.common import stored
 def _with_least(edges: DataFrame) -> DataFrame:
     """(u, v, m): m is the least of u and its neighbours."""
     least = edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return edges.join(least, "u")
+    # dealt anew, so that the join shuffles both sides and a hub's rows can be split in it
+    return edges.join(least.repartition(F.xxhash64("u")), "u")
 
 
 def _large(edges: DataFrame) -> DataFrame:

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from followgraph.llm.common import (
     WordHashes,
+    bucket_count,
     chunks,
     coarse,
     hashed_words,
@@ -47,7 +48,9 @@ from followgraph.llm.common import (
 )
 
 WINDOW = 20
-BUCKETS = 32
+BUCKETS = 64
+#: Bytes of text that a task hashes at once: a dozen arrays of eight bytes a word stand beside it.
+CHUNK = 8 << 20
 _LOW = np.uint64((1 << 40) - 1)
 _MANY, _ALIGNED = 1, 2
 #: What a row of an exchange holds: entries for a bucket, or news of a chunk about itself.
@@ -106,7 +109,7 @@ def _probe(docs: DataFrame, block: int, buckets: int) -> DataFrame:
 
     def run(batches):
         hashes = WordHashes()
-        for part in chunks(batches, "text"):
+        for part in chunks(batches, "text", CHUNK):
             words, starts = hashed_words(part["text"], hashes, lower=False)
             keys = part["key"].to_numpy(np.int64)
             chunk = _chunk_id(keys)
@@ -214,7 +217,7 @@ def _extend(docs: DataFrame, window: int, block: int, buckets: int) -> DataFrame
 
     def run(batches):
         hashes = WordHashes()
-        for part in chunks(batches, "text"):
+        for part in chunks(batches, "text", CHUNK):
             words, starts = hashed_words(part["text"], hashes, lower=False)
             keys = part["key"].to_numpy(np.int64)
             ids = part["order"].to_numpy(np.int64)
@@ -301,10 +304,11 @@ def _later_in_bucket(group: pd.DataFrame) -> pd.DataFrame:
 _ANSWER = "chunk long, what int, a binary, b binary, c binary, d binary"
 
 
-def repeated_places(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
+def repeated_places(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
     """(key, runs): for each document with words to remove, runs (start, number) of the places
     where a window begins that also begins earlier; `key` is the row_key of the document."""
     block = max(window // 2, 1)
+    buckets = buckets or bucket_count(docs, BUCKETS)
     rows = docs.select(
         row_key(F.col(id_column), F.col(text)).alias("key"),
         F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))).alias("order"),
