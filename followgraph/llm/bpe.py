@@ -30,12 +30,15 @@ from dataclasses import dataclass, field
 
 import pandas as pd
 import regex
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Code points with the property White_Space, which is what the split pattern's \\s means.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-MEMORY = 1 << 20
+#: Entries of each memory of an encoder, which its process keeps from task to task.
+MEMORY = 1 << 19
 _NEVER = 1 << 62
 
 
@@ -57,12 +60,15 @@ class BpeModel:
     pattern: str
     #: Neighbouring symbols that occur inside some token; all others are certain cuts.
     inner: frozenset[tuple[str, str]] = field(default_factory=frozenset)
+    #: Tells models apart: a digest of the file.
+    key: str = ""
 
 
 def load_bpe(path: str) -> BpeModel:
     """Read a `tokenizers` JSON file of the kind described above (on the driver)."""
     with open(path, encoding="utf-8") as file:
-        whole = json.load(file)
+        content = file.read()
+    whole = json.loads(content)
     model, normalizer, pre = whole["model"], whole["normalizer"], whole["pre_tokenizer"]
     kinds = [x["type"] for x in normalizer["normalizers"]], [x["type"] for x in pre["pretokenizers"]]
     if model["type"] != "BPE" or kinds != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]):
@@ -79,6 +85,7 @@ def load_bpe(path: str) -> BpeModel:
         {t["content"]: t["id"] for t in whole["added_tokens"]},
         pre["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", _SPACE),
         frozenset(inner),
+        xxhash.xxh3_128_hexdigest(content.encode("utf-8")),
     )
 
 
@@ -169,6 +176,18 @@ class Encoder:
         return b"".join([c[0] for c in coded]), "".join([c[1] for c in coded])[:-1]
 
 
+#: The encoder of this Python process, by its model's key: tasks that follow each other in one
+#: process go on with what it remembers.
+_KEPT: dict[str, Encoder] = {}
+
+
+def _encoder(key: str, shipped: Broadcast) -> Encoder:
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = Encoder(shipped.value)
+    return _KEPT[key]
+
+
 def encode(
     docs: DataFrame,
     model: BpeModel,
@@ -180,7 +199,7 @@ def encode(
     text that the ids decode to. `finish` makes other columns of a text's little-endian ids and
     decoded text, where ids need not leave the task (digests, packed rows)."""
     spark = docs.sparkSession
-    shipped = spark.sparkContext.broadcast(model)
+    shipped, key = spark.sparkContext.broadcast(model), model.key
     new = [part.split()[0] for part in schema.split(", ")]
     rest = docs.select(*[c for c in docs.columns if c not in new or c == text])
     made = finish or (
@@ -188,7 +207,7 @@ def encode(
     )
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(shipped.value)
+        encoder = _encoder(key, shipped)
         for series in batches:
             yield pd.DataFrame([made(*encoder.encode(t)) for t in series], columns=new)
 
