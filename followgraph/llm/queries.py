@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from followgraph.llm import bpe, decontamination, html_extract, license_scan, minhash_dedup, pitman_yor, quality, secret_scan, substring_dedup, vectors
-from followgraph.llm.common import fold, sha256_hex
+from followgraph.llm.common import fold, sha256_hex, stored
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -92,8 +92,6 @@ FROM d LEFT JOIN c ON d.k = c.k LEFT JOIN t ON d.k = t.k
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from followgraph.llm.common import stored
-
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     known = stored(quality.document_statistics(docs), "statistics")
     model = quality.fit_quality(known, table(spark, sf_dir, "labels"))
