@@ -28,17 +28,23 @@ from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Code points with the property White_Space, which is what the split pattern's \\s means.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Entries of each memory of an encoder, which its process keeps from task to task.
 MEMORY = 1 << 19
+#: Bytes of text whose ids and decoded texts are held at once.
+PART = 2 << 20
 _NEVER = 1 << 62
 
 
@@ -188,33 +194,51 @@ def _encoder(key: str, shipped: Broadcast) -> Encoder:
     return _KEPT[key]
 
 
+def _parts(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Stretches of rows with about `most` bytes of text each."""
+    start = size = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        size += n
+        if size >= most:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def _all_of(coded: list[tuple[bytes, str]]) -> list[pa.Array]:
+    """ids, n_tokens and decoded of coded texts."""
+    sizes = np.array([len(ids) // 4 for ids, _ in coded], np.int64)
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    values = np.frombuffer(b"".join([ids for ids, _ in coded]), "<u4").astype(np.int32)
+    return [pa.ListArray.from_arrays(offsets, values), pa.array(sizes), pa.array([shown for _, shown in coded], pa.string())]
+
+
 def encode(
     docs: DataFrame,
     model: BpeModel,
     text: str = "text",
-    finish: Callable[[bytes, str], dict] | None = None,
+    finish: Callable[[bytes, str], tuple] | None = None,
     schema: str = "ids array<int>, n_tokens bigint, decoded string",
 ) -> DataFrame:
     """All columns of `docs` but those named in `schema`, and those: token ids, their number and the
     text that the ids decode to. `finish` makes other columns of a text's little-endian ids and
-    decoded text, where ids need not leave the task (digests, packed rows)."""
-    spark = docs.sparkSession
-    shipped, key = spark.sparkContext.broadcast(model), model.key
-    new = [part.split()[0] for part in schema.split(", ")]
-    rest = docs.select(*[c for c in docs.columns if c not in new or c == text])
-    made = finish or (
-        lambda ids, shown: {"ids": array("I", ids).tolist(), "n_tokens": len(ids) // 4, "decoded": shown}
-    )
+    decoded text, where ids need not leave the task (digests)."""
+    shipped, key = docs.sparkSession.sparkContext.broadcast(model), model.key
+    new = T.StructType.fromDDL(schema)
+    other = [c for c in docs.columns if c not in new.names]
+    rows = docs.select(*other, F.col(text).cast("string").alias("__bpe_text"))
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(key, shipped)
-        for series in batches:
-            yield pd.DataFrame([made(*encoder.encode(t)) for t in series], columns=new)
-
-    apply = F.pandas_udf(run, schema)
-    return rest.withColumn("__bpe", apply(F.col(text).cast("string"))).select(
-        *[c for c in rest.columns if c not in new], "__bpe.*"
-    )
+        for batch in batches:
+            for a, b in _parts(batch.column("__bpe_text"), PART):
+                part = batch.slice(a, b - a)
+                coded = [encoder.encode(t) for t in part.column("__bpe_text").to_pylist()]
+                made = [pa.array(c) for c in zip(*[finish(*c) for c in coded])] if finish else _all_of(coded)
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in other] + made, [*other, *new.names])
+
+    return rows.mapInArrow(run, T.StructType([f for f in rows.schema if f.name != "__bpe_text"] + new.fields))
 
 
 def decode(coded: DataFrame, model: BpeModel, ids: str = "ids") -> DataFrame:

@@ -26,12 +26,8 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _digests(ids: bytes, shown: str) -> dict:
-    return {
-        "n_tokens": len(ids) // 4,
-        "ids_sha256": hashlib.sha256(ids).hexdigest(),
-        "decoded_sha256": hashlib.sha256(shown.encode("utf-8")).hexdigest(),
-    }
+def _digests(ids: bytes, shown: str) -> tuple[int, str, str]:
+    return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(shown.encode("utf-8")).hexdigest()
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
