@@ -52,7 +52,6 @@ def _two_path_list(edges: DataFrame, args) -> int:
         edges,
         loops=args.walks in (None, "closed"),
         strategy=args.strategy,
-        edge_rows=args.edges,
     )
     paths, seen = fg.with_metrics(paths, "two_path_list")
     fg.write_tsv(paths, args.output, mode=args.mode)
@@ -107,7 +106,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("input", help="file or directory of follower,followee lines")
     p.add_argument("output", help="directory to write")
     p.add_argument("--max", type=int, default=None, help="keep edges with both ids below this")
-    p.add_argument("--edges", type=int, help="number of edges, if known; saves counting them")
+    p.add_argument("--edges", type=int, help="number of edges, if known; saves the triangle jobs counting them")
     p.add_argument("--modulus", type=int, default=100, help="0 keeps all followees")
     p.add_argument("--walks", choices=fg.WALKS)
     p.add_argument("--strategy", choices=fg.STRATEGIES, default="auto")

@@ -33,7 +33,6 @@ def two_paths(
     loops: bool = True,
     strategy: str = "auto",
     limits: Limits = Limits(),
-    edge_rows: int | None = None,
 ) -> DataFrame:
     """``start_node, mid_node, end_node`` for every pair of edges a->b, b->c.
 
@@ -48,12 +47,14 @@ def two_paths(
     of the output. Cells are dealt to as many tasks as the number of paths asks for; it is known
     from the degrees before anything is joined.
     """
-    way = route(edges, strategy, limits, edge_rows)
     distinct = multiplicity(edges)
     sizes = degrees(distinct, weight="multiplicity")
-    paths = sizes.agg(
-        F.sum(F.col("in_degree").cast("double") * F.col("out_degree")).alias("n")
-    ).first()["n"] or 0
+    # from the edges as they are: next to nothing of them is left before the shuffle
+    n, paths = degrees(edges).agg(
+        F.coalesce(F.sum("in_degree"), long(0)),
+        F.coalesce(F.sum(F.col("in_degree").cast("double") * F.col("out_degree")), F.lit(0.0)),
+    ).first()
+    way = route(edges, strategy, limits, counted=n)
     shuffles = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(shuffles, min(limits.tasks, int(paths // limits.task_paths) + 1))
 

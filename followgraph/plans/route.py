@@ -75,7 +75,7 @@ class Route:
 
 
 def route(
-    edges: DataFrame, strategy: str, limits: Limits, edge_rows: int | None = None
+    edges: DataFrame, strategy: str, limits: Limits, edge_rows: int | None = None, counted: int | None = None
 ) -> Route:
     """Choose a route.
 
@@ -84,12 +84,15 @@ def route(
     scan goes on until there are more edges than may be broadcast. Up to
     ``limits.broadcast_rows`` edges, ``auto`` and ``broadcast`` send whole relations to every
     task; none of these has more rows than there are edges or edge ends. Beyond that both turn
-    to joins that shuffle and spill, and ``broadcast`` warns of it. ``shuffle`` always does, and
+    to joins that shuffle and spill, and ``broadcast`` warns of it. ``counted`` is for an
+    operator that has counted the edges itself. ``shuffle`` always does, and
     asks for sort-merge joins; ``auto`` leaves their kind to the planner.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
-    if edge_rows is None:
+    if counted is not None:
+        n = counted
+    elif edge_rows is None:
         n = edges.count()
     elif edge_rows > limits.broadcast_rows:
         n = edge_rows
@@ -102,5 +105,5 @@ def route(
         hint=None if strategy == "auto" else "merge",
         edge_rows=n,
         limits=limits,
-        counted=edge_rows is None,
+        counted=edge_rows is None or counted is not None,
     )

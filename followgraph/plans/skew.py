@@ -78,19 +78,13 @@ def in_blocks(df: DataFrame, last: Column, name: str = "block") -> DataFrame:
 def repeat_rows(df: DataFrame, times: str, columns: list[str], most: int) -> DataFrame:
     """Each row ``times`` times over.
 
-    Rows with more than ``most`` repeats are cut into blocks of ``most`` and the blocks spread
-    over tasks, so one heavy row is not written out by a single task. All other rows stay in
-    the partition they are in.
+    Rows with many repeats are first cut into blocks of ``most`` and the blocks spread over
+    tasks, so one heavy row is not written out by a single task. All rows take part in that one
+    shuffle: leaving the light ones out means a second run of what made the rows, which was
+    measured to take longer.
     """
     size = long(most)
-    light = df.filter(F.col(times) <= size).select(*columns, F.col(times).alias("__times"))
-    heavy = df.filter(F.col(times) > size).select(*columns, times)
     last = F.call_function("div", F.col(times) - 1, size)
-    blocks = in_blocks(heavy, last).repartition(*columns, "block").select(
-        *columns, F.least(size, F.col(times) - F.col("block") * size).alias("__times")
-    )
-
-    def written(rows: DataFrame) -> DataFrame:
-        return rows.select(*columns, F.explode(F.sequence(long(1), F.col("__times")))).select(*columns)
-
-    return written(light).unionByName(written(blocks))
+    blocks = in_blocks(df.select(*columns, times), last).repartition(*columns, "block")
+    rest = F.least(size, F.col(times) - F.col("block") * size)
+    return blocks.select(*columns, F.explode(F.sequence(long(1), rest)).alias("repeat")).select(*columns)

@@ -56,7 +56,7 @@ def test_no_nested_loops_and_no_python(lp, strategy):
 def test_shuffle_strategy_sends_edges_by_key(lp):
     text = plan(fg.two_paths(lp, strategy="shuffle"))
     assert "SortMergeJoin" in text and "in_slot" in text and "in_degree_slots" not in text
-    text = plan(fg.two_paths(lp, strategy="shuffle", edge_rows=10**12))
+    text = plan(fg.two_paths(lp, strategy="shuffle", limits=fg.Limits(rows=1000)))
     assert "SortMergeJoin" in text and "in_slot" in text and "in_degree_slots" in text
 
 
