@@ -2,9 +2,9 @@
 
 1. A text's set: its distinct five-word shingles (64-bit hashes; A-Z lower-cased; a shorter
    text is one shingle). Texts with equal sets form a class and go on as one.
-2. A class's signature of BANDS * ROWS minima is cut into bands; classes that agree on a band
-   are candidates of each other. A pair at the threshold shares no band with a chance of
-   (1 - t**ROWS) ** BANDS, under 1e-6 for the settings below.
+2. A class's signature of MINIMA minima is cut into bands; classes that agree on a band are
+   candidates of each other. A pair at the threshold t shares no band with a chance of
+   (1 - t**rows) ** bands; bands have as many rows as keep that at `miss` or below.
 3. Verification compares signatures batch by batch. With m of n equal and a flat prior, the
    posterior chance of similarity t or more is P(Binomial(n + 1, t) <= m); a pair is dropped
    as soon as that is under `miss`. What survives is verified exactly on the full sets.
@@ -36,12 +36,12 @@ from followgraph.llm.common import WordHashes, chunks, coarse, hashed_words, mix
 from followgraph.llm.components import components
 
 WIDTH = 5
-BANDS, ROWS = 24, 5
+MINIMA = 120
 BATCH = 24
 MISS = 1e-6
 BLOCK = 512
 
-_FACTORS = np.random.default_rng(20).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS = np.random.default_rng(20).integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingles(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -52,18 +52,24 @@ def shingles(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
 
 
 def signature(own: np.ndarray) -> np.ndarray:
-    """Minima of BANDS * ROWS hash functions over a set, each cut to 32 bits."""
+    """Minima of MINIMA hash functions over a set, each cut to 32 bits."""
     least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(own), 2048):
         np.minimum(least, (own[at : at + 2048, None] * _FACTORS).min(axis=0), out=least)
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
-def band_hashes(signatures: np.ndarray) -> np.ndarray:
+def band_rows(percent: int, miss: float = MISS) -> int:
+    """Rows of a band: the most for which a pair at the threshold is missed with `miss` at most."""
+    fit = [r for r in (6, 5, 4, 3, 2) if (1 - (percent / 100) ** r) ** (MINIMA // r) <= miss]
+    return fit[0] if fit else 1
+
+
+def band_hashes(signatures: np.ndarray, rows: int) -> np.ndarray:
     """A 64-bit value for each band of each signature (rows of a matrix)."""
-    parts = signatures.reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
-    total = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), parts.shape[:2]).copy()
-    for k in range(ROWS):
+    parts = signatures.reshape(len(signatures), MINIMA // rows, rows).astype(np.uint64)
+    total = np.broadcast_to(np.arange(parts.shape[1], dtype=np.uint64), parts.shape[:2]).copy()
+    for k in range(rows):
         total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, k])
     return total.view(np.int64)
 
@@ -72,7 +78,7 @@ def band_hashes(signatures: np.ndarray) -> np.ndarray:
 def least_matches(threshold: float, miss: float = MISS) -> tuple[tuple[int, int], ...]:
     """(n, least number of equal minima among the first n) that keep a pair alive."""
     table = []
-    for n in range(BATCH, BANDS * ROWS + 1, BATCH):
+    for n in range(BATCH, MINIMA + 1, BATCH):
         total, m = 0.0, -1
         while total < miss:
             m += 1
@@ -132,15 +138,15 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInPandas(run, "id long, n long, class binary, signature binary")
 
 
-def _bands(classes: DataFrame) -> DataFrame:
-    """(band, id): BANDS rows for each class."""
+def _bands(classes: DataFrame, rows: int) -> DataFrame:
+    """(band, id): a row for each band of each class."""
 
     def run(batches):
         for frame in batches:
             if len(frame):
                 matrix = np.frombuffer(b"".join(frame["signature"]), np.uint32).reshape(len(frame), -1)
-                ids = np.repeat(frame["id"].to_numpy(np.int64), BANDS)
-                yield pd.DataFrame({"band": band_hashes(matrix).ravel(), "id": ids})
+                ids = np.repeat(frame["id"].to_numpy(np.int64), MINIMA // rows)
+                yield pd.DataFrame({"band": band_hashes(matrix, rows).ravel(), "id": ids})
 
     return classes.select("id", "signature").mapInPandas(run, "band long, id long")
 
@@ -195,6 +201,7 @@ def _leftover(members: DataFrame, known: DataFrame, classes: DataFrame, docs: Da
     ids = open_.select("id").distinct()
     own = _sets(_near(docs, ids), width).dropDuplicates(["id", "own"])
     whole = _near(classes.select("id", "signature"), ids).join(own, "id").join(ids, "id")
+    rows = band_rows(percent, miss)
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     placed = open_.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     every = F.sequence(F.lit(0), blocks - 1)
@@ -204,18 +211,18 @@ def _leftover(members: DataFrame, known: DataFrame, classes: DataFrame, docs: Da
     cells = left.unionByName(right).join(whole, "id")
 
     def run(cell: pd.DataFrame) -> pd.DataFrame:
-        return _links_in_cell(cell, percent, miss)
+        return _links_in_cell(cell, percent, miss, rows)
 
     return stored(cells.groupBy("band", "row", "column").applyInPandas(run, "a long, b long").distinct(), "leftover")
 
 
-def _links_in_cell(cell: pd.DataFrame, percent: int, miss: float) -> pd.DataFrame:
+def _links_in_cell(cell: pd.DataFrame, percent: int, miss: float, rows: int) -> pd.DataFrame:
     x, y = cell[cell["left"]], cell[~cell["left"]]
     if not len(x) or not len(y):
         return pd.DataFrame({"a": [], "b": []}, dtype="int64")
     band = int(cell["band"].iloc[0])
     sx, sy = (np.frombuffer(b"".join(s["signature"]), np.uint32).reshape(len(s), -1) for s in (x, y))
-    bx, by = band_hashes(sx), band_hashes(sy)
+    bx, by = band_hashes(sx, rows), band_hashes(sy, rows)
     column = int(np.flatnonzero((bx == band).any(axis=0))[0])
     xs, ys = ([np.frombuffer(v, np.uint64) for v in s["own"]] for s in (x, y))
     # how many of a set's shingles the other side has at all bounds every intersection
@@ -251,8 +258,9 @@ def near_duplicates(
     classes = stored(
         classed.groupBy("class").agg(F.min("id").alias("id"), F.any_value("signature").alias("signature")), "classes"
     )
-    buckets = _bands(classes).groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
-    members = stored(_bands(classes).join(buckets.select("band", "pivot"), "band"), "members")
+    per_band = band_rows(percent, miss)
+    buckets = _bands(classes, per_band).groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
+    members = stored(_bands(classes, per_band).join(buckets.select("band", "pivot"), "band"), "members")
     pairs = stored(members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     links = _verified(pairs, classes, rows, width, percent, miss)
     known = stored(components(links), "components")

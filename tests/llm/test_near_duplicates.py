@@ -67,11 +67,13 @@ def test_odd_rows(spark):
 
 
 def test_bayesian_bounds():
+    assert M.band_rows(85) == 5 and M.band_rows(80) == 4
+    assert all((1 - (p / 100) ** M.band_rows(p)) ** (120 // M.band_rows(p)) <= 1e-6 for p in range(50, 100))
     table = M.least_matches(0.85, 1e-6)
     assert [n for n, _ in table] == [24, 48, 72, 96, 120]
     assert all(0 < m < n * 0.85 for n, m in table)
     rng = np.random.default_rng(1)
-    a = rng.integers(0, 2**32, (2000, M.BANDS * M.ROWS), dtype=np.uint32)
+    a = rng.integers(0, 2**32, (2000, M.MINIMA), dtype=np.uint32)
     b = np.where(rng.random(a.shape) < 0.85, a, a + 1).astype(np.uint32)
     c = np.where(rng.random(a.shape) < 0.4, a, a + 1).astype(np.uint32)
     assert len(M.alive(a, b, 0.85)) == len(a)
