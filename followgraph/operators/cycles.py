@@ -233,6 +233,65 @@ def _start(edges: DataFrame, strategy: str, limits: Limits, edge_rows: int | Non
     return _pairs(keep_core(edges, way) if way.broadcast else edges), way
 
 
+#: Small graphs: the same sums as a single statement, which takes a fraction of the time to
+#: analyse. Every use of ``p`` needs all its columns, so that Spark makes its rows once.
+_SMALL_TOTALS = """
+WITH e AS (SELECT follower AS f, followee AS g FROM {edges} WHERE follower IS NOT NULL AND followee IS NOT NULL),
+m AS (
+  SELECT node FROM (SELECT stack(2, f, false, true, g, true, false) AS (node, i, o) FROM e)
+  GROUP BY node HAVING max(i) AND max(o)
+),
+p AS (
+  SELECT /*+ BROADCAST(m1), BROADCAST(m2) */ least(f, g) AS a, greatest(f, g) AS b,
+    count_if(f < g) AS ab, count_if(f > g) AS ba, count_if(f = g) AS own
+  FROM e LEFT SEMI JOIN m m1 ON f = m1.node LEFT SEMI JOIN m m2 ON g = m2.node
+  GROUP BY least(f, g), greatest(f, g)
+),
+d AS (
+  SELECT node, count(1) AS degree
+  FROM (SELECT stack(2, a, ba > 0, ab > 0, b, ab > 0, ba > 0) AS (node, i, o) FROM p WHERE own = 0)
+  GROUP BY node HAVING max(i) AND max(o)
+),
+t AS (
+  SELECT /*+ BROADCAST(x), BROADCAST(y) */ a, b, ab, ba, x.degree AS da, y.degree AS db
+  FROM p JOIN d x ON a = x.node JOIN d y ON b = y.node WHERE own = 0
+),
+r AS (
+  SELECT if(da <= db, a, b) AS low, if(da <= db, b, a) AS high, if(da <= db, db, da) AS degree,
+    if(da <= db, ab, ba) AS up, if(da <= db, ba, ab) AS down
+  FROM t
+),
+s AS (
+  SELECT /*+ BROADCAST(v), BROADCAST(c) */
+    coalesce(sum(u.up * v.down * c.up + u.down * v.up * c.down), 0) AS cycles
+  FROM r u
+  JOIN r v ON u.low = v.low AND (u.degree < v.degree OR (u.degree = v.degree AND u.high < v.high))
+    AND ((u.up > 0 AND v.down > 0) OR (u.down > 0 AND v.up > 0))
+  JOIN r c ON c.low = u.high AND c.high = v.high
+),
+l AS (
+  SELECT node, sum(back) AS back, sum(own) AS own
+  FROM (SELECT inline(if(own > 0, array(struct(a AS node, 0L AS back, own AS own)),
+      array(struct(a AS node, ab * ba AS back, 0L AS own), struct(b AS node, ab * ba AS back, 0L AS own))))
+    FROM p WHERE own > 0 OR (ab > 0 AND ba > 0))
+  GROUP BY node
+)
+SELECT coalesce(sum(cycles), 0L) AS cycles, coalesce(sum(back), 0L) AS back, coalesce(sum(own), 0L) AS own FROM (
+  SELECT cycles, 0L AS back, 0L AS own FROM s
+"""
+_SMALL_LOOPS = "  UNION ALL SELECT 0L, sum(own * back), sum(own * own * own) FROM l\n"
+
+
+def _count_terms(edges: DataFrame, walks: str, strategy: str, limits: Limits, edge_rows: int | None, wide: bool):
+    """One row of sums (see ``_totals``), on the route that the size of the graph asks for."""
+    way = route(edges, strategy, limits, edge_rows)
+    if way.broadcast and not wide:
+        statement = _SMALL_TOTALS + ("" if walks == "strict" else _SMALL_LOOPS) + ")"
+        return edges.sparkSession.sql(statement, edges=edges)
+    pairs = _pairs(keep_core(edges, way) if way.broadcast else edges)
+    return _totals(pairs, way, walks, wide)
+
+
 def _totals(pairs: DataFrame, way: Route, walks: str, wide: bool) -> DataFrame:
     """One row of sums: ``cycles``, and ``back`` and ``own`` as far as ``walks`` needs them."""
     to_type = WIDE if wide else "bigint"
@@ -262,7 +321,7 @@ def walk_counts(
     wide: bool = False,
 ) -> DataFrame:
     """One row: ``closed_walks, no_loop_walks, strict_walks``."""
-    totals = _totals(*_start(edges, strategy, limits, edge_rows), "closed", wide)
+    totals = _count_terms(edges, "closed", strategy, limits, edge_rows, wide)
     strict = 3 * F.col("cycles")
     counts = {
         "closed_walks": strict + 3 * F.col("back") + F.col("own"),
@@ -287,7 +346,7 @@ def triangle_count(
     BIGINT, and an error above 2^63 - 1; ``wide`` gives ``decimal(38,0)``.
     """
     _check(walks)
-    totals = _totals(*_start(edges, strategy, limits, edge_rows), walks, wide)
+    totals = _count_terms(edges, walks, strategy, limits, edge_rows, wide)
     cycles, back, own = F.col("cycles"), F.col("back"), F.col("own")
     if walks == "strict":
         count = cycles
