@@ -41,8 +41,8 @@ from pyspark.sql import types as T
 
 #: Code points with the property White_Space, which is what the split pattern's \\s means.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Entries of each memory of an encoder, which its process keeps from task to task.
-MEMORY = 1 << 19
+#: Entries of each memory of an encoder: some dozen MB.
+MEMORY = 1 << 18
 #: Bytes of text whose ids and decoded texts are held at once.
 PART = 2 << 20
 _NEVER = 1 << 62
@@ -116,12 +116,25 @@ class _Memory(dict):
         return value
 
 
+#: Tokens of pieces by the model's key. Pieces are few and shared by all texts, so the Python process
+#: keeps them from task to task; the larger memories go with their task.
+_PIECES: dict[str, dict] = {}
+
+
+def _pieces(key: str) -> dict:
+    if key not in _PIECES:
+        _PIECES.clear()
+        _PIECES[key] = {}
+    return _PIECES[key]
+
+
 class Encoder:
     """Encodes texts one at a time; remembers the codes of stretches, words and pieces."""
 
-    def __init__(self, model: BpeModel):
+    def __init__(self, model: BpeModel, pieces: dict | None = None):
         self.model = model
-        self.stretches, self.words, self.pieces = _Memory(self.stretch), _Memory(self.word), _Memory(self.merge)
+        self.stretches, self.words = _Memory(self.stretch), _Memory(self.word)
+        self.pieces = {} if pieces is None else pieces
         self.bytes = byte_symbols()
         self.find = regex.compile(model.pattern).findall
         self.special = regex.compile("(" + "|".join(map(regex.escape, model.special)) + ")") if model.special else None
@@ -151,11 +164,19 @@ class Encoder:
                 ranks[i] = rank((parts[i], parts[i + 1]), _NEVER)
         return parts
 
+    def tokens_of(self, piece: tuple[str, ...]) -> list[str]:
+        found = self.pieces.get(piece)
+        if found is None:
+            if len(self.pieces) >= MEMORY:
+                self.pieces.clear()
+            found = self.pieces[piece] = self.merge(piece)
+        return found
+
     def word(self, text: str) -> tuple[bytes, str]:
         """Little-endian ids of a word, and its tokens each with a blank after it."""
         symbols = [self.bytes[b] for b in text.encode("utf-8")]
         symbols[-1] += self.model.suffix
-        tokens = [token for piece in self.split(symbols) for token in self.pieces[piece]]
+        tokens = [token for piece in self.split(symbols) for token in self.tokens_of(piece)]
         ids = array("I", [self.model.vocab[t] for t in tokens])
         if sys.byteorder == "big":
             ids.byteswap()
@@ -182,18 +203,6 @@ class Encoder:
         return b"".join([c[0] for c in coded]), "".join([c[1] for c in coded])[:-1]
 
 
-#: The encoder of this Python process, by its model's key: tasks that follow each other in one
-#: process go on with what it remembers.
-_KEPT: dict[str, Encoder] = {}
-
-
-def _encoder(key: str, shipped: Broadcast) -> Encoder:
-    if key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[key] = Encoder(shipped.value)
-    return _KEPT[key]
-
-
 def _parts(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Stretches of rows with about `most` bytes of text each."""
     start = size = 0
@@ -230,7 +239,7 @@ def encode(
     rows = docs.select(*other, F.col(text).cast("string").alias("__bpe_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(key, shipped)
+        encoder = Encoder(shipped.value, _pieces(key))
         for batch in batches:
             for a, b in _parts(batch.column("__bpe_text"), PART):
                 part = batch.slice(a, b - a)
