@@ -210,41 +210,89 @@ def _leftover(members: DataFrame, known: DataFrame, classes: DataFrame, docs: Da
     right = placed.select("band", "id", "component", F.explode(every).alias("row"), F.col("block").alias("column"), F.lit(False).alias("left"))
     cells = left.unionByName(right).join(whole, "id")
 
-    def run(cell: pd.DataFrame) -> pd.DataFrame:
-        return _links_in_cell(cell, percent, miss, rows)
-
-    return stored(cells.groupBy("band", "row", "column").applyInPandas(run, "a long, b long").distinct(), "leftover")
-
-
-def _links_in_cell(cell: pd.DataFrame, percent: int, miss: float, rows: int) -> pd.DataFrame:
-    x, y = cell[cell["left"]], cell[~cell["left"]]
-    if not len(x) or not len(y):
-        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    band = int(cell["band"].iloc[0])
-    sx, sy = (np.frombuffer(b"".join(s["signature"]), np.uint32).reshape(len(s), -1) for s in (x, y))
-    bx, by = band_hashes(sx, rows), band_hashes(sy, rows)
-    column = int(np.flatnonzero((bx == band).any(axis=0))[0])
-    xs, ys = ([np.frombuffer(v, np.uint64) for v in s["own"]] for s in (x, y))
-    # how many of a set's shingles the other side has at all bounds every intersection
-    in_x, in_y = (np.unique(np.concatenate(v)) for v in (xs, ys))
-    cx = np.array([np.isin(v, in_y, assume_unique=True).sum() for v in xs])
-    cy = np.array([np.isin(v, in_x, assume_unique=True).sum() for v in ys])
-    nx, ny = np.array([len(v) for v in xs]), np.array([len(v) for v in ys])
-    idx, idy, px, py = x["id"].to_numpy(), y["id"].to_numpy(), x["component"].to_numpy(), y["component"].to_numpy()
+    # rows of a cell follow each other in a partition: a Python call takes many small cells at once
+    ordered = cells.repartition("band", "row", "column").sortWithinPartitions("band", "row", "column")
+
+    def run(batches):
+        carried = None
+        for frame in batches:
+            if carried is not None and len(carried):
+                frame = pd.concat([carried, frame], ignore_index=True)
+            if not len(frame):
+                continue
+            starts = _cell_starts(frame)
+            carried = frame.iloc[starts[-1] :]
+            yield _links_in_cells(frame.iloc[: starts[-1]], percent, miss, rows)
+        if carried is not None and len(carried):
+            yield _links_in_cells(carried, percent, miss, rows)
+
+    return stored(ordered.mapInPandas(run, "a long, b long").distinct(), "leftover")
+
+
+def _cell_starts(frame: pd.DataFrame) -> np.ndarray:
+    """Where a new cell begins among sorted rows."""
+    key = frame[["band", "row", "column"]].to_numpy(np.int64)
+    return np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
+
+
+def _links_in_cells(frame: pd.DataFrame, percent: int, miss: float, rows: int) -> pd.DataFrame:
+    """Links within each cell of sorted rows, between its left and its right side."""
     a, b = [], []
-    for i in range(len(x)):
-        most = np.minimum(cx[i], cy)
-        # a pair is looked at in the first band that it shares
-        todo = (py != px[i]) & (100 * most >= percent * (nx[i] + ny - most))
-        if column:
-            todo &= ~(bx[i, :column] == by[:, :column]).any(axis=1)
-        near = np.flatnonzero(todo)
-        near = near[alive(np.broadcast_to(sx[i], (len(near), sx.shape[1])), sy[near], percent / 100, miss)]
-        for j in near:
-            if similar(xs[i], ys[j], percent):
-                a.append(idx[i])
-                b.append(idy[j])
-    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+    if len(frame):
+        starts = _cell_starts(frame)
+        signatures = np.frombuffer(b"".join(frame["signature"]), np.uint32).reshape(len(frame), -1)
+        bands = band_hashes(signatures, rows)
+        ids, parts = frame["id"].to_numpy(np.int64), frame["component"].to_numpy(np.int64)
+        band, left = frame["band"].to_numpy(np.int64), frame["left"].to_numpy(bool)
+        sets = [np.frombuffer(v, np.uint64) for v in frame["own"]]
+        sizes = np.array([len(v) for v in sets])
+        for lo, hi in zip(starts, np.append(starts[1:], len(frame))):
+            here = np.arange(lo, hi)
+            x, y = here[left[lo:hi]], here[~left[lo:hi]]
+            if not len(x) or not len(y):
+                continue
+            column = int(np.flatnonzero((bands[x[:1]] == band[lo]).any(axis=0))[0])
+            common = None
+            for i, j in _candidates(x, y, parts, sizes, bands, column, percent):
+                near = alive(signatures[i], signatures[j], percent / 100, miss)
+                i, j = i[near], j[near]
+                if len(i) > len(here):
+                    common = _in_common(x, y, sets) if common is None else common
+                    most = np.minimum(common[i - lo], common[j - lo])
+                    possible = 100 * most >= percent * (sizes[i] + sizes[j] - most)
+                    i, j = i[possible], j[possible]
+                good = [similar(sets[p], sets[q], percent) for p, q in zip(i, j)]
+                a.append(ids[i][good])
+                b.append(ids[j][good])
+    none = np.empty(0, np.int64)
+    return pd.DataFrame({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
+
+
+def _candidates(x, y, parts, sizes, bands, column: int, percent: int, step: int = 16384):
+    """Pairs of rows to compare, in stretches: of different components and like sizes, each in the
+    first band that it shares."""
+    width = max(1, step // len(y))
+    for at in range(0, len(x), width):
+        i, j = (v.ravel() for v in np.meshgrid(x[at : at + width], y, indexing="ij"))
+        low, high = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
+        todo = (parts[i] != parts[j]) & (100 * low >= percent * high)
+        i, j = i[todo], j[todo]
+        if column and len(i):
+            first = ~(bands[i, :column] == bands[j, :column]).any(axis=1)
+            i, j = i[first], j[first]
+        if len(i):
+            yield i, j
+
+
+def _in_common(x, y, sets) -> np.ndarray:
+    """How many of each set's elements the other side has at all: no pair shares more."""
+    first = min(x[0], y[0])
+    common = np.zeros(len(x) + len(y), np.int64)
+    for own, other in ((x, y), (y, x)):
+        there = np.unique(np.concatenate([sets[k] for k in other]))
+        for k in own:
+            common[k - first] = np.isin(sets[k], there, assume_unique=True).sum()
+    return common
 
 
 def near_duplicates(
