@@ -33,16 +33,14 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-import xxhash
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Code points with the property White_Space, which is what the split pattern's \\s means.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Entries of each memory of an encoder: some dozen MB.
-MEMORY = 1 << 18
+#: Entries of each memory of an encoder, some hundred MB in all; they go with their task.
+MEMORY = 1 << 19
 #: Bytes of text whose ids and decoded texts are held at once.
 PART = 2 << 20
 _NEVER = 1 << 62
@@ -66,15 +64,12 @@ class BpeModel:
     pattern: str
     #: Neighbouring symbols that occur inside some token; all others are certain cuts.
     inner: frozenset[tuple[str, str]] = field(default_factory=frozenset)
-    #: Tells models apart: a digest of the file.
-    key: str = ""
 
 
 def load_bpe(path: str) -> BpeModel:
     """Read a `tokenizers` JSON file of the kind described above (on the driver)."""
     with open(path, encoding="utf-8") as file:
-        content = file.read()
-    whole = json.loads(content)
+        whole = json.load(file)
     model, normalizer, pre = whole["model"], whole["normalizer"], whole["pre_tokenizer"]
     kinds = [x["type"] for x in normalizer["normalizers"]], [x["type"] for x in pre["pretokenizers"]]
     if model["type"] != "BPE" or kinds != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]):
@@ -91,7 +86,6 @@ def load_bpe(path: str) -> BpeModel:
         {t["content"]: t["id"] for t in whole["added_tokens"]},
         pre["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", _SPACE),
         frozenset(inner),
-        xxhash.xxh3_128_hexdigest(content.encode("utf-8")),
     )
 
 
@@ -116,25 +110,12 @@ class _Memory(dict):
         return value
 
 
-#: Tokens of pieces by the model's key. Pieces are few and shared by all texts, so the Python process
-#: keeps them from task to task; the larger memories go with their task.
-_PIECES: dict[str, dict] = {}
-
-
-def _pieces(key: str) -> dict:
-    if key not in _PIECES:
-        _PIECES.clear()
-        _PIECES[key] = {}
-    return _PIECES[key]
-
-
 class Encoder:
     """Encodes texts one at a time; remembers the codes of stretches, words and pieces."""
 
-    def __init__(self, model: BpeModel, pieces: dict | None = None):
+    def __init__(self, model: BpeModel):
         self.model = model
-        self.stretches, self.words = _Memory(self.stretch), _Memory(self.word)
-        self.pieces = {} if pieces is None else pieces
+        self.stretches, self.words, self.pieces = _Memory(self.stretch), _Memory(self.word), _Memory(self.merge)
         self.bytes = byte_symbols()
         self.find = regex.compile(model.pattern).findall
         self.special = regex.compile("(" + "|".join(map(regex.escape, model.special)) + ")") if model.special else None
@@ -164,19 +145,11 @@ class Encoder:
                 ranks[i] = rank((parts[i], parts[i + 1]), _NEVER)
         return parts
 
-    def tokens_of(self, piece: tuple[str, ...]) -> list[str]:
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) >= MEMORY:
-                self.pieces.clear()
-            found = self.pieces[piece] = self.merge(piece)
-        return found
-
     def word(self, text: str) -> tuple[bytes, str]:
         """Little-endian ids of a word, and its tokens each with a blank after it."""
         symbols = [self.bytes[b] for b in text.encode("utf-8")]
         symbols[-1] += self.model.suffix
-        tokens = [token for piece in self.split(symbols) for token in self.tokens_of(piece)]
+        tokens = [token for piece in self.split(symbols) for token in self.pieces[piece]]
         ids = array("I", [self.model.vocab[t] for t in tokens])
         if sys.byteorder == "big":
             ids.byteswap()
@@ -195,6 +168,11 @@ class Encoder:
                 coded += [self.words[w] for w in self.find(plain)]
         return b"".join([c[0] for c in coded]), "".join([c[1] for c in coded])
 
+    def forget(self) -> None:
+        """Empty the memories, so that a Python process that goes on to other tasks gives them back."""
+        for memory in (self.stretches, self.words, self.pieces):
+            memory.clear()
+
     def encode(self, text: str | None) -> tuple[bytes, str]:
         """Ids as little-endian unsigned 32-bit integers, and the decoded text."""
         if not text:
@@ -233,19 +211,22 @@ def encode(
     """All columns of `docs` but those named in `schema`, and those: token ids, their number and the
     text that the ids decode to. `finish` makes other columns of a text's little-endian ids and
     decoded text, where ids need not leave the task (digests)."""
-    shipped, key = docs.sparkSession.sparkContext.broadcast(model), model.key
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
     new = T.StructType.fromDDL(schema)
     other = [c for c in docs.columns if c not in new.names]
     rows = docs.select(*other, F.col(text).cast("string").alias("__bpe_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shipped.value, _pieces(key))
-        for batch in batches:
-            for a, b in _parts(batch.column("__bpe_text"), PART):
-                part = batch.slice(a, b - a)
-                coded = [encoder.encode(t) for t in part.column("__bpe_text").to_pylist()]
-                made = [pa.array(c) for c in zip(*[finish(*c) for c in coded])] if finish else _all_of(coded)
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in other] + made, [*other, *new.names])
+        encoder = Encoder(shipped.value)
+        try:
+            for batch in batches:
+                for a, b in _parts(batch.column("__bpe_text"), PART):
+                    part = batch.slice(a, b - a)
+                    coded = [encoder.encode(t) for t in part.column("__bpe_text").to_pylist()]
+                    made = [pa.array(c) for c in zip(*[finish(*c) for c in coded])] if finish else _all_of(coded)
+                    yield pa.RecordBatch.from_arrays([part.column(c) for c in other] + made, [*other, *new.names])
+        finally:
+            encoder.forget()
 
     return rows.mapInArrow(run, T.StructType([f for f in rows.schema if f.name != "__bpe_text"] + new.fields))
 
