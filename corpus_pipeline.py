@@ -57,8 +57,11 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids, n_tokens and decoded text of what is left."""
-    return bpe.encode(docs.select("doc_id", "text"), bpe.load_bpe(tokenizer_path())).drop("text")
+    """doc_id, ids, n_tokens and decoded text of what is left.
+
+    The stages before have filled the executors' heaps, so the encoder's memories are small here."""
+    model = bpe.load_bpe(tokenizer_path())
+    return bpe.encode(docs.select("doc_id", "text"), model, memory=1 << 17).drop("text")
 
 
 STAGES = [

@@ -79,7 +79,7 @@ def chunks(batches: Iterator[pd.DataFrame], text: str, most: int = CHUNK_BYTES):
 class WordHashes(dict):
     """64-bit hashes of words (bytes), kept for the words met so far."""
 
-    LIMIT = 1 << 20
+    LIMIT = 1 << 18
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
