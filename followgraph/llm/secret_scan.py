@@ -3,12 +3,17 @@
 The patterns (`assign`, `access`, `hex`) give spans that always stay. Beside them every run of
 16 or more key characters is a candidate of the kind `random`:
 
-* its encoding is inferred from its characters (decimal, hex, base32, base36, base62, base64);
+* dashes are taken out of it (UUIDs, keys in groups), and its parts of 16 or more characters
+  between signs are candidates too, for where only a part is a key;
+* its encoding is inferred from its characters (decimal, hex, letters, base32, base36, base62,
+  base64); what has no lower-case letter is read as if in lower case;
 * three tests ask whether it could be uniform random text of that encoding: chi-squared
   uniformity over the alphabet, runs of character classes, and serial correlation;
-* the chi-squared value is also held against what plain prose of this length would give: the
-  letters of prose are uneven, so the value grows with length. The chance of so small a value
-  under prose is the candidate's p-value, so long tokens need less evenness than short ones;
+* the log-likelihood ratio of uniform text of the encoding to prose is held against its null:
+  prose is a chain of kinds of characters (vowel, consonant, capital, digit, sign) that draws
+  letters by their use. The chance of so large a ratio under prose is the candidate's p-value. It
+  is tabulated for each encoding and length by weighted draws, so it has no floor; decimal
+  digits are as even in numbers as in keys, so their ratio says nothing and p is 1;
 * Benjamini-Hochberg over the candidates of a text keeps the expected share of false spans
   below `fdr`; what one of the randomness tests rejects is not taken.
 
@@ -41,6 +46,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST = 6
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+PART = re.compile(r"[A-Za-z0-9]{16,}")
 _WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
 #: Relative frequencies of characters in prose of Latin script: letters by use, digits rare.
@@ -48,30 +54,66 @@ _LETTER_USE = dict(zip("etaoinshrdlcumwfgypbvkjxqz", [12.7, 9.1, 8.2, 7.5, 7.0,
 _ENCODINGS = (
     ("decimal", "0123456789"),
     ("hex", "0123456789abcdef"),
-    ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("letters", "abcdefghijklmnopqrstuvwxyz"),
+    ("base32", "abcdefghijklmnopqrstuvwxyz234567"),
     ("base36", "0123456789abcdefghijklmnopqrstuvwxyz"),
     ("base62", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base64", "+/0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz-_"),
 )
+#: Chances of the next kind of character in prose, names and numbers: after a vowel, a consonant,
+#: a capital, a digit, a sign, and at the start.
+_STEPS = np.array(
+    [
+        [0.15, 0.72, 0.03, 0.04, 0.06],
+        [0.50, 0.37, 0.03, 0.04, 0.06],
+        [0.30, 0.35, 0.25, 0.04, 0.06],
+        [0.03, 0.05, 0.04, 0.78, 0.10],
+        [0.25, 0.30, 0.15, 0.15, 0.15],
+        [0.30, 0.40, 0.15, 0.10, 0.05],
+    ]
+)
+#: Draws for a table of the null, and the length beyond which the bound exp(-ratio) serves.
+_DRAWS, _LONGEST = 20_000, 64
 
 
-def _prose(alphabet: str) -> np.ndarray:
-    """Chances of the alphabet's characters in prose (words in lower case, some capitals)."""
-    use = np.array([_LETTER_USE.get(c.lower(), 0.3) * (0.05 if c.isupper() and "a" in alphabet else 1) for c in alphabet])
-    return use / use.sum()
+def _kind(c: str) -> int:
+    return 2 if c.isupper() else 3 if c.isdigit() else 4 if not c.isalpha() else 0 if c in "aeiouy" else 1
 
 
 class _Encoding:
     def __init__(self, name: str, alphabet: str):
         self.name, self.size = name, len(alphabet)
         self.place = {c: i for i, c in enumerate(alphabet)}
-        q = _prose(alphabet)
-        # Pearson's statistic of n prose characters against the uniform: n * slope + offset on
-        # average; its spread comes from the multinomial's third and fourth moments, to first order
-        a = self.size
-        self.slope = a * (q * q).sum() - 1
-        self.offset = a * (q * (1 - q)).sum()
-        self.spread = 4 * a * a * ((q**3).sum() - (q * q).sum() ** 2)
+        self.kinds = np.array([_kind(c) for c in alphabet])
+        use = np.array([_LETTER_USE.get(c.lower(), 1.0) for c in alphabet])
+        own = np.bincount(self.kinds, use, 5)
+        steps = _STEPS * (own > 0)
+        steps /= steps.sum(axis=1, keepdims=True)
+        #: log ratio of a character, given the kind before it
+        self.ratio = -np.log(self.size * steps[:, self.kinds] * use / own[self.kinds])
+        if name == "decimal":
+            self.ratio[:] = 0.0
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def log_ratio(self, values: np.ndarray) -> np.ndarray:
+        """Of uniform text to prose; tokens of one length in the last axis."""
+        before = np.concatenate([np.full((*values.shape[:-1], 1), 5), self.kinds[values[..., :-1]]], axis=-1)
+        return self.ratio[before, values].sum(axis=-1)
+
+    def p_prose(self, values: np.ndarray) -> float:
+        """Chance of a ratio as large as that of these values under prose."""
+        found, n = float(self.log_ratio(values)), len(values)
+        bound = math.exp(-max(found, 0.0))  # Markov's inequality
+        if n > _LONGEST or found <= 0:
+            return bound
+        if n not in self.tables:
+            # a draw from the uniform counts exp(-ratio) under prose
+            drawn = np.random.default_rng([n, self.size]).integers(0, self.size, (_DRAWS, n), dtype=np.int8)
+            ratios = np.sort(np.concatenate([self.log_ratio(part) for part in np.array_split(drawn, 10)]))
+            self.tables[n] = ratios, np.cumsum(np.exp(-ratios[::-1]))[::-1] / _DRAWS
+        ratios, tail = self.tables[n]
+        at = int(np.searchsorted(ratios, found))
+        return min(bound, float(tail[at])) if at < _DRAWS - 20 else bound
 
 
 _TABLE = [_Encoding(*e) for e in _ENCODINGS]
@@ -90,7 +132,9 @@ def infer_encoding(token: str) -> _Encoding | None:
 def randomness(token: str) -> tuple[float, float]:
     """(p under prose, smallest p of the three randomness tests) of a token."""
     token = token.rstrip("=")
-    if not set(token) - set("0123456789ABCDEF"):
+    bare = token.replace("-", "")
+    token = bare if len(bare) >= 16 else token
+    if token.upper() == token:
         token = token.lower()
     encoding = infer_encoding(token)
     n = len(token)
@@ -111,15 +155,13 @@ def randomness(token: str) -> tuple[float, float]:
     centred = values - values.mean()
     power = float((centred * centred).sum())
     p_serial = 2 * _upper_tail(abs(float((centred[1:] * centred[:-1]).sum()) / power) * math.sqrt(n)) if power else 0.0
-    under_prose = n * encoding.slope + encoding.offset
-    sigma = math.sqrt(encoding.spread * n + 2 * (a - 1))
-    p_prose = _upper_tail((under_prose - chi) / sigma)
-    if encoding.name in ("base62", "base64", "base36", "base32"):
-        # prose mixes digits and letters and changes case seldom: shape counts as much as evenness
-        shapes = ["d" if c.isdigit() else "u" if c.isupper() else "l" for c in token]
-        turns = sum(x != y for x, y in zip(shapes, shapes[1:]))
-        p_prose *= min(1.0, math.exp(2.0 - 12.0 * turns / n))
-    return p_prose, min(p_chi, p_runs, p_serial)
+    return encoding.p_prose(values), min(p_chi, p_runs, p_serial)
+
+
+def _parts(m: re.Match) -> list[tuple[int, int]]:
+    """A candidate's span, and those of its long parts between signs."""
+    parts = [(m.start() + p.start(), m.start() + p.end()) for p in PART.finditer(m[0])]
+    return [m.span(), *(p for p in parts if p != m.span())]
 
 
 def _accepted(tokens: list[str], fdr: float, reject: float) -> list[bool]:
@@ -148,9 +190,13 @@ def find_spans(text: str | None, fdr: float = 0.001, reject: float = 0.001) -> l
             found += [(m.start() + h.start(), m.start() + h.end(), 2) for h in HEX.finditer(m[0])]
     free = [m for m in tokens if not any(s < m.end() and m.start() < e for s, e, _ in found)]
     if free:
-        for m, good in zip(free, _accepted([m[0] for m in free], fdr, reject), strict=True):
-            if good:
-                found.append((m.start(), m.end(), 3))
+        tried = [p for m in free for p in _parts(m)]
+        last = 0
+        for (start, end), good in zip(tried, _accepted([text[a:b] for a, b in tried], fdr, reject), strict=True):
+            # a part of what is taken already is no span of its own
+            if good and start >= last:
+                found.append((start, end, 3))
+                last = end
     return sorted(found, key=lambda s: (s[0], s[2]))
 
 

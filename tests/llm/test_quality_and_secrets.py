@@ -125,3 +125,25 @@ def test_redaction_and_query(spark, tmp_path):
     got = {r.doc_id: r for r in queries.op6(spark, str(tmp_path)).collect()}
     assert (got[1].n_assign, got[1].n_access, got[1].n_hex, got[1].spans) == (1, 0, 1, "assign:2:43,hex:11:43")
     assert got[2].spans == got[3].spans == "" and got[4].n_access == 1
+
+
+@pytest.mark.parametrize("name, alphabet", [
+    ("hex", "0123456789abcdef"), ("upper hex", "0123456789ABCDEF"), ("base32", string.ascii_uppercase + "234567"), ("base36", string.digits + string.ascii_lowercase),
+    ("letters", string.ascii_lowercase), ("base62", string.digits + string.ascii_letters), ("base64", string.digits + string.ascii_letters + "-_"),
+])
+def test_recall_by_encoding_length_and_number(name, alphabet):
+    rng = random.Random(name)
+    for length, least in ((16, 0.8), (20, 0.9), (23, 0.93), (32, 0.97)):
+        for number in (1, 10):
+            found = 0
+            for _ in range(200 // number):
+                keys = ["".join(rng.choice(alphabet[:-2] if at in (0, length - 1) else alphabet) for at in range(length)) for _ in range(number)]
+                spans = {(a, b) for a, b, _ in S.find_spans("  ".join(keys))}
+                found += sum((k * (length + 2), k * (length + 2) + length) in spans for k in range(number))
+            assert found >= least * 200, (length, number, found)
+
+
+def test_dashes_and_parts():
+    assert S.find_spans("id 16fd2706-8baf-433b-82eb-8c7fada847da.") == [(3, 39, 3)]
+    assert S.find_spans("session=x7Kq2mZp9Lw4Rt8Bv3Ns") == [(8, 28, 3)]
+    assert S.find_spans("state-of-the-art-technology 2024-01-01-2024-12-31 4111-1111-1111-1111") == []
