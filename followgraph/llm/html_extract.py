@@ -3,10 +3,12 @@
 A page is cut into blocks: stretches of text between block-level tags. Each block has a path,
 the tags and class names from the root down to it. For every path the length of its text, its
 punctuation marks and its link text are added up; their ratios to the number of its blocks
-are smoothed over the blocks in page order (a Gaussian) and fused back to the paths. The
-content's container is the branch of the tree with most of the fused weight; of the blocks
-under it those stay whose path is no boilerplate and passes the threshold on the share of link
-text, so that short paragraphs and headings of the article stay with the long ones.
+are smoothed over the blocks in page order (a Gaussian) and fused, with the ratios as they are,
+to sections: paths down to the first paragraph, heading, list or table, so that short paragraphs
+and headings stay with the long ones of their section. Every section stays whose fused ratio
+passes a threshold, a part of the page's mean and `ENOUGH` at most; an article or main element is a
+prior that raises its sections' ratios, if such elements hold most of the page's weight. Paths
+that are mostly link text go.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
 are known by tag, by role or by words in class and id, and give no weight and no text.
@@ -158,8 +160,21 @@ def blocks_of(html: str) -> list[Block]:
     return reader.done
 
 
-def _path_weights(blocks: list[Block], width: float = 1.0) -> dict[tuple, float]:
-    """Text and punctuation per block of each path, smoothed in page order, fused by path."""
+#: A fused ratio that is enough on any page, and what an article or main element multiplies it by.
+ENOUGH, PRIOR = 60.0, 8.0
+
+
+def _section(path: tuple) -> tuple:
+    return path[: next((i for i, name in enumerate(path) if name.split(".")[0] in LEAVES), len(path))]
+
+
+def _article(path: tuple) -> bool:
+    return any(name.split(".")[0] in ("article", "main") for name in path)
+
+
+def _section_ratios(blocks: list[Block], width: float = 1.0) -> tuple[dict[tuple, float], dict[tuple, int]]:
+    """Text and punctuation per block of the paths, as they are and smoothed in page order, fused
+    by section; and the text of each section."""
     length, marks, count = {}, {}, {}
     for b in blocks:
         length[b.path] = length.get(b.path, 0) + len(b.text)
@@ -168,55 +183,45 @@ def _path_weights(blocks: list[Block], width: float = 1.0) -> dict[tuple, float]
     ratio = [length[b.path] / count[b.path] * (1 + marks[b.path] / count[b.path]) for b in blocks]
     reach = int(3 * width)
     kernel = [math.exp(-0.5 * (k / width) ** 2) for k in range(-reach, reach + 1)]
+    places = {path: _section(path) for path in count}
     fused: dict[tuple, float] = {}
+    size: dict[tuple, int] = {}
     for i, b in enumerate(blocks):
         near = [(kernel[j - i + reach], ratio[j]) for j in range(max(0, i - reach), min(len(blocks), i + reach + 1))]
         smooth = sum(w * r for w, r in near) / sum(w for w, _ in near)
-        fused[b.path] = fused.get(b.path, 0.0) + smooth * len(b.text)
-    return fused
-
-
-def _container(weights: dict[tuple, float], share: float) -> tuple:
-    """The deepest branch that holds at least `share` of its parent's weight at every step."""
-    for tag in ("article", "main"):
-        own: dict[tuple, float] = {}
-        for path, weight in weights.items():
-            at = next((i for i, name in enumerate(path) if name.split(".")[0] == tag), None)
-            if at is not None:
-                own[path[: at + 1]] = own.get(path[: at + 1], 0.0) + weight
-        if own:
-            return max(own, key=lambda p: (own[p], p))
-    here: tuple = ()
-    while True:
-        below: dict[tuple, float] = {}
-        total = 0.0
-        for path, weight in weights.items():
-            if path[: len(here)] == here:
-                total += weight
-                if len(path) > len(here) and path[len(here)].split(".")[0] not in LEAVES:
-                    step = path[: len(here) + 1]
-                    below[step] = below.get(step, 0.0) + weight
-        best = max(below, key=lambda p: (below[p], p), default=None)
-        if best is None or below[best] < share * total:
-            return here
-        here = best
-
-
-def main_text(html: str | None, share: float = 0.6, links: float = 0.5) -> str:
-    """The article's blocks in page order, joined by one blank."""
+        at = places[b.path]
+        fused[at] = fused.get(at, 0.0) + math.sqrt(smooth * ratio[i]) * len(b.text)
+        size[at] = size.get(at, 0) + len(b.text)
+    return {at: fused[at] / size[at] for at in fused}, size
+
+
+def _kept_sections(blocks: list[Block], least: float) -> set[tuple]:
+    """Sections whose fused ratio passes the threshold."""
+    ratios, size = _section_ratios(blocks)
+    weights = {at: ratios[at] * size[at] for at in ratios}
+    total = sum(weights.values())
+    most = 2 * sum(w for at, w in weights.items() if _article(at)) > total
+    threshold = min(least * total / sum(size.values()), ENOUGH)
+    return {at for at, ratio in ratios.items() if ratio * (PRIOR if most and _article(at) else 1.0) >= threshold}
+
+
+def main_text(html: str | None, least: float = 0.15, links: float = 0.5) -> str:
+    """The main text's blocks in page order, joined by one blank."""
     if not html:
         return ""
     blocks = [b for b in blocks_of(html) if not b.boilerplate]
     if not blocks:
         return ""
-    weights = _path_weights(blocks)
-    inside = _container(weights, share)
-    kept = [b for b in blocks if b.path[: len(inside)] == inside]
     length, linked = {}, {}
-    for b in kept:
+    for b in blocks:
         length[b.path] = length.get(b.path, 0) + len(b.text)
         linked[b.path] = linked.get(b.path, 0) + b.linked
-    return " ".join(b.text for b in kept if linked[b.path] <= links * length[b.path])
+    # menus of links have no part in the page's mean
+    blocks = [b for b in blocks if linked[b.path] <= links * length[b.path]]
+    if not blocks:
+        return ""
+    sections = _kept_sections(blocks, least)
+    return " ".join(b.text for b in blocks if _section(b.path) in sections)
 
 
 def main_text_column(html: Column) -> Column:

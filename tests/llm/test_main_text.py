@@ -50,3 +50,15 @@ def test_paths_outside_the_container_lose():
     blocks = "".join(f"<p>Sentence {i}, with a comma, and an end.</p>" for i in range(8))
     html = f"<div><div class=x1><a href=/>Link</a></div><div class=x2>{blocks}</div><div class=x3>tiny</div></div>"
     assert H.main_text(html).startswith("Sentence 0") and "tiny" not in H.main_text(html) and "Link" not in H.main_text(html)
+
+
+def _prose(n: int) -> str:
+    return ("Some words of a sentence, and its end. " * (n // 39 + 1))[:n].strip()
+
+
+def test_paths_of_a_page_with_an_article_meet_the_threshold():
+    """Short scraps beside the article go by their ratio; text of the page beside it stays, and the
+    article's own short sections do."""
+    body = f"<p>{_prose(90)}</p>" * 6
+    html = f"<div class=x>tiny</div><article><div class=y>Yes.</div>{body}</article><div class=z><p>{_prose(120)}</p></div>"
+    assert H.main_text(html) == " ".join(["Yes.", *[_prose(90)] * 6, _prose(120)])
