@@ -56,6 +56,20 @@ def _prose(n: int) -> str:
     return ("Some words of a sentence, and its end. " * (n // 39 + 1))[:n].strip()
 
 
+def test_no_section_of_the_text_is_lost():
+    lead, body, more = _prose(200), _prose(800), _prose(330)
+    assert H.main_text(f"<div class=lead><p>{lead}</p></div><div class=body><p>{body}</p></div>") == f"{lead} {body}"
+    cut = f"<div><div class=part-a><p>{more}</p></div><div class=part-b><h2>Heading</h2>{f'<p>{body}</p>' * 4}</div><div class=part-c><p>{lead}</p></div></div>"
+    assert H.main_text(cut) == " ".join([more, "Heading", *[body] * 4, lead])
+
+
+def test_an_article_that_is_a_card_is_not_the_main_text():
+    body = _prose(900)
+    card = "<article class=card><h3>Other</h3><p>Teaser.</p></article>"
+    html = f"<div class=text><p>{body}</p><p>{body}</p></div><div class=more>{card * 3}</div>"
+    assert H.main_text(html).startswith(f"{body} {body}")
+
+
 def test_paths_of_a_page_with_an_article_meet_the_threshold():
     """Short scraps beside the article go by their ratio; text of the page beside it stays, and the
     article's own short sections do."""
