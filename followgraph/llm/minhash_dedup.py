@@ -108,16 +108,16 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """(id, shingles as bytes) of the given rows (id, text)."""
+    """(id, class, shingles as bytes) of the given rows (id, text)."""
 
     def run(batches):
         hashes = WordHashes()
         for part in chunks(batches, "text", 4 << 20):
             words, at = hashed_words(part["text"], hashes, lower=True)
             own = [shingles(words[a:b], width).tobytes() for a, b in zip(at, at[1:])]
-            yield pd.DataFrame({"id": part["id"], "own": own})
+            yield pd.DataFrame({"id": part["id"], "class": [xxhash.xxh3_128_digest(x) for x in own], "own": own})
 
-    return docs.mapInPandas(run, "id long, own binary")
+    return docs.mapInPandas(run, "id long, class binary, own binary")
 
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
@@ -139,16 +139,16 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _bands(classes: DataFrame, rows: int) -> DataFrame:
-    """(band, id): a row for each band of each class."""
+    """(band, id, mark): a row for each band of each class."""
 
     def run(batches):
         for frame in batches:
             if len(frame):
                 matrix = np.frombuffer(b"".join(frame["signature"]), np.uint32).reshape(len(frame), -1)
-                ids = np.repeat(frame["id"].to_numpy(np.int64), MINIMA // rows)
-                yield pd.DataFrame({"band": band_hashes(matrix, rows).ravel(), "id": ids})
+                ids, marks = (np.repeat(frame[c].to_numpy(np.int64), MINIMA // rows) for c in ("id", "mark"))
+                yield pd.DataFrame({"band": band_hashes(matrix, rows).ravel(), "id": ids, "mark": marks})
 
-    return classes.select("id", "signature").mapInPandas(run, "band long, id long")
+    return classes.select("id", "mark", "signature").mapInPandas(run, "band long, id long, mark long")
 
 
 def _near(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -172,7 +172,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     compared = pairs.join(signed.toDF("a", "sa"), "a").join(signed.toDF("b", "sb"), "b")
     survivors = stored(compared.mapInPandas(look, "a long, b long").distinct(), "survivors")
     ends = survivors.select(F.col("a").alias("id")).unionByName(survivors.select(F.col("b").alias("id")))
-    own = _sets(_near(docs, ends), width)
+    own = _sets(_near(docs, ends), width).select("id", "own")
 
     def exact(batches):
         for frame in batches:
@@ -189,7 +189,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
 def _leftover(members: DataFrame, known: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, miss: float):
     """Links between classes that share a bucket and are not yet in one component."""
     named = members.join(known.withColumnRenamed("node", "id"), "id", "left").select(
-        "band", "id", F.coalesce("component", "id").alias("component")
+        "band", "id", "mark", F.coalesce("component", "id").alias("component")
     )
     sizes = named.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed_up = (
@@ -199,16 +199,17 @@ def _leftover(members: DataFrame, known: DataFrame, classes: DataFrame, docs: Da
     )
     open_ = stored(named.join(mixed_up, "band").withColumn("rest", F.col("component") != F.col("main")), "open")
     ids = open_.select("id").distinct()
-    own = _sets(_near(docs, ids), width).dropDuplicates(["id", "own"])
-    whole = _near(classes.select("id", "signature"), ids).join(own, "id").join(ids, "id")
+    # an id may stand for several classes: each has its own signature and set
+    own = _sets(_near(docs, ids), width).select("id", F.xxhash64("class").alias("mark"), "own").dropDuplicates(["id", "mark"])
+    whole = _near(classes.select("id", "mark", "signature"), ids).join(own, ["id", "mark"]).join(ids, "id")
     rows = band_rows(percent, miss)
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    placed = open_.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    placed = open_.withColumn("block", F.pmod(F.xxhash64("id", "mark"), blocks).cast("int"))
     every = F.sequence(F.lit(0), blocks - 1)
     # one side: what is outside the bucket's largest component; other side: all of the bucket
-    left = placed.where("rest").select("band", "id", "component", F.col("block").alias("row"), F.explode(every).alias("column"), F.lit(True).alias("left"))
-    right = placed.select("band", "id", "component", F.explode(every).alias("row"), F.col("block").alias("column"), F.lit(False).alias("left"))
-    cells = left.unionByName(right).join(whole, "id")
+    left = placed.where("rest").select("band", "id", "mark", "component", F.col("block").alias("row"), F.explode(every).alias("column"), F.lit(True).alias("left"))
+    right = placed.select("band", "id", "mark", "component", F.explode(every).alias("row"), F.col("block").alias("column"), F.lit(False).alias("left"))
+    cells = left.unionByName(right).join(whole, ["id", "mark"]).drop("mark")
 
     # rows of a cell follow each other in a partition: a Python call takes many small cells at once
     ordered = cells.repartition("band", "row", "column").sortWithinPartitions("band", "row", "column")
@@ -304,7 +305,10 @@ def near_duplicates(
     signed = stored(_signed(rows, width), "signatures")
     classed = signed.where(F.col("id").isNotNull() & F.col("class").isNotNull())
     classes = stored(
-        classed.groupBy("class").agg(F.min("id").alias("id"), F.any_value("signature").alias("signature")), "classes"
+        classed.groupBy("class")
+        .agg(F.min("id").alias("id"), F.any_value("signature").alias("signature"))
+        .withColumn("mark", F.xxhash64("class")),
+        "classes",
     )
     per_band = band_rows(percent, miss)
     buckets = _bands(classes, per_band).groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")

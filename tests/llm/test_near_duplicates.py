@@ -84,3 +84,20 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (300, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(60)} | {300: 200, 200: 200}
+
+
+def test_shared_ids_of_different_texts_with_half_similar_partners(spark):
+    """An id that stands for two classes in buckets whose candidates are no links."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(0, 400, 10):
+        for text in family(rng, 1, 90, 0) + family(rng, 1, 90, 0):
+            rows.append((k, text))
+            for i in range(1, 4):
+                words = text.split()
+                for at in rng.sample(range(90), i + 2):
+                    words[at] = f"y{rng.randrange(10**6)}"
+                rows.append((k + i + rng.randrange(3), " ".join(words)))
+    rng.shuffle(rows)
+    got = M.near_duplicates(spark.createDataFrame(rows, SCHEMA), percent=80).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 80)
