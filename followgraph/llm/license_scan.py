@@ -100,7 +100,7 @@ def _named() -> list[Rule]:
         "apache-1.1": ("apache(?: software)? licen[cs]e(?: version)? 1 1", "apache"),
         "apache-1.0": ("apache(?: software)? licen[cs]e(?: version)? 1 0", "apache"),
         "apache": ("apache(?: software)? licen[cs]e", "apache"),
-        "mit": ("(?:the )?mit(?: x11)? licen[cs]e", "mit licen"),
+        "mit": ("(?:the )?mit(?: x11)? licen[cs]e", "mit licen|mit x11"),
         "x11": ("x11 licen[cs]e", "x11"),
         "bsd-2-clause": ("(?:2|two) clause bsd|bsd (?:2|two) clause|simplified bsd|freebsd licen[cs]e", "bsd"),
         "bsd-3-clause": ("(?:3|three) clause bsd|bsd (?:3|three) clause|(?:new|modified|revised) bsd", "bsd"),

@@ -121,3 +121,45 @@ def test_licenses(spark, tmp_path):
 def test_rules_contain_their_keyword():
     table = L.rules()
     assert len(table) > 200 and table == sorted(table, key=lambda r: (-r.priority, r.label, r.pattern))
+
+
+def expanded(pattern):
+    """Every text of a pattern's alternatives and options; repeats once, `.` as x."""
+    from re import _parser
+
+    def of(parsed):
+        out = [""]
+        for op, value in parsed:
+            name = str(op)
+            if name == "LITERAL":
+                new = [chr(value)]
+            elif name == "ANY":
+                new = ["x"]
+            elif name == "IN":
+                new = [chr(v) if str(o) == "LITERAL" else chr(v[0]) for o, v in value]
+            elif name == "BRANCH":
+                new = [x for branch in value[1] for x in of(branch)]
+            elif name == "SUBPATTERN":
+                new = of(value[3])
+            else:
+                assert name in ("MAX_REPEAT", "MIN_REPEAT"), name
+                new = ([""] if value[0] == 0 else []) + of(value[2])
+            out = [a + b for a in out for b in new]
+        return out
+
+    return of(_parser.parse(pattern))
+
+
+def test_every_match_contains_a_keyword_of_its_rule():
+    """Rules of several keywords stand in the table once for each of them."""
+    keywords = {}
+    for r in L.rules():
+        keywords.setdefault((r.label, r.pattern), set()).add(r.keyword)
+    for (label, pattern), own in keywords.items():
+        for text in expanded(pattern):
+            assert any(k in text for k in own), (label, text, own)
+
+
+def test_mit_x11_is_mit(spark):
+    got = L.scan(spark.createDataFrame([(1, "Under the MIT X11 License.")], "doc_id long, text string")).first()
+    assert "mit" in {d.label for d in got.detections}
