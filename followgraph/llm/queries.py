@@ -10,7 +10,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followgraph.llm import bpe, decontamination, html_extract, license_scan, minhash_dedup, pitman_yor, quality, secret_scan, substring_dedup, vectors
+from followgraph.llm import (
+    bpe,
+    collocations,
+    decontamination,
+    html_extract,
+    license_scan,
+    minhash_dedup,
+    pitman_yor,
+    quality,
+    quality_rules,
+    ranked_search,
+    secret_scan,
+    substring_dedup,
+    vectors,
+)
 from followgraph.llm.common import fold, sha256_hex, stored
 
 TOKENIZER = "word_bpe_49k.json"
@@ -190,6 +204,62 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = stored(quality_rules.rule_statistics(table(spark, sf_dir, "documents")), "rules")
+    rules = quality_rules.fit_rules(counts, table(spark, sf_dir, "labels"))
+    return quality_rules.apply_rules(counts, rules).select(
+        F.col("id").alias("doc_id"), *quality_rules.COUNTS, "base_failed", "kept", F.array_join("broken", ",").alias("broken")
+    )
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH x AS (SELECT doc_id, row_number() OVER () AS k, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+d AS (SELECT k, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM x WHERE len(w) > 0),
+s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS total FROM d),
+b AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+i AS (SELECT q, item_id, t, CAST(count(*) AS BIGINT) AS times FROM (SELECT q, item_id, unnest(w) AS t FROM b) GROUP BY ALL),
+f AS (SELECT k, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT k, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM i) GROUP BY ALL),
+g AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM f, s GROUP BY t, docs),
+r AS (SELECT i.q, i.item_id, d.doc_id, CAST(sum(i.times * g.weight * ((1000000000 * f.tf)
+    // (1000 * f.tf + 12 * (75 + (25 * d.n * s.docs) // s.total)))) AS BIGINT) AS score
+    FROM i JOIN f ON i.t = f.t JOIN g ON g.t = f.t JOIN d ON d.k = f.k, s GROUP BY i.q, i.item_id, d.k, d.doc_id),
+o AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 20
+"""
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents")).withColumnRenamed("stratum", "lang")
+
+
+OP13_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i : i + m - 1], ' '))) AS phrase
+    FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(w) >= m),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+h AS (SELECT * FROM f WHERE f >= 100),
+c AS (SELECT lang, m, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1 : k], ' ') AS part1,
+    array_to_string(string_split(phrase, ' ')[k + 1 :], ' ') AS part2 FROM h, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE k < m),
+s AS (SELECT c.lang, c.m, c.phrase, c.a, c.k, x.f AS l, y.f AS r, n.n,
+    CAST(1000 * CAST(c.a AS HUGEINT) * n.n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM c JOIN h x ON x.lang = c.lang AND x.phrase = c.part1 JOIN h y ON y.lang = c.lang AND y.phrase = c.part2 JOIN n ON n.lang = c.lang),
+t AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM s),
+u AS (SELECT * FROM t WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM h z WHERE z.lang = t.lang AND z.m > t.m AND z.f >= t.a
+    AND contains(' ' || z.phrase || ' ', ' ' || t.phrase || ' '))),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM u)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, score FROM o WHERE rank <= 2000
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_duplicates": op1,
@@ -202,8 +272,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_licenses": op8,
         "op9_repeats": op9,
         "op10_language_model": op10,
+        "op11_quality_rules": op11,
+        "op12_ranked_search": op12,
+        "op13_collocations": op13,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_neighbours": OP3_SQL, "op4_decontamination": OP4_SQL, "op9_repeats": OP9_SQL}
+    return {
+        "op3_neighbours": OP3_SQL,
+        "op4_decontamination": OP4_SQL,
+        "op9_repeats": OP9_SQL,
+        "op12_ranked_search": OP12_SQL,
+        "op13_collocations": OP13_SQL,
+    }
