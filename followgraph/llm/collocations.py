@@ -11,12 +11,14 @@ everything is per stratum (language).
    the threshold, and one more, so less than the threshold is ever taken off, and every phrase
    that occurs so often survives. Masses come before the parts in the sorted rows, so a task
    knows the capacity before it merges and holds no more counters than that and one batch.
-2. What survives is kept as bits in a table of 2**BITS places (by the first bits of the hash, so
-   a hash partition writes its own stretch of it); its size does not grow with the data.
+2. What survives is kept in a Bloom filter of 2**BITS bits, in blocks of 2**BLOCK picked by the
+   first bits of the hash, so a hash partition writes its own stretch of it; its size does not
+   grow with the data.
    Phrases of one and two words are summed up first; longer ones only where all their word
    pairs have survived, as a phrase is no more frequent than its parts.
 3. The second pass counts the survivors exactly, by stratum and words, never by a hash: a
-   collision only makes it count a phrase that then fails the threshold.
+   collision only makes it count a phrase that then fails the threshold. Tasks add up what they
+   count and send it packed, a row for each bucket of phrases.
 4. Cuts, scores and the dropping of phrases inside longer ones are joins on that count; scores
    are exact quotients of decimals.
 
@@ -44,13 +46,16 @@ from followgraph.llm.common import chunks, stored
 LONGEST = 5
 LEAST = 100
 MOST = 2000
-#: Places of the table of survivors, as a power of two: 16 MB, whatever the size of the corpus.
+#: Bits of the table of survivors, and of one of its blocks, as powers of two: 16 MB, whatever the
+#: size of the corpus.
 BITS = 27
+BLOCK = 9
 #: Bits by which one exchange tells hash partitions apart.
 FAN = 8
-CHUNK = 8 << 20
-#: Counters that a task holds before it hands them on.
+CHUNK = 4 << 20
+#: Counters, and phrases of the second pass, that a task holds before it hands them on.
 HELD = 1 << 21
+HELD_PHRASES = 1 << 18
 #: Bytes of counters that one hash partition is meant to get.
 PARTITION_BYTES = 16 << 20
 
@@ -132,10 +137,19 @@ def shrunk(hashes: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.nd
     return hashes[left], counts[left] - off, off
 
 
-def hits(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Which hashes have their bit set in the table (a power of two of bits)."""
-    place = (hashes >> np.uint64(65 - (8 * len(bits)).bit_length())).astype(np.int64)
-    return (bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+def _places(hashes: np.ndarray, bits: int):
+    """The three bits of each hash in a table of 2**bits: all in one block."""
+    block = (hashes >> np.uint64(64 - bits + BLOCK)) << np.uint64(BLOCK)
+    for k in range(3):
+        yield (block | ((hashes >> np.uint64(k * BLOCK)) & np.uint64((1 << BLOCK) - 1))).astype(np.int64)
+
+
+def hits(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes have all their bits set in the table (a power of two of bits)."""
+    found = np.ones(len(hashes), bool)
+    for place in _places(hashes, (8 * len(table)).bit_length() - 1):
+        found &= (table[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+    return found
 
 
 def _alive(words: Words, short: np.ndarray | None):
@@ -227,8 +241,8 @@ def _regrouped(parts: DataFrame, done: int, more: int, left: int) -> DataFrame:
 def survivors(parts: DataFrame, bits: int, least: int) -> bytes:
     """The table of what may occur `least` times: every hash partition merges its counters and
     writes its stretch of the table."""
+    size_of_table = BITS
     each = 1 << (BITS - bits)
-    places = np.uint64(64 - BITS)
 
     def run(batches):
         bucket, mass, off, held, buffer, size = None, 0, 0, None, [], 0
@@ -245,7 +259,8 @@ def survivors(parts: DataFrame, bits: int, least: int) -> bytes:
             table = np.zeros(each, np.uint8)
             if held is not None:
                 kept = held[0][held[1] + off >= least]
-                table[(kept >> places).astype(np.int64) - bucket * each] = 1
+                for place in _places(kept, size_of_table):
+                    table[place - bucket * each] = 1
             return pd.DataFrame({"bucket": [bucket], "bits": [np.packbits(table).tobytes()]})
 
         for frame in batches:
@@ -276,7 +291,7 @@ def survivors(parts: DataFrame, bits: int, least: int) -> bytes:
 
 def partition_bits(volume: int) -> int:
     """Bits of the hash that tell partitions apart, for so many bytes of counters."""
-    return min(BITS - 3, max(5, math.ceil(math.log2(max(1, volume / PARTITION_BYTES)))))
+    return min(BITS - BLOCK, max(5, math.ceil(math.log2(max(1, volume / PARTITION_BYTES)))))
 
 
 def _table(rows: DataFrame, earlier, volume: int, least: int) -> bytes:
@@ -302,41 +317,64 @@ def frequent_phrases(docs: DataFrame, text: str = "text", stratum: str = "lang",
     short = spark.sparkContext.broadcast(_table(rows, None, volume, least))
     long_ = spark.sparkContext.broadcast(_table(rows, short, volume, least))
 
+    buckets = 1 << partition_bits(volume)
+
     def count(batches):
         tables = [np.frombuffer(b.value, np.uint8) for b in (short, long_)]
+        held: dict = {}
+
+        def handed():
+            frame = pd.DataFrame([(*key, f) for key, f in held.items()], columns=["stratum", "words", "phrase", "f"])
+            hashed = [xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass")) & (buckets - 1) for p in frame["phrase"]]
+            return frame.groupby(np.array(hashed, np.int64)).agg(list).rename_axis("bucket").reset_index()
+
         for part in chunks(batches, "text", CHUNK):
             words = Words(part["text"], part["stratum"])
-            in_all = np.bincount(words.stratum, minlength=len(words.strata))
-            found = [pd.DataFrame({"stratum": words.strata, "words": 0, "phrase": "", "f": in_all})]
+            for name, f in zip(words.strata, np.bincount(words.stratum, minlength=len(words.strata)).tolist()):
+                held[name, 0, ""] = held.get((name, 0, ""), 0) + f
             for n, places, hashes in _alive(words, tables[0]):
                 if n > 2:
                     good = hits(tables[1], hashes)
                     places, hashes = places[good], hashes[good]
                 if len(places):
-                    found.append(_counted(words, n, places, hashes))
-            yield pd.concat(found, ignore_index=True)
+                    for name, phrase, f in _counted(words, n, places, hashes):
+                        held[name, n, phrase] = held.get((name, n, phrase), 0) + f
+            if len(held) >= HELD_PHRASES:
+                yield handed()
+                held.clear()
+        if held:
+            yield handed()
+
+    # a row for each bucket that a task has phrases of, so no more rows than phrases
+    packed = rows.mapInPandas(count, "bucket long, stratum array<string>, words array<int>, phrase array<string>, f array<long>")
 
-    counted = rows.mapInPandas(count, "stratum string, words int, phrase string, f long")
-    total = counted.groupBy("stratum", "words", "phrase").agg(F.sum("f").alias("f"))
-    kept = stored(total.where((F.col("words") == 0) | (F.col("f") >= least)), "phrases")
+    def add_up(batches):
+        total: dict = {}
+        for frame in batches:
+            for lists in zip(frame["stratum"], frame["words"], frame["phrase"], frame["f"]):
+                for *key, f in zip(*map(list, lists)):
+                    total[tuple(key)] = total.get(tuple(key), 0) + f
+        rest = [(*key, f) for key, f in total.items() if f >= least or not key[1]]
+        yield pd.DataFrame(rest, columns=["stratum", "words", "phrase", "f"])
+
+    total = packed.repartition(buckets, "bucket").mapInPandas(add_up, "stratum string, words int, phrase string, f long")
+    kept = stored(total, "phrases")
     sums = stored(kept.where("words = 0 AND f > 0").select("stratum", F.col("f").alias("n")), "words")
     return kept.where("words > 0"), sums
 
 
-def _counted(words: Words, n: int, places: np.ndarray, hashes: np.ndarray) -> pd.DataFrame:
-    """How often each phrase begins at one of the places; equal hashes are told apart by words."""
+def _counted(words: Words, n: int, places: np.ndarray, hashes: np.ndarray):
+    """(stratum, phrase, how often it begins at one of the places); equal hashes are told apart by words."""
     order = np.argsort(hashes, kind="stable")
     places, hashes = places[order], hashes[order]
     new = np.concatenate([[True], hashes[1:] != hashes[:-1]])
     for column in [words.stratum[places], *(words.ids[places + k] for k in range(n))]:
         new[1:] |= column[1:] != column[:-1]
     starts = np.flatnonzero(new)
-    first = places[starts]
-    names = words.names
-    phrases = [b" ".join([names[i] for i in row]).decode("utf-8", "replace") for row in np.stack([words.ids[first + k] for k in range(n)], axis=1).tolist()]
-    return pd.DataFrame(
-        {"stratum": words.strata[words.stratum[first]], "words": n, "phrase": phrases, "f": np.diff(np.append(starts, len(places)))}
-    )
+    first, names = places[starts], words.names
+    own = np.stack([words.ids[first + k] for k in range(n)], axis=1).tolist()
+    phrases = (b" ".join([names[i] for i in row]).decode("utf-8", "replace") for row in own)
+    return zip(words.strata[words.stratum[first]].tolist(), phrases, np.diff(np.append(starts, len(places))).tolist())
 
 
 def collocations(docs: DataFrame, text: str = "text", stratum: str = "lang", least: int = LEAST, most: int = MOST) -> DataFrame:

@@ -74,8 +74,9 @@ def test_levels_of_the_exchange(spark, monkeypatch, bits, fan):
 
 
 def test_a_full_table_of_survivors_costs_time_only(spark, monkeypatch):
-    monkeypatch.setattr(C, "BITS", 8)
-    rows = corpus(9)
+    monkeypatch.setattr(C, "BITS", 14)
+    monkeypatch.setattr(C, "HELD_PHRASES", 40)
+    rows = corpus(9, docs=600)
     got = C.collocations(spark.createDataFrame(rows, SCHEMA), least=6)
     assert sorted(tuple(r) for r in got.collect()) == brute(rows, 6, 2000)
 
