@@ -7,6 +7,7 @@ regular expression for SQL functions.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -27,11 +28,14 @@ CHUNK_BYTES = 16 << 20
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: `spark.checkpoint.dir`. Where no such
-    setting exists (local runs and tests) a new temporary folder becomes it."""
+    setting exists, the session's checkpoint folder is taken, and in local runs (tests) a new
+    temporary folder becomes it. On a cluster there is no such folder to fall back to."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         context = spark.sparkContext
         if context.getCheckpointDir() is None:
+            if not re.match(r"local(\[|$)", context.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="followgraph-"))
         found = context.getCheckpointDir()
     return found.rstrip("/")
@@ -43,7 +47,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that `stored` has written, once nothing is left to be read from them."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def lower_ascii(text: Column) -> Column:

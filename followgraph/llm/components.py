@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from followgraph.llm.common import stored
+from followgraph.llm.common import discard, stored
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
@@ -47,6 +47,7 @@ def components(links: DataFrame) -> DataFrame:
     while mark[0]:
         after = stored(_small(_large(now)).where("u <> v").distinct(), "links")
         new = _mark(after)
+        discard(now)
         now = after
         if new == mark:
             break

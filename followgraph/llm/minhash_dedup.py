@@ -9,10 +9,12 @@
    posterior chance of similarity t or more is P(Binomial(n + 1, t) <= m); a pair is dropped
    as soon as that is under `miss`. What survives is verified exactly on the full sets.
 4. First every class of a bucket is held against one of them, the least id (`pivot`), which is linear. Links make
-   components. Where a bucket still has classes of several components, those outside its
-   largest one are held against all of the bucket, in blocks of bounded size inside tasks:
-   only links come out, never pairs. So no candidate pair between different components is
-   left out, and no group of copies is paired up within itself.
+   components. That settles the pivot. Where the rest of a bucket still has classes of several
+   components, those outside its largest one are held against all of the rest, in blocks of
+   bounded size inside tasks: only links come out, never pairs. So no candidate pair between
+   different components is left out, and no group of copies is paired up within itself. Of
+   these classes signatures are compared first, and full sets are sent only of those that have
+   a partner left.
 
 Defined results for odd input: null and empty texts, and texts without words, have an empty
 set (0 shingles) and no links; rows that share an id are one node: their sets' links are
@@ -32,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from followgraph.llm.common import WordHashes, chunks, coarse, hashed_words, mixed, stored, window_hashes
+from followgraph.llm.common import WordHashes, chunks, coarse, discard, hashed_words, mixed, stored, window_hashes
 from followgraph.llm.components import components
 
 WIDTH = 5
@@ -183,12 +185,16 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
             yield frame.loc[good, ["a", "b"]]
 
     full = survivors.join(own.toDF("a", "xa"), "a").join(own.toDF("b", "xb"), "b")
-    return stored(full.mapInPandas(exact, "a long, b long").distinct(), "verified")
+    found = stored(full.mapInPandas(exact, "a long, b long").distinct(), "verified")
+    discard(survivors)
+    return found
 
 
-def _leftover(members: DataFrame, known: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, miss: float):
-    """Links between classes that share a bucket and are not yet in one component."""
-    named = members.join(known.withColumnRenamed("node", "id"), "id", "left").select(
+def _open_members(members: DataFrame, known: DataFrame) -> DataFrame:
+    """Members of buckets whose classes, but for the settled pivot, lie in several components:
+    band, id, mark, component, the size n of that rest, and whether the class is outside the
+    rest's largest component."""
+    named = members.where("id <> pivot").join(known.withColumnRenamed("node", "id"), "id", "left").select(
         "band", "id", "mark", F.coalesce("component", "id").alias("component")
     )
     sizes = named.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -197,22 +203,24 @@ def _leftover(members: DataFrame, known: DataFrame, classes: DataFrame, docs: Da
         .agg(F.sum("n").alias("n"), F.max_by("component", "n").alias("main"), F.count(F.lit(1)).alias("parts"))
         .where("parts > 1")
     )
-    open_ = stored(named.join(mixed_up, "band").withColumn("rest", F.col("component") != F.col("main")), "open")
-    ids = open_.select("id").distinct()
-    # an id may stand for several classes: each has its own signature and set
-    own = _sets(_near(docs, ids), width).select("id", F.xxhash64("class").alias("mark"), "own").dropDuplicates(["id", "mark"])
-    whole = _near(classes.select("id", "mark", "signature"), ids).join(own, ["id", "mark"]).join(ids, "id")
-    rows = band_rows(percent, miss)
+    return named.join(mixed_up, "band").withColumn("rest", F.col("component") != F.col("main"))
+
+
+def _cells(open_: DataFrame, whole: DataFrame) -> DataFrame:
+    """The members, with the columns of `whole`, in cells: one side is what is outside the bucket's
+    largest component, the other all of the bucket. Rows of a cell follow each other in a
+    partition, so that one Python call takes many small cells."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     placed = open_.withColumn("block", F.pmod(F.xxhash64("id", "mark"), blocks).cast("int"))
     every = F.sequence(F.lit(0), blocks - 1)
-    # one side: what is outside the bucket's largest component; other side: all of the bucket
     left = placed.where("rest").select("band", "id", "mark", "component", F.col("block").alias("row"), F.explode(every).alias("column"), F.lit(True).alias("left"))
     right = placed.select("band", "id", "mark", "component", F.explode(every).alias("row"), F.col("block").alias("column"), F.lit(False).alias("left"))
-    cells = left.unionByName(right).join(whole, ["id", "mark"]).drop("mark")
+    cells = left.unionByName(right).join(whole, ["id", "mark"])
+    return cells.repartition("band", "row", "column").sortWithinPartitions("band", "row", "column")
+
 
-    # rows of a cell follow each other in a partition: a Python call takes many small cells at once
-    ordered = cells.repartition("band", "row", "column").sortWithinPartitions("band", "row", "column")
+def _in_cells(cells: DataFrame, look, schema: str) -> DataFrame:
+    """`look` over whole cells, as many at once as come in a batch."""
 
     def run(batches):
         carried = None
@@ -223,11 +231,31 @@ def _leftover(members: DataFrame, known: DataFrame, classes: DataFrame, docs: Da
                 continue
             starts = _cell_starts(frame)
             carried = frame.iloc[starts[-1] :]
-            yield _links_in_cells(frame.iloc[: starts[-1]], percent, miss, rows)
+            yield look(frame.iloc[: starts[-1]])
         if carried is not None and len(carried):
-            yield _links_in_cells(carried, percent, miss, rows)
+            yield look(carried)
 
-    return stored(ordered.mapInPandas(run, "a long, b long").distinct(), "leftover")
+    return cells.mapInPandas(run, schema)
+
+
+def _leftover(members: DataFrame, known: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, miss: float):
+    """Links between classes that share a bucket and are not yet in one component."""
+    open_ = stored(_open_members(members, known), "open")
+    rows = band_rows(percent, miss)
+    signed = _near(classes.select("id", "mark", "signature"), open_)
+    partners = _in_cells(
+        _cells(open_, signed), lambda frame: _with_partner(frame, percent, miss, rows), "band long, id long, mark long"
+    )
+    found = stored(partners.distinct(), "partners")
+    ids = found.select("id").distinct()
+    # an id may stand for several classes: each has its own signature and set
+    own = _sets(_near(docs, ids), width).select("id", F.xxhash64("class").alias("mark"), "own").dropDuplicates(["id", "mark"])
+    whole = signed.join(own, ["id", "mark"])
+    left = open_.join(found, ["band", "id", "mark"])
+    links = _in_cells(_cells(left, whole), lambda frame: _links_in_cells(frame, percent, miss, rows), "a long, b long")
+    result = stored(links.distinct(), "leftover")
+    discard(open_, found)
+    return result
 
 
 def _cell_starts(frame: pd.DataFrame) -> np.ndarray:
@@ -236,35 +264,53 @@ def _cell_starts(frame: pd.DataFrame) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
 
 
+def _pairs_in_cells(frame: pd.DataFrame, percent: int, miss: float, rows: int):
+    """(first and second rows of the pairs whose signatures agree enough, the cell's rows on its
+    left and on its right) for each cell of sorted rows, in stretches."""
+    if not len(frame):
+        return
+    starts = _cell_starts(frame)
+    signatures = np.frombuffer(b"".join(frame["signature"]), np.uint32).reshape(len(frame), -1)
+    bands = band_hashes(signatures, rows)
+    parts = frame["component"].to_numpy(np.int64)
+    band, left = frame["band"].to_numpy(np.int64), frame["left"].to_numpy(bool)
+    sizes = frame["own"].str.len().to_numpy() // 8 if "own" in frame else np.ones(len(frame), np.int64)
+    for lo, hi in zip(starts, np.append(starts[1:], len(frame))):
+        here = np.arange(lo, hi)
+        x, y = here[left[lo:hi]], here[~left[lo:hi]]
+        if not len(x) or not len(y):
+            continue
+        column = int(np.flatnonzero((bands[x[:1]] == band[lo]).any(axis=0))[0])
+        for i, j in _candidates(x, y, parts, sizes, bands, column, percent):
+            near = alive(signatures[i], signatures[j], percent / 100, miss)
+            yield i[near], j[near], x, y
+
+
+def _with_partner(frame: pd.DataFrame, percent: int, miss: float, rows: int) -> pd.DataFrame:
+    """The members of which some pair is left, by signatures alone."""
+    marked = np.zeros(len(frame), bool)
+    for i, j, _, _ in _pairs_in_cells(frame, percent, miss, rows):
+        marked[i] = marked[j] = True
+    return frame.loc[marked, ["band", "id", "mark"]]
+
+
 def _links_in_cells(frame: pd.DataFrame, percent: int, miss: float, rows: int) -> pd.DataFrame:
     """Links within each cell of sorted rows, between its left and its right side."""
-    a, b = [], []
-    if len(frame):
-        starts = _cell_starts(frame)
-        signatures = np.frombuffer(b"".join(frame["signature"]), np.uint32).reshape(len(frame), -1)
-        bands = band_hashes(signatures, rows)
-        ids, parts = frame["id"].to_numpy(np.int64), frame["component"].to_numpy(np.int64)
-        band, left = frame["band"].to_numpy(np.int64), frame["left"].to_numpy(bool)
-        sets = [np.frombuffer(v, np.uint64) for v in frame["own"]]
-        sizes = np.array([len(v) for v in sets])
-        for lo, hi in zip(starts, np.append(starts[1:], len(frame))):
-            here = np.arange(lo, hi)
-            x, y = here[left[lo:hi]], here[~left[lo:hi]]
-            if not len(x) or not len(y):
-                continue
-            column = int(np.flatnonzero((bands[x[:1]] == band[lo]).any(axis=0))[0])
-            common = None
-            for i, j in _candidates(x, y, parts, sizes, bands, column, percent):
-                near = alive(signatures[i], signatures[j], percent / 100, miss)
-                i, j = i[near], j[near]
-                if len(i) > len(here):
-                    common = _in_common(x, y, sets) if common is None else common
-                    most = np.minimum(common[i - lo], common[j - lo])
-                    possible = 100 * most >= percent * (sizes[i] + sizes[j] - most)
-                    i, j = i[possible], j[possible]
-                good = [similar(sets[p], sets[q], percent) for p, q in zip(i, j)]
-                a.append(ids[i][good])
-                b.append(ids[j][good])
+    a, b, seen, common = [], [], None, None
+    ids = frame["id"].to_numpy(np.int64)
+    sets = [np.frombuffer(v, np.uint64) for v in frame["own"]]
+    sizes = np.array([len(v) for v in sets])
+    for i, j, x, y in _pairs_in_cells(frame, percent, miss, rows):
+        if len(i) > len(x) + len(y):
+            if seen is not x:
+                seen, common = x, _in_common(x, y, sets)
+            lo = min(x[0], y[0])
+            most = np.minimum(common[i - lo], common[j - lo])
+            possible = 100 * most >= percent * (sizes[i] + sizes[j] - most)
+            i, j = i[possible], j[possible]
+        good = [similar(sets[p], sets[q], percent) for p, q in zip(i, j)]
+        a.append(ids[i][good])
+        b.append(ids[j][good])
     none = np.empty(0, np.int64)
     return pd.DataFrame({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
 
@@ -317,6 +363,7 @@ def near_duplicates(
     links = _verified(pairs, classes, rows, width, percent, miss)
     known = stored(components(links), "components")
     more = _leftover(members, known, classes, rows, width, percent, miss)
+    discard(members, pairs)
     # rows of one id are one node: each class hangs together with every id that it has
     same = classed.join(classes.select("class", F.col("id").alias("rep")), "class").where("id <> rep").select(
         F.col("rep").alias("a"), F.col("id").alias("b")

@@ -211,11 +211,29 @@ def score_quality(statistics_of: DataFrame, model: QualityModel, threshold: floa
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def score_column(model: QualityModel, text: Column) -> Column:
-    """The score of a text column, without another table."""
+def statistics_column(text: Column) -> Column:
+    """The statistics of a text column, a few MB of text at a time."""
+
+    @F.pandas_udf("array<double>")
+    def measured(series: pd.Series) -> pd.Series:
+        hashes, found = WordHashes(), []
+        for part in chunks([series.to_frame("text")], "text", 4 << 20):
+            found += list(statistics(part["text"], hashes))
+        return pd.Series(found, dtype=object)
+
+    return measured(text.cast("string"))
+
+
+def score_of(model: QualityModel, measured: Column) -> Column:
+    """The score of a column of statistics."""
 
     @F.pandas_udf("double")
     def score(series: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(statistics(series)) if len(series) else [], dtype="float64")
+        return pd.Series(model.scores(np.stack(series.to_numpy())) if len(series) else [], dtype="float64")
+
+    return score(measured)
+
 
-    return score(text.cast("string"))
+def score_column(model: QualityModel, text: Column) -> Column:
+    """The score of a text column, without another table."""
+    return score_of(model, statistics_column(text))

@@ -101,3 +101,36 @@ def test_shared_ids_of_different_texts_with_half_similar_partners(spark):
     rng.shuffle(rows)
     got = M.near_duplicates(spark.createDataFrame(rows, SCHEMA), percent=80).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 80)
+
+
+def test_what_the_pivot_has_settled_is_not_compared_again(spark):
+    """Of a bucket of two nothing is left, of a larger one only classes beside the pivot."""
+    rows = [(1, 10, 100, 10), (1, 11, 110, 10)]  # a pair without a link
+    rows += [(2, 20, 200, 20), (2, 21, 210, 20), (2, 22, 220, 20)]  # 21 and 22 are linked to each other
+    rows += [(3, 30, 300, 30), (3, 31, 310, 30), (3, 32, 320, 30), (3, 33, 330, 30)]  # 31 with 32, 33 alone
+    members = spark.createDataFrame(rows, "band long, id long, mark long, pivot long")
+    known = spark.createDataFrame([(21, 21), (22, 21), (31, 31), (32, 31)], "node long, component long")
+    got = sorted((r.band, r.id, r.n, r.rest) for r in M._open_members(members, known).collect())
+    assert got == [(3, 31, 3, False), (3, 32, 3, False), (3, 33, 3, True)]
+
+
+def test_links_that_only_the_rest_of_a_bucket_shows(spark, monkeypatch):
+    """Every candidate of the pivot is rejected; the others are linked among themselves, in
+    several blocks."""
+    monkeypatch.setattr(M, "BLOCK", 8)
+    rng = random.Random(4)
+    rows = [(i, text) for i, text in enumerate(family(rng, 60, 80, 9))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = M.near_duplicates(df, percent=80).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 80)
+
+
+def test_spent_tables_are_deleted(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from followgraph.llm.common import shared_dir
+
+    M.near_duplicates(spark.createDataFrame([(i, f"a b c d e {i % 3}") for i in range(9)], SCHEMA)).count()
+    left = {p.name.split("-")[0] for p in Path(urlparse(shared_dir(spark)).path).iterdir()}
+    assert not left & {"members", "pairs", "open", "partners", "survivors"}

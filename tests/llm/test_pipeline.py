@@ -119,4 +119,4 @@ def test_against_sql(spark, duck, name):
 def test_registered():
     names = set(entry_file.queries())
     assert {"pipeline", *llm.queries()} <= names
-    assert [n.split("_")[0] for n in llm.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in llm.queries()] == [f"op{i}" for i in range(1, 14)]
