@@ -6,8 +6,9 @@ return the columns of `documents`.
 
 Defined results for odd input: a null or empty text is scored by the classifier like any other,
 has no shingles, words or secrets, and its ids are empty; a row with a null id is no copy of
-anything and stays; of rows with one id the near-duplicate stage keeps one; an empty table
-passes through empty; columns beyond those of `documents` are carried to the last stage, which
+anything and stays; rows with one id are one node of the near-duplicate stage, which goes or
+stays as a whole, and of equal ones among them one stays; an empty table passes through empty;
+columns beyond those of `documents` are carried to the last stage, which
 returns doc_id, ids, n_tokens and decoded.
 """
 
@@ -25,22 +26,28 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Drops what the quality classifier scores below its threshold.
 
     The model is fitted on this stage's documents and their rows in `labels`, less those
-    that are held out."""
-    known = stored(quality.document_statistics(docs), "statistics")
+    that are held out. Texts are measured once: documents are written with their statistics,
+    which the model is fitted on and then scores."""
+    own = "__statistics"
+    while own in docs.columns:
+        own += "_"
+    measured = stored(docs.withColumn(own, quality.statistics_column(F.col("text"))), "measured")
+    known = measured.select(F.col("doc_id").alias("id"), F.col(own).alias("statistics"))
     model = quality.fit_quality(known, table(spark, sf_dir, "labels"))
-    return docs.where(quality.score_column(model, F.col("text")) >= quality.THRESHOLD)
+    good = quality.score_of(model, F.col(own)) >= quality.THRESHOLD
+    return measured.where(good).drop(own)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five-word shingles, similarity of 0.8 or more) the
-    document with the least id stays; of rows with the same id, one."""
+    document with the least id stays; of equal rows (id and text), one."""
     found = minhash_dedup.near_duplicates(docs, percent=80)
     gone = found.where(~F.col("kept")).select("doc_id").distinct()
     left = drop_matching(docs, gone, "doc_id")
     # rows that share an id are few: only they are shuffled, to keep one of each
     shared = found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
     once = drop_matching(left, shared, "doc_id")
-    return once.unionByName(keep_matching(left, shared, "doc_id").dropDuplicates(["doc_id"]))
+    return once.unionByName(keep_matching(left, shared, "doc_id").dropDuplicates(["doc_id", "text"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
