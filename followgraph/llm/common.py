@@ -7,6 +7,7 @@ regular expression for SQL functions.
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -14,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +90,17 @@ def chunks(batches: Iterator[pd.DataFrame], text: str, most: int = CHUNK_BYTES):
         group = np.maximum.accumulate((np.cumsum(size) - size) // most)
         for _, part in frame.groupby(group, sort=True):
             yield part.reset_index(drop=True)
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: idle Python processes otherwise keep the peak of the
+    tasks they have run."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
 
 
 class WordHashes(dict):
