@@ -68,7 +68,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The stages before have filled the executors' heaps, so the encoder's memories are small here."""
     model = bpe.load_bpe(tokenizer_path())
-    return bpe.encode(docs.select("doc_id", "text"), model, memory=1 << 17).drop("text")
+    return bpe.encode(docs.select("doc_id", "text"), model, memory=1 << 16).drop("text")
 
 
 STAGES = [
