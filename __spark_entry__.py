@@ -5,6 +5,10 @@ Edge relations, always over the whole table:
 LP  lineitem  l_partkey  -> l_suppkey   (repeated edges and self-loops)
 PL  lineitem  l_suppkey  -> l_partkey
 OC  orders    o_orderkey -> o_custkey
+CO  orders    o_custkey  -> o_orderkey
+OP  lineitem  l_orderkey -> l_partkey
+SO  lineitem  l_suppkey  -> l_orderkey
+SN  supplier  s_suppkey  -> s_nationkey
 
 The id cut-offs (MAX_ID, LOW_MAX_ID) and the divisor (MODULUS) are parameters of the operators
 themselves; every cut-off or divided query has a counterpart over all ids.
@@ -43,6 +47,10 @@ RELATIONS = {
     "LP": ("lineitem", "l_partkey", "l_suppkey"),
     "PL": ("lineitem", "l_suppkey", "l_partkey"),
     "OC": ("orders", "o_orderkey", "o_custkey"),
+    "CO": ("orders", "o_custkey", "o_orderkey"),
+    "OP": ("lineitem", "l_orderkey", "l_partkey"),
+    "SO": ("lineitem", "l_suppkey", "l_orderkey"),
+    "SN": ("supplier", "s_suppkey", "s_nationkey"),
 }
 
 
@@ -101,6 +109,66 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _profile(paths: DataFrame) -> DataFrame:
+    """2-paths by start node, so that results of millions of rows are compared by sums."""
+    return paths.groupBy("start_node").agg(
+        F.count(F.lit(1)).alias("n_paths"), F.sum("mid_node").alias("mid_checksum"), F.sum("end_node").alias("end_checksum")
+    )
+
+
+def _saved_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of `_lines`, written as text into nested folders and read back from there."""
+    path = fg.scratch_path(spark, "lines")
+    lines = _lines(spark, sf_dir).withColumn("folder", F.pmod(F.xxhash64("value"), F.lit(3)))
+    lines.write.partitionBy("folder").text(path)
+    return spark.read.option("recursiveFileLookup", "true").text(path)
+
+
+def _nested_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges from nested text files, by the reader that drops what is no edge."""
+    path = fg.scratch_path(spark, "edges")
+    lines = _lines(spark, sf_dir).withColumn("folder", F.pmod(F.xxhash64("value"), F.lit(3)))
+    lines.write.partitionBy("folder").text(path)
+    return fg.read_edges(spark, path, recursive=True)
+
+
+def _closed_saved_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Triangles in two programs: 2-paths are saved as text, read again and closed."""
+    e = edges(spark, sf_dir, "LP")
+    path = fg.scratch_path(spark, "paths")
+    fg.write_tsv(fg.two_paths(e, loops=False), path)
+    return fg.close_paths(fg.read_walks(spark, path, ["start_node", "mid_node", "end_node"]), e)
+
+
+def _saved_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Follower counts as `(key,value)` lines, over an earlier result, with the counters of the
+    writing job beside what is read back."""
+    counts = fg.follower_count(edges(spark, sf_dir, "PL"), None)
+    path = fg.scratch_path(spark, "pairs")
+    fg.save_counted(spark.sql("SELECT 'earlier' AS value"), path)
+    lines = counts.select(pair_text("followee", "follower_count").alias("value"), "follower_count")
+    seen = fg.save_counted(lines.select("value"), path, overwrite=True, longest=F.max(F.length("value")))
+    return spark.read.text(path).select(
+        F.col("value").alias("line"), F.lit(seen["rows"]).cast("bigint").alias("rows_written"), F.lit(seen["longest"]).cast("bigint").alias("longest_line")
+    )
+
+
+def _counted_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed walks saved with their copies, and one row with the counters of that job."""
+    walks = fg.closed_walks(edges(spark, sf_dir, "LP"))
+    path = fg.scratch_path(spark, "walks")
+    loops = F.count_if((F.col("n1") == F.col("n2")) | (F.col("n2") == F.col("n3")))
+    seen = fg.save_counted(walks, path, form="parquet", walks=F.sum("walks"), over_loops=loops)
+    back = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_read"))
+    return back.select("rows_read", *[F.lit(seen[c]).cast("bigint").alias(c) for c in ("rows", "walks", "over_loops")])
+
+
+def _in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every edge with its position in the order of followees."""
+    path = fg.scratch_path(spark, "ordered")
+    return fg.save_in_order(edges(spark, sf_dir, "LP"), path, "followee", "follower")
+
+
 def _walk_profile(e: DataFrame) -> DataFrame:
     """Closed walks by start node, summed over weighted walks."""
     return (
@@ -185,6 +253,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "LP", lambda e: fg.triangles(e).select(F.concat_ws("\t", "n3", walk_text("n1", "n2", "n3", "n1")).alias("line"))
         ),
     }
+
+    def between(build: Callable[..., DataFrame], *relations: str, **given):
+        return lambda spark, sf_dir: build(*[edges(spark, sf_dir, r) for r in relations], **given)
+
+    found |= {
+        "two_paths_between": between(fg.two_paths_between, "CO", "OP"),
+        "two_paths_between_side": between(fg.two_paths_between, "LP", "SN"),
+        "two_paths_between_hubs": between(lambda *r, **how: _profile(fg.two_paths_between(*r, **how)), "SO", "OP"),
+        "two_paths_between_split": between(lambda *r, **how: _profile(fg.two_paths_between(*r, **how)), "CO", "OP", **split),
+        "two_path_count_between": between(fg.two_path_count_between, "LP", "SO"),
+        "two_path_count_between_no_loop": between(fg.two_path_count_between, "LP", "PL", loops=False),
+        "closed_walks_between": between(fg.closed_walks_between, "LP", "SO", "OP"),
+        "closed_walks_between_strict": between(fg.closed_walks_between, "SO", "OP", "LP", walks="strict"),
+        "closed_walks_between_shuffle": between(fg.closed_walks_between, "LP", "SO", "OP", strategy="shuffle"),
+        "close_saved_paths": _closed_saved_paths,
+        "lines_explained": lambda spark, sf_dir: fg.explain_lines(_saved_lines(spark, sf_dir)),
+        "edges_from_nested_files": _nested_edges,
+        "pairs_saved": _saved_pairs,
+        "walks_saved_with_counters": _counted_walks,
+        "edges_in_order": _in_order,
+    }
     if llm:
         found |= llm.queries() | {"pipeline": corpus_pipeline.run}
     return found
@@ -328,6 +417,57 @@ def oracle_sql() -> dict[str, str]:
             f" FROM {walk} WHERE {no_loop}"
         ),
     }
+
+    def paths_of(first: str, second: str, columns: str = "a.follower AS start_node, a.followee AS mid_node, b.followee AS end_node"):
+        return f"SELECT {columns} FROM ({source(first)}) a JOIN ({source(second)}) b ON a.followee = b.follower"
+
+    def profile_of(first: str, second: str) -> str:
+        return (
+            "SELECT start_node, count(*) AS n_paths, CAST(sum(mid_node) AS BIGINT) AS mid_checksum,"
+            f" CAST(sum(end_node) AS BIGINT) AS end_checksum FROM ({paths_of(first, second)}) GROUP BY start_node"
+        )
+
+    def walks_of(first: str, second: str, third: str, where: str = "") -> str:
+        # copies are merged first: the same counts, by shorter joins
+        merged = {n: f"SELECT follower, followee, count(*) AS m FROM ({source(r)}) GROUP BY ALL" for n, r in zip("abc", (first, second, third))}
+        return (
+            "SELECT a.follower AS n1, a.followee AS n2, b.followee AS n3, CAST(sum(a.m * b.m * c.m) AS BIGINT) AS walks"
+            f" FROM ({merged['a']}) a JOIN ({merged['b']}) b ON a.followee = b.follower"
+            f" JOIN ({merged['c']}) c ON b.followee = c.follower AND c.followee = a.follower {where} GROUP BY ALL"
+        )
+
+    lines = f"""SELECT CASE {kind} WHEN 0 THEN 'x' || l_partkey || ',' || l_suppkey WHEN 1 THEN l_partkey || '.0,' || l_suppkey
+        WHEN 2 THEN l_partkey || ',' WHEN 3 THEN ' ' || l_partkey || ' , ' || l_suppkey WHEN 4 THEN l_partkey || ',' || l_suppkey || ',more'
+        WHEN 5 THEN '  ' ELSE l_partkey || ',' || l_suppkey END AS line, {kind} AS kind, l_partkey, l_suppkey FROM lineitem"""
+    sql |= {
+        "two_paths_between": paths_of("CO", "OP"),
+        "two_paths_between_side": paths_of("LP", "SN"),
+        "two_paths_between_hubs": profile_of("SO", "OP"),
+        "two_paths_between_split": profile_of("CO", "OP"),
+        "two_path_count_between": paths_of("LP", "SO", "count(*) AS two_path_count"),
+        "two_path_count_between_no_loop": paths_of("LP", "PL", "count(*) AS two_path_count") + " WHERE a.follower <> b.followee",
+        "closed_walks_between": walks_of("LP", "SO", "OP"),
+        "closed_walks_between_strict": walks_of(
+            "SO", "OP", "LP", "WHERE a.follower <> a.followee AND a.followee <> b.followee AND a.follower <> b.followee"
+        ),
+        "closed_walks_between_shuffle": walks_of("LP", "SO", "OP"),
+        "close_saved_paths": sql["triangles_no_loop"],
+        "lines_explained": (
+            "SELECT CASE WHEN kind NOT IN (0, 1, 2, 5) THEN l_partkey END AS follower, CASE WHEN kind NOT IN (0, 1, 2, 5) THEN l_suppkey END AS followee,"
+            " CASE kind WHEN 0 THEN 'follower' WHEN 1 THEN 'follower' WHEN 2 THEN 'followee' WHEN 5 THEN 'blank' END AS reason, line"
+            f" FROM ({lines})"
+        ),
+        "edges_from_nested_files": good,
+        "pairs_saved": (
+            "SELECT line, count(*) OVER () AS rows_written, max(length(line)) OVER () AS longest_line"
+            f" FROM ({sql['pair_lines']})"
+        ),
+        "walks_saved_with_counters": (
+            "SELECT count(*) AS rows_read, count(*) AS rows, CAST(sum(w) AS BIGINT) AS walks, count(*) FILTER (WHERE n1 = n2 OR n2 = n3) AS over_loops"
+            f" FROM (SELECT n1, n2, n3, count(*) AS w FROM ({sql['triangles_no_loop']}) GROUP BY ALL)"
+        ),
+        "edges_in_order": f"SELECT follower, followee, row_number() OVER (ORDER BY followee, follower) AS position FROM ({lp})",
+    }
     if llm:
         sql |= llm.oracle_sql()
     return sql

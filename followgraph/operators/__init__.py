@@ -9,7 +9,8 @@ from followgraph.operators.degrees import (
     two_path_count_by_max,
 )
 from followgraph.operators.edges import adjacency, core, multiplicity, reverse, under_max, valid
-from followgraph.operators.paths import two_paths
+from followgraph.operators.paths import two_path_count_between, two_paths, two_paths_between
+from followgraph.operators.closing import close_paths, closed_walks_between
 from followgraph.operators.cycles import (
     WALKS,
     closed_walks,
@@ -21,7 +22,9 @@ from followgraph.operators.cycles import (
 __all__ = [
     "WALKS",
     "adjacency",
+    "close_paths",
     "closed_walks",
+    "closed_walks_between",
     "core",
     "degree_product",
     "degrees",
@@ -32,8 +35,10 @@ __all__ = [
     "triangle_count",
     "triangles",
     "two_path_count",
+    "two_path_count_between",
     "two_path_count_by_max",
     "two_paths",
+    "two_paths_between",
     "under_max",
     "valid",
     "walk_counts",

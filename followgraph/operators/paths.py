@@ -1,12 +1,13 @@
-"""Listing 2-paths."""
+"""Listing and counting 2-paths, within one edge relation or from one into another."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from followgraph.functions.columns import WIDE
 from followgraph.operators.degrees import degrees
-from followgraph.operators.edges import copies_in_blocks, multiplicity
+from followgraph.operators.edges import copies_in_blocks, multiplicity, valid
 from followgraph.plans.route import Limits, Route, route
 from followgraph.plans.skew import all_slots, hot_keys, in_blocks, long, pick_slot, slots_for, with_slots
 
@@ -27,44 +28,25 @@ def _with_grid(rows: DataFrame, other: str, size: str, grid: DataFrame, hot: Dat
     )
 
 
-def two_paths(
-    edges: DataFrame,
-    *,
-    loops: bool = True,
-    strategy: str = "auto",
-    limits: Limits = Limits(),
-) -> DataFrame:
-    """``start_node, mid_node, end_node`` for every pair of edges a->b, b->c.
+def tasks_for(edges: DataFrame, paths: float, limits: Limits) -> int:
+    """Tasks that list so many 2-paths."""
+    shuffles = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffles, min(limits.tasks, int(paths // limits.task_paths) + 1))
 
-    ``loops=False`` leaves out the paths that end where they started. Repeated edges are joined
-    once and repeated in the result.
+
+def meet_in_cells(first: DataFrame, second: DataFrame, sizes: DataFrame, way: Route, tasks: int) -> DataFrame:
+    """``start_node, mid_node, end_node, copies`` for every row of ``first`` (``start_node,
+    mid_node, block, copies``) and of ``second`` (``end_node, mid_node, block, copies``) with the
+    same middle node; ``sizes`` has the ``in_degree`` and ``out_degree`` of every ``node``.
 
     A node with i edges in and o out is in the middle of i * o paths, so what a task has to
     write is not seen from the size of its input. Every such node gets a grid of
     ceil(i / path_rows) times ceil(o / path_rows) cells: an incoming edge picks a row of the grid
     and is sent to all columns, an outgoing edge picks a column and is sent to all rows. A cell
     then makes about path_rows**2 paths whatever the degrees, and the copies sent are 2/path_rows
-    of the output. Cells are dealt to as many tasks as the number of paths asks for; it is known
-    from the degrees before anything is joined.
+    of the output. Cells are dealt to a stated number of tasks.
     """
-    distinct = multiplicity(edges)
-    sizes = degrees(distinct, weight="multiplicity")
-    # from the edges as they are: next to nothing of them is left before the shuffle
-    n, paths = degrees(edges).agg(
-        F.coalesce(F.sum("in_degree"), long(0)),
-        F.coalesce(F.sum(F.col("in_degree").cast("double") * F.col("out_degree")), F.lit(0.0)),
-    ).first()
-    way = route(edges, strategy, limits, counted=n)
-    shuffles = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(shuffles, min(limits.tasks, int(paths // limits.task_paths) + 1))
-
-    steps = copies_in_blocks(distinct, min(limits.copies, limits.path_rows))
-    first = steps.select(
-        F.col("follower").alias("start_node"), F.col("followee").alias("mid_node"), "block", "copies"
-    )
-    second = steps.select(
-        F.col("followee").alias("end_node"), F.col("follower").alias("mid_node"), "block", "copies"
-    )
+    limits = way.limits
     grid = (
         sizes.filter((F.col("in_degree") > limits.path_rows) | (F.col("out_degree") > limits.path_rows))
         .filter("in_degree > 0 AND out_degree > 0")
@@ -97,11 +79,127 @@ def two_paths(
     a = first.repartition(tasks, *keys).alias("a")
     b = way.mark(second if way.broadcast else second.repartition(tasks, *keys)).alias("b")
     meet = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
-    if not loops:
-        meet.append(F.col("a.start_node") != F.col("b.end_node"))
     return a.join(b, meet).select(
-        "a.start_node",
-        "a.mid_node",
-        "b.end_node",
-        F.explode(F.sequence(long(1), F.col("a.copies") * F.col("b.copies"))).alias("copy"),
-    ).drop("copy")
+        "a.start_node", "a.mid_node", "b.end_node", (F.col("a.copies") * F.col("b.copies")).alias("copies")
+    )
+
+
+def _repeated(paths: DataFrame, loops: bool) -> DataFrame:
+    if not loops:
+        paths = paths.filter("start_node <> end_node")
+    copy = F.explode(F.sequence(long(1), F.col("copies"))).alias("copy")
+    return paths.select("start_node", "mid_node", "end_node", copy).drop("copy")
+
+
+def steps_in(merged: DataFrame, limits: Limits) -> DataFrame:
+    """Merged edges as the first steps of paths."""
+    return copies_in_blocks(merged, min(limits.copies, limits.path_rows)).select(
+        F.col("follower").alias("start_node"), F.col("followee").alias("mid_node"), "block", "copies"
+    )
+
+
+def steps_out(merged: DataFrame, limits: Limits) -> DataFrame:
+    """Merged edges as the second steps of paths."""
+    return copies_in_blocks(merged, min(limits.copies, limits.path_rows)).select(
+        F.col("followee").alias("end_node"), F.col("follower").alias("mid_node"), "block", "copies"
+    )
+
+
+def two_paths(
+    edges: DataFrame,
+    *,
+    loops: bool = True,
+    strategy: str = "auto",
+    limits: Limits = Limits(),
+) -> DataFrame:
+    """``start_node, mid_node, end_node`` for every pair of edges a->b, b->c.
+
+    ``loops=False`` leaves out the paths that end where they started. Repeated edges are joined
+    once and repeated in the result; middle nodes are split into cells (``meet_in_cells``), dealt
+    to as many tasks as the number of paths asks for, which is known from the degrees before
+    anything is joined. In a graph small enough to be broadcast in which no node passes
+    ``path_rows`` on both sides there is nothing to split, and edges are joined as they are.
+    """
+    # from the edges as they are: next to nothing of them is left before the shuffle
+    n, paths, hubs = degrees(edges).agg(
+        F.coalesce(F.sum("in_degree"), long(0)),
+        F.coalesce(F.sum(F.col("in_degree").cast("double") * F.col("out_degree")), F.lit(0.0)),
+        F.count_if((F.col("in_degree") > 0) & (F.col("out_degree") > limits.path_rows)),
+    ).first()
+    way = route(edges, strategy, limits, counted=n)
+    if way.broadcast and not hubs:
+        return _probe(valid(edges), valid(edges), loops)
+    distinct = multiplicity(edges)
+    sizes = degrees(distinct, weight="multiplicity")
+    found = meet_in_cells(steps_in(distinct, limits), steps_out(distinct, limits), sizes, way, tasks_for(edges, paths, limits))
+    return _repeated(found, loops)
+
+
+def _probe(first: DataFrame, side: DataFrame, loops: bool) -> DataFrame:
+    """Paths by a broadcast of the side relation: the first is streamed, neither merged nor moved."""
+    a = first.select(F.col("follower").alias("start_node"), F.col("followee").alias("mid_node"))
+    b = F.broadcast(side.select(F.col("follower").alias("mid_node"), F.col("followee").alias("end_node")))
+    meet = F.col("a.mid_node") == F.col("b.mid_node")
+    if not loops:
+        meet &= F.col("a.start_node") != F.col("b.end_node")
+    return a.alias("a").join(b.alias("b"), meet).select("start_node", "a.mid_node", "end_node")
+
+
+def sizes_between(first: DataFrame, second: DataFrame, weight: str = "1L") -> DataFrame:
+    """``node, in_degree, out_degree``: edges of the first relation into, and of the second out of,
+    every node that has both."""
+    ends = first.selectExpr("followee AS node", f"{weight} AS i", "0L AS o").unionAll(
+        second.selectExpr("follower AS node", "0L AS i", f"{weight} AS o")
+    )
+    sums = ends.filter("node IS NOT NULL").groupBy("node").agg(F.sum("i").alias("in_degree"), F.sum("o").alias("out_degree"))
+    return sums.filter("in_degree > 0 AND out_degree > 0")
+
+
+def two_paths_between(
+    first: DataFrame,
+    second: DataFrame,
+    *,
+    loops: bool = True,
+    strategy: str = "auto",
+    limits: Limits = Limits(),
+) -> DataFrame:
+    """``start_node, mid_node, end_node`` for every edge a->b of ``first`` and b->c of ``second``.
+
+    The second relation is the side relation. It is counted by itself, and if it has at most
+    ``limits.broadcast_rows`` edges and, under ``auto``, at most ``limits.path_rows`` out of any
+    node, it is sent to all tasks and the first is streamed past it, whatever its size, without
+    being counted, merged or shuffled. Otherwise both relations meet in cells of the middle
+    node, sized by the first relation's edges in and the second's out.
+    """
+    first, second = valid(first), valid(second)
+    if strategy != "shuffle":
+        out = second.groupBy("follower").agg(F.count(F.lit(1)).alias("n"))
+        side, most = out.agg(F.coalesce(F.sum("n"), long(0)), F.coalesce(F.max("n"), long(0))).first()
+        if side <= limits.broadcast_rows and (strategy == "broadcast" or most <= limits.path_rows):
+            return _probe(first, second, loops)
+    one, other = multiplicity(first), multiplicity(second)
+    n, paths = sizes_between(first, second).agg(
+        F.coalesce(F.sum(F.greatest("in_degree", "out_degree")), long(0)),
+        F.coalesce(F.sum(F.col("in_degree").cast("double") * F.col("out_degree")), F.lit(0.0)),
+    ).first()
+    # only edges with a middle node in common take part; they never are more than twice n
+    way = route(first, "shuffle", limits, counted=2 * n)
+    sizes = sizes_between(one, other, "multiplicity")
+    found = meet_in_cells(steps_in(one, limits), steps_out(other, limits), sizes, way, tasks_for(first, paths, limits))
+    return _repeated(found, loops)
+
+
+def two_path_count_between(first: DataFrame, second: DataFrame, *, loops: bool = True, wide: bool = False) -> DataFrame:
+    """One row, ``two_path_count``: pairs of an edge a->b of ``first`` and an edge b->c of ``second``,
+    from the degrees alone. With ``loops=False`` the pairs a->b, b->a are taken off."""
+    first, second = valid(first), valid(second)
+    to_type = WIDE if wide else "bigint"
+    sizes = sizes_between(first, second)
+    terms = sizes.select((F.col("in_degree").cast(to_type) * F.col("out_degree").cast(to_type)).cast(to_type).alias("n"))
+    if not loops:
+        both = first.selectExpr("follower AS a", "followee AS b", "1L AS i", "0L AS o").unionAll(
+            second.selectExpr("followee AS a", "follower AS b", "0L AS i", "1L AS o")
+        )
+        back = both.groupBy("a", "b").agg(F.sum("i").cast(to_type).alias("i"), F.sum("o").cast(to_type).alias("o"))
+        terms = terms.unionAll(back.select((-F.col("i") * F.col("o")).cast(to_type).alias("n")))
+    return terms.agg(F.coalesce(F.sum("n"), F.lit(0)).cast(to_type).alias("two_path_count"))

@@ -18,12 +18,45 @@ def parse_lines(
     null. ``strict`` raises on such lines, and on lines with more than two fields."""
     follower, followee = line_ids(line, sep, id_type)
     filled = lines.filter(F.trim(F.col(line)) != "")
-    edges = filled.select(follower.alias("follower"), followee.alias("followee"), F.col(line).alias("__line"))
-    if strict:
-        good = both_ends() & (F.size(F.split("__line", "\\Q" + sep + "\\E")) <= 2)
-        fail = F.raise_error(F.concat(F.lit("MALFORMED line: "), F.col("__line"))).cast(id_type)
-        edges = edges.withColumn("follower", F.when(good, F.col("follower")).otherwise(fail))
-    return edges.drop("__line")
+    both = F.struct(follower.alias("follower"), followee.alias("followee"))
+    # as a row of its own, so that what tests the ids does not parse them once more
+    if not strict:
+        return filled.select(F.inline(F.array(both)))
+    edges = filled.select(F.col(line).alias("__line"), F.inline(F.array(both)))
+    good = both_ends() & (F.size(F.split("__line", "\\Q" + sep + "\\E")) <= 2)
+    fail = F.raise_error(F.concat(F.lit("MALFORMED line: "), F.col("__line"))).cast(id_type)
+    return edges.select(F.when(good, F.col("follower")).otherwise(fail).alias("follower"), "followee")
+
+
+def explain_lines(lines: DataFrame, line: str = "value", *, sep: str = ",", id_type: str = "bigint") -> DataFrame:
+    """``follower, followee, reason, line`` of every line: ``reason`` is null for an edge, or else
+    ``blank`` (or null), ``fields`` (fewer than two), ``follower``, ``followee`` or ``both`` (no ids). Lines that
+    are no edge are kept, with null ids, instead of being dropped."""
+    follower, followee = line_ids(line, sep, id_type)
+    read = lines.select(
+        F.inline(
+            F.array(
+                F.struct(
+                    follower.alias("follower"),
+                    followee.alias("followee"),
+                    F.col(line).alias("line"),
+                    F.contains(F.col(line), F.lit(sep)).alias("several"),
+                )
+            )
+        )
+    )
+    no_one, no_other = F.col("follower").isNull(), F.col("followee").isNull()
+    reason = (
+        F.when(F.coalesce(F.trim("line"), F.lit("")) == "", "blank")
+        .when(~F.col("several"), "fields")
+        .when(no_one & no_other, "both")
+        .when(no_one, "follower")
+        .when(no_other, "followee")
+    )
+    good = reason.isNull()
+    return read.select(
+        F.when(good, F.col("follower")).alias("follower"), F.when(good, F.col("followee")).alias("followee"), reason.alias("reason"), "line"
+    )
 
 
 def read_lines(

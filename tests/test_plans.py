@@ -61,8 +61,11 @@ def test_shuffle_strategy_sends_edges_by_key(lp):
 
 
 def test_broadcast_strategy_joins_without_sorting(lp):
-    text = plan(fg.two_paths(lp, strategy="broadcast"))
+    text = plan(fg.two_paths(lp, strategy="broadcast", limits=fg.Limits(path_rows=5)))
     assert "SortMergeJoin" not in text and "in_slot" in text
+    # no middle node with many edges out: nothing to split, so nothing is moved
+    text = plan(fg.two_paths(lp, strategy="broadcast"))
+    assert "SortMergeJoin" not in text and "in_slot" not in text and "Exchange hashpartitioning" not in text
 
 
 @pytest.mark.parametrize("how", [{"strategy": "shuffle"}, {"strategy": "auto"}, {"strategy": "shuffle", "limits": fg.Limits(broadcast_rows=0, rows=1000)}])
