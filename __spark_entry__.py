@@ -441,7 +441,9 @@ def oracle_sql() -> dict[str, str]:
         WHEN 5 THEN '  ' ELSE l_partkey || ',' || l_suppkey END AS line, {kind} AS kind, l_partkey, l_suppkey FROM lineitem"""
     sql |= {
         "two_paths_between": paths_of("CO", "OP"),
-        "two_paths_between_side": paths_of("LP", "SN"),
+        "two_paths_between_side": paths_of(
+            "LP", "SN", "a.follower AS start_node, a.followee AS mid_node, CAST(b.followee AS BIGINT) AS end_node"
+        ),
         "two_paths_between_hubs": profile_of("SO", "OP"),
         "two_paths_between_split": profile_of("CO", "OP"),
         "two_path_count_between": paths_of("LP", "SO", "count(*) AS two_path_count"),
