@@ -56,7 +56,7 @@ def test_the_side_relation_is_counted_by_itself(graph):
     assert fg.two_paths_between(large, hub).count() == 200 * 43
 
 
-@pytest.mark.parametrize("turn, walks", enumerate(CLOSED))
+@pytest.mark.parametrize("turn, walks", list(enumerate(CLOSED)))
 @pytest.mark.parametrize("how", [{}, {"strategy": "shuffle"}, {"limits": SPLIT}])
 def test_closed_walks_between(graph, turn, walks, how):
     lists = [relation(3), relation(4, 50), relation(5, 40)]
