@@ -1,3 +1,8 @@
+import math
+import random
+import time
+from xml.etree import ElementTree
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,3 +81,89 @@ def test_paths_of_a_page_with_an_article_meet_the_threshold():
     body = f"<p>{_prose(90)}</p>" * 6
     html = f"<div class=x>tiny</div><article><div class=y>Yes.</div>{body}</article><div class=z><p>{_prose(120)}</p></div>"
     assert H.main_text(html) == " ".join(["Yes.", *[_prose(90)] * 6, _prose(120)])
+
+
+def test_names_inside_an_article_are_a_prior():
+    body = _prose(1500)
+    for page in (
+        '<main><div class="elementor-widget-container">%s</div></main>',
+        '<article class="post social-science">%s</article>',
+        '<article><div class="text-share-block">%s</div></article>',
+        '<form id="aspnetForm"><div>%s</div><input></form>',
+    ):
+        assert H.main_text(page % body) == body, page
+    # beside a text, or as comments, or without an article, they are believed
+    assert H.main_text(f"<article><p>{body}</p><div class=share>{body}</div></article>") == body
+    assert H.main_text(f"<article>Short. <div class=comments>{body}</div></article>") == "Short."
+    assert H.main_text(f"<div class=sidebar>{body}</div>") == ""
+    assert H.main_text("<form><p>Write to us, please. We answer.</p></form>") == ""
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "main", "p", "i><p", "form", "button><div"])
+def test_time_grows_with_depth(tag):
+    def seconds(n):
+        page = "".join(f"<{tag}>w{i} " for i in range(n))
+        start = time.process_time()
+        H.main_text(page)
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(32_000) < 40 * max(seconds(2_000), 0.02)
+
+
+def _by_hand(html: str, least: float) -> str:
+    """Sections by their ratios, from a tree and plain tuples."""
+    blocks = []
+
+    def walk(node, path):
+        path = (*path, ".".join([node.tag, *sorted(node.get("class", "").split())]))
+        if (node.text or "").strip():
+            blocks.append((path, " ".join(node.text.split())))
+        for child in node:
+            walk(child, path)
+            if (child.tail or "").strip():
+                blocks.append((path, " ".join(child.tail.split())))
+
+    walk(ElementTree.fromstring(html), ())
+    section = [p[: min([i for i, e in enumerate(p) if e.split(".")[0] in H.LEAVES], default=len(p))] for p, _ in blocks]
+
+    def ratio(path):
+        texts = [t for p, t in blocks if p == path]
+        return sum(map(len, texts)) / len(texts) * (1 + sum(c in ".,;:!?" for t in texts for c in t) / len(texts))
+
+    own = [ratio(p) for p, _ in blocks]
+    fused = []
+    for i in range(len(blocks)):
+        w = [math.exp(-((j - i) ** 2) / 2) if abs(j - i) <= 3 else 0.0 for j in range(len(blocks))]
+        fused.append(math.sqrt(own[i] * sum(a * b for a, b in zip(w, own)) / sum(w)))
+    size = [len(t) for _, t in blocks]
+    mean = sum(f * n for f, n in zip(fused, size)) / sum(size)
+    inner = [any(e.split(".")[0] in ("article", "main") for e in s) for s in section]
+    most = sum(f * n for f, n, a in zip(fused, size, inner) if a) > 0.5 * sum(f * n for f, n in zip(fused, size))
+    kept = []
+    for s, (_, text) in zip(section, blocks):
+        at = [i for i, other in enumerate(section) if other == s]
+        value = sum(fused[i] * size[i] for i in at) / sum(size[i] for i in at)
+        if value * (8 if most and inner[at[0]] else 1) >= min(least * mean, 60):
+            kept.append(text)
+    return " ".join(kept)
+
+
+def test_ratios_against_plain_tuples():
+    rng = random.Random(5)
+    differs = 0
+    for _ in range(150):
+        def tree(depth):
+            tag = rng.choice(["div", "div", "section", "article", "p", "ul"])
+            name = rng.choice(["", "", " class='x'", " class='y z'"])
+            n = rng.choice([3, 20, 150, 600])
+            text = "".join(rng.choice(["word ", "longer ", "a, ", "end. "]) for _ in range(n // 5 + 1))
+            inner = "".join(tree(depth + 1) for _ in range(rng.randint(0, 3))) if depth < 4 and tag not in ("p", "ul") else ""
+            return f"<{tag}{name}>{text if not inner or rng.random() < 0.4 else ''}{inner}</{tag}>"
+
+        page = f"<div>{tree(0)}{tree(0)}{tree(1)}</div>"
+        for least in (0.15, 0.6):
+            want = _by_hand(page, least)
+            assert H.main_text(page, least) == want
+            differs += want != _by_hand(page, 0.0)
+    assert differs > 10
