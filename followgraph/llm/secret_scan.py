@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -188,7 +189,13 @@ def find_spans(text: str | None, fdr: float = 0.001, reject: float = 0.001) -> l
     for m in tokens:
         if m.end() - m.start() >= 24:
             found += [(m.start() + h.start(), m.start() + h.end(), 2) for h in HEX.finditer(m[0])]
-    free = [m for m in tokens if not any(s < m.end() and m.start() < e for s, e, _ in found)]
+    taken = _merged(sorted(found))
+    ends = [e for _, e in taken]
+    free = []
+    for m in tokens:
+        k = bisect_right(ends, m.start())  # the first that ends behind this one's start
+        if k == len(taken) or taken[k][0] >= m.end():
+            free.append(m)
     if free:
         tried = [p for m in free for p in _parts(m)]
         last = 0

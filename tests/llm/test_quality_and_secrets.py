@@ -1,6 +1,7 @@
 import random
 import re
 import string
+import time
 import zlib
 
 import numpy as np
@@ -147,3 +148,11 @@ def test_dashes_and_parts():
     assert S.find_spans("id 16fd2706-8baf-433b-82eb-8c7fada847da.") == [(3, 39, 3)]
     assert S.find_spans("session=x7Kq2mZp9Lw4Rt8Bv3Ns") == [(8, 28, 3)]
     assert S.find_spans("state-of-the-art-technology 2024-01-01-2024-12-31 4111-1111-1111-1111") == []
+
+
+def test_a_long_dump_takes_time_by_its_length():
+    dump = " ".join(f"{i:032x}" for i in range(100_000)) + " session=x7Kq2mZp9Lw4Rt8Bv3Ns"
+    start = time.process_time()
+    spans = S.find_spans(dump)
+    assert time.process_time() - start < 20
+    assert len(spans) == 100_001 and spans[-1] == (len(dump) - 20, len(dump), 3)
