@@ -64,6 +64,15 @@ def entry(spark: SparkSession) -> DataFrame:
     return fg.triangle_count(edges(spark, SMOKE_DIR, "LP"))
 
 
+def _priced_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part-supplier edges that weigh their price in cents."""
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.col("l_partkey").alias("follower"),
+        F.col("l_suppkey").alias("followee"),
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+    )
+
+
 def _adjacency(e: DataFrame, **how) -> DataFrame:
     """Adjacency lists taken apart again, so that list order does not enter the check."""
     return (
@@ -268,6 +277,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "closed_walks_between_strict": between(fg.closed_walks_between, "SO", "OP", "LP", walks="strict"),
         "closed_walks_between_shuffle": between(fg.closed_walks_between, "LP", "SO", "OP", strategy="shuffle"),
         "close_saved_paths": _closed_saved_paths,
+        "two_path_weight": lambda spark, sf_dir: fg.two_path_weight(_priced_edges(spark, sf_dir), "cents"),
+        "two_path_weights": lambda spark, sf_dir: fg.two_path_weights(_priced_edges(spark, sf_dir), "cents"),
         "lines_explained": lambda spark, sf_dir: fg.explain_lines(_saved_lines(spark, sf_dir)),
         "edges_from_nested_files": _nested_edges,
         "pairs_saved": _saved_pairs,
@@ -421,6 +432,14 @@ def oracle_sql() -> dict[str, str]:
     def paths_of(first: str, second: str, columns: str = "a.follower AS start_node, a.followee AS mid_node, b.followee AS end_node"):
         return f"SELECT {columns} FROM ({source(first)}) a JOIN ({source(second)}) b ON a.followee = b.follower"
 
+    priced = (
+        "WITH e AS (SELECT l_partkey AS a, l_suppkey AS b, CAST(coalesce(round(l_extendedprice * 100), 0) AS HUGEINT) AS w"
+        " FROM lineitem WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL),"
+        " d AS (SELECT a AS node, 0::HUGEINT AS i, w AS o FROM e UNION ALL SELECT b, w, 0 FROM e),"
+        " p AS (SELECT node, sum(i) * sum(o) AS t FROM d GROUP BY node)"
+    )
+    limbs = "CAST({0} // 1000000000000000000 AS BIGINT) AS weight_high, CAST({0} % 1000000000000000000 AS BIGINT) AS weight_low"
+
     def profile_of(first: str, second: str) -> str:
         return (
             "SELECT start_node, count(*) AS n_paths, CAST(sum(mid_node) AS BIGINT) AS mid_checksum,"
@@ -446,6 +465,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "two_paths_between_hubs": profile_of("SO", "OP"),
         "two_paths_between_split": profile_of("CO", "OP"),
+        "two_path_weight": f"{priced} SELECT {limbs.format('coalesce(sum(t), 0)')} FROM p",
+        "two_path_weights": f"{priced} SELECT node, {limbs.format('t')} FROM p",
         "two_path_count_between": paths_of("LP", "SO", "count(*) AS two_path_count"),
         "two_path_count_between_no_loop": paths_of("LP", "PL", "count(*) AS two_path_count") + " WHERE a.follower <> b.followee",
         "closed_walks_between": walks_of("LP", "SO", "OP"),

@@ -7,6 +7,8 @@ from followgraph.operators.degrees import (
     follower_group_size,
     two_path_count,
     two_path_count_by_max,
+    two_path_weight,
+    two_path_weights,
 )
 from followgraph.operators.edges import adjacency, core, multiplicity, reverse, under_max, valid
 from followgraph.operators.paths import two_path_count_between, two_paths, two_paths_between
@@ -37,6 +39,8 @@ __all__ = [
     "two_path_count",
     "two_path_count_between",
     "two_path_count_by_max",
+    "two_path_weight",
+    "two_path_weights",
     "two_paths",
     "two_paths_between",
     "under_max",

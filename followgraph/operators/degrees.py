@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from followgraph.functions import below, both_ends, divisible_by
+from followgraph.functions import below, both_ends, divisible_by, high_low, product_limbs, sum_limbs
 from followgraph.functions.columns import WIDE
 
 
@@ -121,3 +121,24 @@ def two_path_count_by_max(edges: DataFrame, max_ids: list[int]) -> DataFrame:
         ]
     )
     return totals.select(F.inline(rows))
+
+
+def _weight_limbs(edges: DataFrame, weight: str) -> DataFrame:
+    weighted = edges.select("follower", "followee", F.coalesce(F.col(weight).cast("bigint"), F.lit(0)).alias("weight"))
+    sums = degrees(weighted, weight="weight")
+    return sums.select("node", *product_limbs(F.col("in_degree"), F.col("out_degree")))
+
+
+def two_path_weights(edges: DataFrame, weight: str) -> DataFrame:
+    """``node, weight_high, weight_low``: over the 2-paths a->b->c through each node b, the sum of
+    the products of their edges' weights (whole numbers), exactly: high * 10^18 + low.
+
+    No path is listed: it is the weight that comes in times the weight that goes out. A null weight
+    counts as zero; a node with 2^56 or more on one side is an error.
+    """
+    return high_low(_weight_limbs(edges, weight), "weight")
+
+
+def two_path_weight(edges: DataFrame, weight: str) -> DataFrame:
+    """One row, ``weight_high, weight_low``: the same over all 2-paths (0, 0 without any)."""
+    return high_low(_weight_limbs(edges, weight).agg(*sum_limbs()), "weight")

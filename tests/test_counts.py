@@ -108,3 +108,27 @@ def test_null_ends_count_nowhere(graph):
     assert rows(fg.follower_group_size(e, None)) == [(2, 1, 1)]
     assert rows(fg.follower_group_size(e, None, distinct=False)) == [(2, 1)]
     assert rows(fg.degrees(e)) == [(1, 0, 1), (2, 1, 0)]
+
+
+def test_two_path_weights_are_exact(spark):
+    """Products and sums beyond BIGINT, negative weights, nulls, no rows."""
+    big = 1 << 54
+    edges = [(1, 2, big - 1), (2, 3, big - 3), (2, 3, 5), (3, 1, -7), (1, 1, 12345678901), (4, 2, None), (None, 2, 9), (5, 6, 1 << 30)]
+    df = spark.createDataFrame(edges, "follower long, followee long, w long")
+    into, out = Counter(), Counter()
+    for a, b, w in edges:
+        if a is not None:
+            into[b] += w or 0
+            out[a] += w or 0
+    exact = {n: into[n] * out[n] for n in {*into, *out}}
+    got = {r.node: r.weight_high * 10**18 + r.weight_low for r in fg.two_path_weights(df, "w").collect()}
+    assert got == exact and max(exact.values()) > 1 << 63 and min(exact.values()) < 0
+    (total,) = rows(fg.two_path_weight(df, "w"))
+    assert total[0] * 10**18 + total[1] == sum(exact.values())
+    assert rows(fg.two_path_weight(df.limit(0), "w")) == [(0, 0)]
+
+
+def test_two_path_weights_refuse_what_limbs_cannot_hold(spark):
+    df = spark.createDataFrame([(1, 2, 1 << 56), (2, 3, 1)], "follower long, followee long, w long")
+    with pytest.raises(Exception, match="2\\^56"):
+        fg.two_path_weight(df, "w").collect()
