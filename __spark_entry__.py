@@ -30,7 +30,9 @@ from followgraph.functions import pair_text, walk_text
 try:  # the training-data operators and their pipeline may be left out of a checkout
     import corpus_pipeline
     from followgraph.llm import queries as llm
-except ImportError:
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "followgraph.llm"):
+        raise  # they are there, but something that they need isn't
     llm = corpus_pipeline = None
 
 MAX_ID = 10_000
