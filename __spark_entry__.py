@@ -238,6 +238,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "triangle_count_no_loop_shuffle": on("LP", lambda e: fg.triangle_count(e, **how)),
         "triangle_count_closed_walks_shuffle": on("LP", lambda e: fg.triangle_count(e, "closed", **how)),
         "triangle_count_no_loop_broadcast": on("LP", lambda e: fg.triangle_count(e, strategy="broadcast")),
+        "triangle_count_by_lists": on("LP", lambda e: fg.triangle_count(e, method="lists", **how)),
+        "walk_counts_by_lists": on("LP", lambda e: fg.walk_counts(e, method="lists")),
     }
     split = {"limits": SPLIT}
     found |= {
@@ -247,6 +249,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "triangles_no_loop_split": on("LP", lambda e: fg.triangles(e, **split)),
         "triangles_strict_split": on("LP", lambda e: fg.triangles(e, "strict", **split)),
         "triangle_count_no_loop_split": on("LP", lambda e: fg.triangle_count(e, **split)),
+        "triangle_count_by_lists_split": on("LP", lambda e: fg.triangle_count(e, "closed", method="lists", **split)),
         "edges_core_split": on("LP", lambda e: fg.core(e, **split)),
         "adjacency_split": on("LP", lambda e: _adjacency(e, **split)),
         "edges_under_low_max": on("LP", lambda e: fg.under_max(e, LOW_MAX_ID)),
@@ -404,6 +407,9 @@ def oracle_sql() -> dict[str, str]:
     sql |= {
         "triangle_count_closed_walks_shuffle": sql["triangle_count_closed_walks"],
         "triangle_count_no_loop_broadcast": sql["triangle_count_no_loop"],
+        "triangle_count_by_lists": sql["triangle_count_no_loop"],
+        "triangle_count_by_lists_split": sql["triangle_count_closed_walks"],
+        "walk_counts_by_lists": sql["triangle_walk_metrics"],
         "triangles_closed_walks_split": sql["triangles_closed_walks"],
         "triangles_strict_split": sql["triangles_strict"],
         "edges_core_split": sql["edges_core"],
