@@ -40,6 +40,7 @@ LOW_MAX_ID = 60
 SPLIT = fg.Limits(
     broadcast_rows=0, rows=200, max_share=1_000, wedge_rows=5, path_rows=10, task_paths=50_000, copies=2, repeats=2, list_size=50
 )
+INDEX_SPLIT = fg.Limits(broadcast_rows=0, rows=200, max_share=1_000, list_size=10, task_paths=100)
 MAX_IDS = [100, 1_000, 10_000]
 MODULUS = 100
 
@@ -180,6 +181,20 @@ def _in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fg.save_in_order(edges(spark, sf_dir, "LP"), path, "followee", "follower")
 
 
+def _indexed_paths(spark: SparkSession, sf_dir: str, asking: str, indexed: str, **how) -> DataFrame:
+    """2-paths from one relation into the stored lists of another, opened anew."""
+    path = fg.scratch_path(spark, "index")
+    fg.save_adjacency(edges(spark, sf_dir, indexed), path, **how)
+    return fg.paths_by_index(edges(spark, sf_dir, asking), fg.open_adjacency(spark, path), **how)
+
+
+def _looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that each supplier has delivered, and how often, from an index of suppliers."""
+    index = fg.save_adjacency(edges(spark, sf_dir, "PL"), fg.scratch_path(spark, "index"))
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    return fg.followees_of(suppliers.select(F.col("s_suppkey").cast("bigint").alias("node")), index)
+
+
 def _walk_profile(e: DataFrame) -> DataFrame:
     """Closed walks by start node, summed over weighted walks."""
     return (
@@ -289,6 +304,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pairs_saved": _saved_pairs,
         "walks_saved_with_counters": _counted_walks,
         "edges_in_order": _in_order,
+        "paths_by_index": lambda spark, sf_dir: _indexed_paths(spark, sf_dir, "CO", "OP"),
+        "paths_by_index_split": lambda spark, sf_dir: _indexed_paths(spark, sf_dir, "LP", "LP", limits=INDEX_SPLIT),
+        "followees_looked_up": _looked_up,
     }
     if llm:
         found |= llm.queries() | {"pipeline": corpus_pipeline.run}
@@ -489,6 +507,12 @@ def oracle_sql() -> dict[str, str]:
             f" FROM ({lines})"
         ),
         "edges_from_nested_files": good,
+        "paths_by_index": f"SELECT *, count(*) AS copies FROM ({paths_of('CO', 'OP')}) GROUP BY ALL",
+        "paths_by_index_split": f"SELECT *, count(*) AS copies FROM ({paths_of('LP', 'LP')}) GROUP BY ALL",
+        "followees_looked_up": (
+            f"SELECT follower AS node, followee, count(*) AS copies FROM ({pl})"
+            " WHERE follower IN (SELECT s_suppkey FROM supplier) GROUP BY ALL"
+        ),
         "pairs_saved": (
             "SELECT line, count(*) OVER () AS rows_written, max(length(line)) OVER () AS longest_line"
             f" FROM ({sql['pair_lines']})"

@@ -13,6 +13,7 @@ from followgraph.operators.degrees import (
 from followgraph.operators.edges import adjacency, core, multiplicity, reverse, under_max, valid
 from followgraph.operators.paths import two_path_count_between, two_paths, two_paths_between
 from followgraph.operators.closing import close_paths, closed_walks_between
+from followgraph.operators.index import AdjacencyIndex, followees_of, open_adjacency, paths_by_index, save_adjacency
 from followgraph.operators.cycles import (
     WALKS,
     closed_walks,
@@ -23,6 +24,7 @@ from followgraph.operators.cycles import (
 
 __all__ = [
     "WALKS",
+    "AdjacencyIndex",
     "adjacency",
     "close_paths",
     "closed_walks",
@@ -30,10 +32,14 @@ __all__ = [
     "core",
     "degree_product",
     "degrees",
+    "followees_of",
     "follower_count",
     "follower_group_size",
     "multiplicity",
+    "open_adjacency",
+    "paths_by_index",
     "reverse",
+    "save_adjacency",
     "triangle_count",
     "triangles",
     "two_path_count",

@@ -102,6 +102,34 @@ def core(
     return keep_core(edges, route(edges, strategy, limits, edge_rows))
 
 
+def in_parts(edges: DataFrame, way: Route) -> DataFrame:
+    """``multiplicity`` with the ``part`` of the follower's list that an edge belongs to: 0 unless the
+    follower has more than ``limits.list_size`` distinct followees."""
+    limits = way.limits
+    distinct = multiplicity(edges)
+    if way.edge_rows <= limits.list_size:
+        return distinct.withColumn("part", long(0))
+    # count_if and not count, which would leave the multiplicities out of this use of the
+    # distinct edges and so cost a second shuffle of them
+    n = F.count_if(F.col("multiplicity") > 0).alias("n")
+    sizes = distinct.groupBy("follower").agg(n)
+    parts = F.ceil(F.col("n") / limits.list_size).alias("parts")
+    long_lists = sizes.filter(F.col("n") > limits.list_size)
+    if way.split:
+        long_lists = long_lists.select(
+            "follower", parts, all_slots(slots_for("n", way.hot_limit)).alias("slot")
+        )
+        parted = (
+            with_slots(distinct, "follower", hot_keys(sizes, "follower", ["n"], way.hot_limit), way.counted)
+            .withColumn("slot", pick_slot(F.col("n_slots"), "followee"))
+            .join(way.mark(long_lists), ["follower", "slot"], "left")
+        )
+    else:
+        long_lists = long_lists.select("follower", parts)
+        parted = distinct.join(way.mark(long_lists), "follower", "left")
+    return parted.withColumn("part", pick_slot(F.coalesce(F.col("parts"), long(1)), "followee"))
+
+
 def adjacency(
     edges: DataFrame, *, limits: Limits = Limits(), edge_rows: int | None = None
 ) -> DataFrame:
@@ -111,29 +139,6 @@ def adjacency(
     apart by ``part``, so no list grows with the data. Repeated edges are kept as a number.
     """
     way = route(edges, "auto", limits, edge_rows)
-    distinct = multiplicity(edges)
-    if way.edge_rows <= limits.list_size:
-        parted = distinct.withColumn("part", long(0))
-    else:
-        # count_if and not count, which would leave the multiplicities out of this use of the
-        # distinct edges and so cost a second shuffle of them
-        n = F.count_if(F.col("multiplicity") > 0).alias("n")
-        sizes = distinct.groupBy("follower").agg(n)
-        parts = F.ceil(F.col("n") / limits.list_size).alias("parts")
-        long_lists = sizes.filter(F.col("n") > limits.list_size)
-        if way.split:
-            long_lists = long_lists.select(
-                "follower", parts, all_slots(slots_for("n", way.hot_limit)).alias("slot")
-            )
-            parted = (
-                with_slots(distinct, "follower", hot_keys(sizes, "follower", ["n"], way.hot_limit), way.counted)
-                .withColumn("slot", pick_slot(F.col("n_slots"), "followee"))
-                .join(way.mark(long_lists), ["follower", "slot"], "left")
-            )
-        else:
-            long_lists = long_lists.select("follower", parts)
-            parted = distinct.join(way.mark(long_lists), "follower", "left")
-        parted = parted.withColumn("part", pick_slot(F.coalesce(F.col("parts"), long(1)), "followee"))
-    return parted.groupBy("follower", "part").agg(
+    return in_parts(edges, way).groupBy("follower", "part").agg(
         F.collect_list(F.struct("followee", "multiplicity")).alias("followees")
     )
