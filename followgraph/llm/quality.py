@@ -6,7 +6,8 @@
    labelled row that is not held out; from them come class means and covariances, drawn
    towards the pooled covariance and towards a sphere, and their Cholesky factors.
 3. `score_quality` / `score_column`: the difference of the two log densities (Mahalanobis
-   distance by the cached factor, log determinant, log prior) through a logistic function.
+   distance by the cached factor, log determinant, log prior) through a logistic curve, which is
+   fitted to the log-odds of labelled rows by models fitted without them (`calibrated`).
 
 Only the text enters a score. Defined results for odd input: null and empty texts have
 no counts at all and get the score of such a vector; a label that is neither 0 nor 1 (null
@@ -18,7 +19,7 @@ id and text are never read, so their names don't matter.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -132,17 +133,45 @@ class QualityModel:
     means: tuple = ()
     inverses: tuple = ()
     constants: tuple = ()
-    #: The log-odds are divided by it: statistics of one text aren't independent enough for raw odds.
-    temperature: float = 1.0
+    #: Where they are given, the score is the logistic function of slope * asinh(log-odds) + shift:
+    #: the statistics of one text aren't independent enough for raw odds. See `calibrated`.
+    slope: float | None = None
+    shift: float = 0.0
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
-        if not self.means:
-            return np.full(len(x), 0.5)
+    def log_odds(self, x: np.ndarray) -> np.ndarray:
         logs = [
             constant - 0.5 * (((x - mean) @ inverse.T) ** 2).sum(axis=1)
             for mean, inverse, constant in zip(self.means, self.inverses, self.constants, strict=True)
         ]
-        return 1 / (1 + np.exp(-np.clip((logs[1] - logs[0]) / self.temperature, -700, 700)))
+        return logs[1] - logs[0]
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        if not self.means:
+            return np.full(len(x), 0.5)
+        odds = self.log_odds(x)
+        if self.slope is not None:
+            odds = self.slope * np.arcsinh(odds) + self.shift
+        return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
+
+
+def _model(sums: np.ndarray, pooled: float, sphere: float) -> QualityModel:
+    """The model of the two classes' counts, sums and cross products."""
+    d = len(STATISTICS)
+    n = sums[:, 0]
+    if n.min() < 2:
+        return QualityModel()
+    means = sums[:, 1 : d + 1] / n[:, None]
+    own = [sums[k, d + 1 :].reshape(d, d) / n[k] - np.outer(means[k], means[k]) for k in (0, 1)]
+    both = (n[0] * own[0] + n[1] * own[1]) / n.sum()
+    scale = np.sqrt(np.maximum(np.diag(both), 1e-9))
+    inverses, constants = [], []
+    for k in (0, 1):
+        z = ((1 - pooled) * own[k] + pooled * both) / np.outer(scale, scale)
+        z = (1 - sphere) * z + sphere * np.eye(d) * max(np.trace(z) / d, 1e-6)
+        factor = np.linalg.cholesky(z)
+        inverses.append(np.linalg.inv(factor) / scale)
+        constants.append(np.log(n[k] / n.sum()) - np.log(np.diag(factor)).sum())
+    return QualityModel(tuple(means), tuple(inverses), tuple(constants))
 
 
 def fit_quality(
@@ -153,48 +182,103 @@ def fit_quality(
     sphere: float = 0.02,
     id_column: str = "doc_id",
     label: str = "quality",
+    calibrate: bool = False,
 ) -> QualityModel:
     """A model from the rows whose crc32(id as text) mod held_out[0] is not held_out[1].
 
-    `pooled` and `sphere` are the weights of the pooled covariance and of its mean variance."""
+    `pooled` and `sphere` are the weights of the pooled covariance and of its mean variance.
+    `calibrate` fits a curve from log-odds to scores as well (`calibrated`); without it scores are
+    the raw posterior."""
     use = F.col(label).isin(0, 1)
     if held_out:
         use &= fold(F.col(id_column), held_out[0]) != held_out[1]
     marked = labels.where(use).select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("label"))
-    rows = statistics_of.join(marked, "id")
+    # the folds of cross-fitting; one id is in one of them, however often it is there
+    inner = F.pmod(F.xxhash64(F.col("id")), F.lit(_FOLDS)).cast("int").alias("fold")
+    rows = statistics_of.join(marked, "id").select("label", inner, "statistics")
     d = len(STATISTICS)
 
     def add_up(batches):
         sums = {}
         for frame in batches:
-            for value, part in frame.groupby("label"):
+            for key, part in frame.groupby(["label", "fold"]):
                 x = np.stack(part["statistics"].to_numpy())
                 got = np.concatenate([[len(x)], x.sum(axis=0), (x.T @ x).ravel()])
-                sums[value] = sums.get(value, 0) + got
-        for value, total in sums.items():
-            yield pd.DataFrame({"label": value, "place": np.arange(len(total)), "amount": total})
-
-    parts = rows.select("label", "statistics").mapInPandas(add_up, "label int, place int, amount double")
-    # 2 * (1 + d + d * d) rows, whatever the size of the tables
-    totals = parts.groupBy("label", "place").agg(F.sum("amount").alias("amount")).collect()
-    sums = np.zeros((2, 1 + d + d * d))
+                sums[key] = sums.get(key, 0) + got
+        for (value, k), total in sums.items():
+            yield pd.DataFrame({"label": value, "fold": k, "place": np.arange(len(total)), "amount": total})
+
+    parts = rows.mapInPandas(add_up, "label int, fold int, place int, amount double")
+    # 2 * folds * (1 + d + d * d) rows, whatever the size of the tables
+    totals = parts.groupBy("label", "fold", "place").agg(F.sum("amount").alias("amount")).collect()
+    sums = np.zeros((_FOLDS, 2, 1 + d + d * d))
     for row in totals:
-        sums[row["label"], row["place"]] = row["amount"]
-    n = sums[:, 0]
-    if n.min() < 2:
-        return QualityModel()
-    means = sums[:, 1 : d + 1] / n[:, None]
-    own = [sums[k, d + 1 :].reshape(d, d) / n[k] - np.outer(means[k], means[k]) for k in (0, 1)]
-    both = (n[0] * own[0] + n[1] * own[1]) / n.sum()
-    scale = np.sqrt(np.maximum(np.diag(both), 1e-9))
-    inverses, constants = [], []
-    for k in (0, 1):
-        z = ((1 - pooled) * own[k] + pooled * both) / np.outer(scale, scale)
-        z = (1 - sphere) * z + sphere * np.eye(d) * max(np.trace(z) / d, 1e-6)
-        factor = np.linalg.cholesky(z)
-        inverses.append(np.linalg.inv(factor) / scale)
-        constants.append(np.log(n[k] / n.sum()) - np.log(np.diag(factor)).sum())
-    return QualityModel(tuple(means), tuple(inverses), tuple(constants))
+        sums[row["fold"], row["label"], row["place"]] = row["amount"]
+    whole = sums.sum(axis=0)
+    model = _model(whole, pooled, sphere)
+    if not calibrate or not model.means:
+        return model
+    return calibrated(model, rows, [_model(whole - own, pooled, sphere) for own in sums])
+
+
+#: Folds of cross-fitting, and the steps of asinh(log-odds) by which these are counted.
+_FOLDS = 4
+_STEPS = 64
+
+
+def calibrated(model: QualityModel, rows: DataFrame, without: list[QualityModel]) -> QualityModel:
+    """The model with the curve that makes its scores probabilities.
+
+    Log-odds of texts reach thousands where a score of 0.99 is earned, so the curve is logistic in
+    their asinh, which grows with their logarithm and keeps their order. Each row (`label`, `fold`,
+    `statistics`) is judged by the model that was fitted without its fold; Spark counts by label and
+    fixed steps of asinh, some 5,500 rows at most, and the curve is fitted to the counts. As targets it has
+    (n1 + 1) / (n1 + 2) and 1 / (n0 + 2) in place of 1 and 0, so that classes without overlap get a
+    finite slope. If a fold cannot be judged, or the slope isn't positive, the model stays raw."""
+    if not all(m.means for m in without):
+        return model
+
+    def count(batches):
+        found = {}
+        for frame in batches:
+            for (value, k), part in frame.groupby(["label", "fold"]):
+                odds = without[k].log_odds(np.stack(part["statistics"].to_numpy()))
+                steps = np.rint(np.arcsinh(np.clip(odds, -1e9, 1e9)) * _STEPS).astype(int)
+                for step, n in zip(*np.unique(steps, return_counts=True), strict=True):
+                    found[value, step] = found.get((value, step), 0) + int(n)
+        yield pd.DataFrame([(v, s, n) for (v, s), n in found.items()], columns=["label", "step", "n"])
+
+    counts = rows.mapInPandas(count, "label int, step int, n long").groupBy("label", "step").agg(F.sum("n").alias("n"))
+    label, step, n = np.array([tuple(r) for r in counts.orderBy("label", "step").collect()], dtype=float).T
+    size = [n[label == k].sum() for k in (0, 1)]
+    target = np.where(label == 1, (size[1] + 1) / (size[1] + 2), 1 / (size[0] + 2))
+    slope, shift = _logistic(step / _STEPS, target, n)
+    return replace(model, slope=slope, shift=shift) if np.isfinite(slope) and slope > 0 else model
+
+
+def _logistic(x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the logistic curve of least log loss: Newton's steps, halved until they help."""
+
+    def loss(at):
+        z = at[0] * x + at[1]
+        return float((weight * (np.logaddexp(0, z) - target * z)).sum())
+
+    at = np.array([1.0, 0.0])
+    design = np.stack([x, np.ones_like(x)], axis=1)
+    best = loss(at)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(design @ at, -700, 700)))
+        slope = design.T @ (weight * (p - target))
+        curve = (design * (weight * p * (1 - p))[:, None]).T @ design + 1e-9 * weight.sum() * np.eye(2)
+        step = np.linalg.solve(curve, slope)
+        while loss(at - step) > best and np.abs(step).max() > 1e-12:
+            step /= 2
+        at = at - step
+        now = loss(at)
+        if best - now <= 1e-10 * max(1.0, best):
+            break
+        best = now
+    return float(at[0]), float(at[1])
 
 
 def score_quality(statistics_of: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:

@@ -104,7 +104,7 @@ FROM d LEFT JOIN c ON d.k = c.k LEFT JOIN t ON d.k = t.k
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     known = stored(quality.document_statistics(docs), "statistics")
-    model = quality.fit_quality(known, table(spark, sf_dir, "labels"))
+    model = quality.fit_quality(known, table(spark, sf_dir, "labels"), calibrate=True)
     return quality.score_quality(known, model).select(
         F.col("id").alias("doc_id"), (fold(F.col("id"), 4) == 2).alias("held_out"), "score", "predicted"
     )

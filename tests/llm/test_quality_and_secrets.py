@@ -61,6 +61,53 @@ def test_density_difference_by_hand(spark, corpus):
     assert np.allclose(model.scores(x), want, atol=1e-6)
 
 
+def test_scores_are_calibrated(spark, corpus):
+    """One in fifty labels is wrong: no score may be surer than that by much, the order of scores is
+    that of the raw ones, and log loss on held-out rows is less."""
+    docs, labels = corpus
+    df, marks = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    known = Q.document_statistics(df)
+    raw, fitted = Q.fit_quality(known, marks), Q.fit_quality(known, marks, calibrate=True)
+    x = Q.statistics([t for _, t in docs])
+    assert raw.slope is None and fitted.slope > 0
+    assert np.array_equal(np.argsort(raw.log_odds(x)), np.argsort(fitted.log_odds(x)))
+    assert (np.diff(fitted.scores(x)[np.argsort(raw.log_odds(x))]) >= 0).all()
+    held = np.array([zlib.crc32(str(i).encode()) % 4 == 2 for i, _ in docs])
+    y = np.array([q for _, q in labels])[held]
+
+    def loss(model):
+        p = np.clip(model.scores(x[held]), 1e-12, 1 - 1e-12)
+        return -np.mean(np.where(y == 1, np.log(p), np.log(1 - p)))
+
+    assert loss(fitted) < loss(raw)
+    assert ((fitted.scores(x) >= 0.7) == [("#" in t or "$" in t or "!" in t) is False for _, t in docs]).mean() >= 0.97
+
+
+def test_logistic_fit_by_brute_force():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=300) * 3
+    y = (rng.random(300) < 1 / (1 + np.exp(-(0.8 * x - 0.5)))).astype(float)
+    weight = rng.integers(1, 5, 300).astype(float)
+    slope, shift = Q._logistic(x, y, weight)
+
+    def loss(a, b):
+        return (weight * (np.logaddexp(0, a * x + b) - y * (a * x + b))).sum()
+
+    grid = min(loss(a, b) for a in np.linspace(slope - 0.2, slope + 0.2, 81) for b in np.linspace(shift - 0.2, shift + 0.2, 81))
+    assert loss(slope, shift) <= grid + 1e-9
+
+
+def test_calibration_without_enough_rows(spark):
+    """A fold whose rest lacks a class leaves raw scores; so do tables without rows."""
+    docs = spark.createDataFrame([(i, prose(random.Random(i), 30)) for i in range(6)], "doc_id long, text string")
+    known = Q.document_statistics(docs)
+    few = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, quality int")
+    for marks in (few, few.limit(0)):
+        model = Q.fit_quality(known, marks, held_out=None, calibrate=True)
+        assert all(0 <= r.score <= 1 for r in Q.score_quality(known, model).collect())
+    assert model.means == () and model.slope is None
+
+
 def test_odd_rows(spark, corpus):
     rows = [(1, None), (2, ""), (None, "abc"), (3, "w " * 200_000), (3, "w"), (4, "é ß 漢字 \x00")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash")).withColumn("id", F.lit(0))
