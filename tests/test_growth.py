@@ -1,9 +1,12 @@
 """What must not grow faster than the input: tasks, rows moved, relations made again."""
 
+import re
+
 import pytest
 from conftest import brute_paths, random_edges, rows
 
 import followgraph as fg
+from followgraph.operators import closing
 from followgraph.operators.paths import MANY_TASKS, tasks_for
 
 LARGE = fg.Limits(broadcast_rows=0, path_rows=2)
@@ -32,3 +35,20 @@ def test_edges_at_light_nodes_are_neither_merged_nor_split(graph, loops):
     df = fg.two_paths(graph(one), loops=loops, limits=LARGE)
     assert rows(df) == brute_paths(one, loops)
     assert "Aggregate" not in final_plan(df)
+
+
+def test_sizes_of_three_relations_are_taken_at_once(spark, graph, monkeypatch):
+    three = [random_edges(seed) for seed in (5, 6, 7)]
+    merged = [fg.multiplicity(graph(e)) for e in three]
+    m, paths, light, ends = closing._sizes_in_turn(merged, fg.Limits())
+    sets = [set(e) for e in three]
+    for k in range(3):
+        one, two = sets[k], sets[(k + 1) % 3]
+        assert m[k] == len(one)
+        assert paths[k] == sum(b == c for _, b in one for c, _ in two)
+        out = max(sum(a == n for a, _ in one) for n in range(9))
+        into = max(sum(b == n for _, b in two) for n in range(9))
+        assert ends[k] == min(out, into) and light[k]
+    assert closing._sizes_in_turn(merged, fg.Limits(rows=1))[2] == [False] * 3
+    text = final_plan(fg.closed_walks_between(*map(graph, three), strategy="shuffle"))
+    assert "in_slot" not in text and len(re.findall(r"(?<!Reused)Exchange hashpartitioning", text)) <= 7
