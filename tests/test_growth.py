@@ -52,3 +52,24 @@ def test_sizes_of_three_relations_are_taken_at_once(spark, graph, monkeypatch):
     assert closing._sizes_in_turn(merged, fg.Limits(rows=1))[2] == [False] * 3
     text = final_plan(fg.closed_walks_between(*map(graph, three), strategy="shuffle"))
     assert "in_slot" not in text and len(re.findall(r"(?<!Reused)Exchange hashpartitioning", text)) <= 7
+
+
+@pytest.mark.parametrize("how", [{}, {"strategy": "shuffle"}])
+def test_only_paths_that_may_close_are_moved(spark, graph, how):
+    """Of 100,000 paths three have a start that some edge leads to."""
+    e = graph([(1, 2), (2, 3), (3, 1), (3, 1)])
+    paths = spark.range(100_000).selectExpr("IF(id < 3, id + 1, id + 10) AS start_node", "id % 3 + 1 AS mid_node", "(id + 2) % 3 + 1 AS end_node")
+    paths = paths.unionAll(paths.filter("start_node = 1"))
+    closed = fg.close_paths(paths, e, "closed", **how)
+    listed = [tuple(r) for r in paths.collect()]
+    edges = [(1, 2), (2, 3), (3, 1), (3, 1)]
+    assert rows(closed) == sorted(p for p in listed for f, g in edges if (f, g) == (p[2], p[0]))
+    text = final_plan(closed)
+    assert text.index("BroadcastHashJoin") > text.index("Aggregate")  # plans are printed from the end
+
+
+def test_ids_of_saved_walks_are_parsed_once(spark, tmp_path):
+    fg.write_tsv(spark.sql("SELECT 1 AS a, 2 AS b, 3 AS c"), str(tmp_path / "w"))
+    saved = fg.read_walks(spark, str(tmp_path / "w"), ["a", "b", "c"]).filter("a <> c AND b IS NOT NULL")
+    assert rows(saved) == [(1, 2, 3)]
+    assert "split(" not in "".join(re.findall(r"Filter .*", final_plan(saved)))
