@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from followgraph.functions import whole_thirds
 from followgraph.functions.columns import WIDE
+from followgraph.operators.degrees import degrees
 from followgraph.operators.edges import keep_core, valid
 from followgraph.operators.lists import cycles_by_lists
 from followgraph.plans.route import Limits, Route, route
@@ -228,11 +229,30 @@ def _loop_sums(pairs: DataFrame, wide: bool) -> DataFrame:
     )
 
 
+#: Edges from which on it is worth a look at the degrees how many of them can be on a walk.
+MANY_EDGES = 1_000_000
+
+
+def _on_walks(edges: DataFrame, way: Route) -> DataFrame:
+    """The edges without those that cannot be on a walk. Where whole relations may be broadcast, they
+    are dropped before anything is shuffled. In a large graph they are if they are half of all or
+    more: not only they go, but their ends' degrees, too, which the cells of wedges follow."""
+    if way.broadcast:
+        return keep_core(edges, way)
+    if way.edge_rows <= MANY_EDGES or not way.counted:
+        return edges
+    on = (F.col("in_degree") > 0) & (F.col("out_degree") > 0)
+    # edges that leave, and that enter, a node which has both: no more can be on a walk
+    most = degrees(edges).agg(
+        F.least(F.sum(F.when(on, F.col("out_degree")).otherwise(0)), F.sum(F.when(on, F.col("in_degree")).otherwise(0)))
+    ).first()[0]
+    return keep_core(edges, way) if 2 * (most or 0) <= way.edge_rows else edges
+
+
 def _start(edges: DataFrame, strategy: str, limits: Limits, edge_rows: int | None):
-    """The merged pairs and the route. Where whole relations may be broadcast, edges that
-    cannot be on a walk are dropped before anything is shuffled."""
+    """The merged pairs and the route."""
     way = route(edges, strategy, limits, edge_rows)
-    return _pairs(keep_core(edges, way) if way.broadcast else edges), way
+    return _pairs(_on_walks(edges, way)), way
 
 
 #: Small graphs: the same sums as a single statement, which takes a fraction of the time to
@@ -294,8 +314,7 @@ def _count_terms(
     if way.broadcast and not wide and method == "pairs":
         statement = _SMALL_TOTALS + ("" if walks == "strict" else _SMALL_LOOPS) + ")"
         return edges.sparkSession.sql(statement, edges=edges)
-    pairs = _pairs(keep_core(edges, way) if way.broadcast else edges)
-    return _totals(pairs, way, walks, wide, method)
+    return _totals(_pairs(_on_walks(edges, way)), way, walks, wide, method)
 
 
 def _totals(pairs: DataFrame, way: Route, walks: str, wide: bool, method: str) -> DataFrame:

@@ -3,10 +3,10 @@
 import re
 
 import pytest
-from conftest import brute_paths, random_edges, rows
+from conftest import brute_paths, brute_walks, random_edges, rows
 
 import followgraph as fg
-from followgraph.operators import closing
+from followgraph.operators import closing, cycles
 from followgraph.operators.paths import MANY_TASKS, tasks_for
 
 LARGE = fg.Limits(broadcast_rows=0, path_rows=2)
@@ -73,3 +73,22 @@ def test_ids_of_saved_walks_are_parsed_once(spark, tmp_path):
     saved = fg.read_walks(spark, str(tmp_path / "w"), ["a", "b", "c"]).filter("a <> c AND b IS NOT NULL")
     assert rows(saved) == [(1, 2, 3)]
     assert "split(" not in "".join(re.findall(r"Filter .*", final_plan(saved)))
+
+
+@pytest.mark.parametrize("walks", cycles.WALKS)
+@pytest.mark.parametrize("limits", [fg.Limits(broadcast_rows=0), fg.Limits(broadcast_rows=0, rows=5, max_share=50, wedge_rows=1, path_rows=2, copies=2, repeats=2)])
+def test_edges_that_are_on_no_walk_go_first(graph, monkeypatch, walks, limits):
+    monkeypatch.setattr(cycles, "MANY_EDGES", 10)
+    core = random_edges(8) + [(1, 2), (2, 1), (3, 3)]
+    pairs = core + [(n % 9, n) for n in range(100, 300)]
+    e = graph(pairs)
+    taken = []
+    monkeypatch.setattr(cycles, "keep_core", lambda *a, keep=cycles.keep_core: taken.append(1) or keep(*a))
+    assert rows(fg.triangles(e, walks, limits=limits)) == brute_walks(pairs, walks)
+    for method in cycles.METHODS:
+        got = fg.triangle_count(e, walks, method=method, limits=limits).first()[0]
+        assert got == len(brute_walks(pairs, walks)) // 3
+    assert len(taken) == 3
+    # where all are on a cycle of nodes, nothing is looked for
+    fg.triangle_count(graph(core), walks, limits=limits)
+    assert len(taken) == 3
