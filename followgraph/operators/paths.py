@@ -25,15 +25,24 @@ def _with_grid(rows: DataFrame, other: str, size: str, grid: DataFrame, hot: Dat
         )
         grid = grid.withColumn("slot", all_slots(slots_for(size, way.hot_limit)))
         keys.append("slot")
+    if not way.broadcast and way.edge_rows > TASK_ROWS:
+        rows = rows.repartition(_tasks_for_rows(way), *keys)
     return rows.join(way.mark(grid), keys, "left").select(
         *columns, *[F.coalesce(c, long(1)).alias(c) for c in ("in_slots", "out_slots")]
     )
 
 
+#: Rows that one task is to hold in memory, where there are many. Adaptive execution would merge
+#: partitions by their compressed size, which for ids is a small part of what they take there.
+TASK_ROWS = 500_000
 #: Tasks up to which their number follows the number of paths.
 MANY_TASKS = 1_000
 
 
+def _tasks_for_rows(way: Route) -> int:
+    return min(way.limits.tasks, way.edge_rows // TASK_ROWS + 1)
+
+
 def tasks_for(edges: DataFrame, paths: float, limits: Limits) -> int:
     """Tasks that list so many 2-paths.
 
@@ -49,8 +58,9 @@ def tasks_for(edges: DataFrame, paths: float, limits: Limits) -> int:
 
 
 def is_light(most_paths: float, most_rows: int, limits: Limits) -> bool:
-    """Whether no node is in the middle of more paths than one task is to list, nor a key to split."""
-    return most_paths <= limits.task_paths and most_rows <= limits.rows
+    """Whether no node is in the middle of more paths than one task is to list, nor has more edges,
+    copies included, than one merged row may stand for: then there is nothing to merge or split."""
+    return most_paths <= limits.task_paths and most_rows <= limits.copies
 
 
 def meet_at_light(first: DataFrame, second: DataFrame, tasks: int) -> DataFrame:
@@ -150,8 +160,8 @@ def two_paths(
     to as many tasks as the number of paths asks for, which is known from the degrees before
     anything is joined. In a graph small enough to be broadcast in which no node passes
     ``path_rows`` on both sides there is nothing to split, and edges are joined as they are. So
-    they are, under ``auto``, in a larger one where no node makes more than ``task_paths`` paths,
-    copies included, or has more than ``rows`` edges.
+    they are, under ``auto``, in a larger one where no node makes more than ``task_paths`` paths
+    or has more than ``copies`` edges, copies included.
     """
     through = F.col("in_degree").cast("double") * F.col("out_degree")
     # from the edges as they are: next to nothing of them is left before the shuffle
@@ -212,7 +222,7 @@ def two_paths_between(
     node, it is sent to all tasks and the first is streamed past it, whatever its size, without
     being counted, merged or shuffled. Otherwise both relations meet in cells of the middle
     node, sized by the first relation's edges in and the second's out. If no middle node has, copies
-    included, more than ``limits.rows`` of either or ``limits.task_paths`` paths, edges meet as they are.
+    included, more than ``limits.copies`` of either or ``limits.task_paths`` paths, edges meet as they are.
     """
     first, second = valid(first), valid(second)
     if strategy != "shuffle":
@@ -231,9 +241,12 @@ def two_paths_between(
     if is_light(most_paths, most, limits):
         found = meet_at_light(first, second, tasks_for(first, paths, limits))
         return found if loops else found.filter("start_node <> end_node")
-    one, other = multiplicity(first), multiplicity(second)
     # only edges with a middle node in common take part; they never are more than twice n
     way = route(first, "shuffle", limits, counted=2 * n)
+    if way.edge_rows > TASK_ROWS and most <= way.hot_limit:
+        # no edge is there more often than a node has edges: they can be sent before copies are merged
+        first, second = (e.repartition(_tasks_for_rows(way), "follower", "followee") for e in (first, second))
+    one, other = multiplicity(first), multiplicity(second)
     sizes = sizes_between(one, other, "multiplicity")
     found = meet_in_cells(steps_in(one, limits), steps_out(other, limits), sizes, way, tasks_for(first, paths, limits))
     return _repeated(found, loops)

@@ -6,7 +6,7 @@ import pytest
 from conftest import brute_paths, brute_walks, random_edges, rows
 
 import followgraph as fg
-from followgraph.operators import closing, cycles
+from followgraph.operators import closing, cycles, paths
 from followgraph.operators.paths import MANY_TASKS, tasks_for
 
 LARGE = fg.Limits(broadcast_rows=0, path_rows=2)
@@ -37,19 +37,34 @@ def test_edges_at_light_nodes_are_neither_merged_nor_split(graph, loops):
     assert "Aggregate" not in final_plan(df)
 
 
+@pytest.mark.parametrize("few", [20, 60])
+def test_memory_of_a_task_is_bounded_where_nodes_are_split(graph, monkeypatch, few):
+    """Partitions of a stated number are not merged: cells alone, or also the rows that meet grids."""
+    one, two = random_edges(13), random_edges(14)
+    limits = fg.Limits(broadcast_rows=0, rows=few, max_share=1_000, path_rows=3, task_paths=50, copies=2)
+    want = sorted((a, b, d) for a, b in one for c, d in two if b == c)
+    stated = []
+    for size in (500_000, 10):
+        monkeypatch.setattr(paths, "TASK_ROWS", size)
+        df = fg.two_paths_between(graph(one), graph(two), limits=limits)
+        assert rows(df) == want
+        stated.append(len(re.findall("REPARTITION_BY_NUM", final_plan(df))))
+    assert stated[1] > stated[0]
+
+
 def test_sizes_of_three_relations_are_taken_at_once(spark, graph, monkeypatch):
     three = [random_edges(seed) for seed in (5, 6, 7)]
     merged = [fg.multiplicity(graph(e)) for e in three]
-    m, paths, light, ends = closing._sizes_in_turn(merged, fg.Limits())
+    m, through, light, ends = closing._sizes_in_turn(merged, fg.Limits())
     sets = [set(e) for e in three]
     for k in range(3):
         one, two = sets[k], sets[(k + 1) % 3]
         assert m[k] == len(one)
-        assert paths[k] == sum(b == c for _, b in one for c, _ in two)
+        assert through[k] == sum(b == c for _, b in one for c, _ in two)
         out = max(sum(a == n for a, _ in one) for n in range(9))
         into = max(sum(b == n for _, b in two) for n in range(9))
         assert ends[k] == min(out, into) and light[k]
-    assert closing._sizes_in_turn(merged, fg.Limits(rows=1))[2] == [False] * 3
+    assert closing._sizes_in_turn(merged, fg.Limits(copies=1))[2] == [False] * 3
     text = final_plan(fg.closed_walks_between(*map(graph, three), strategy="shuffle"))
     assert "in_slot" not in text and len(re.findall(r"(?<!Reused)Exchange hashpartitioning", text)) <= 7
 
