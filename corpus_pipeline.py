@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from followgraph.llm import bpe, decontamination, minhash_dedup, quality, secret_scan
-from followgraph.llm.common import drop_matching, keep_matching, stored
+from followgraph.llm.common import discard, drop_matching, keep_matching, stored
 from followgraph.llm.queries import table, tokenizer_path
 
 
@@ -26,16 +26,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Drops what the quality classifier scores below its threshold.
 
     The model is fitted on this stage's documents and their rows in `labels`, less those
-    that are held out. Texts are measured once: documents are written with their statistics,
-    which the model is fitted on and then scores."""
-    own = "__statistics"
-    while own in docs.columns:
-        own += "_"
-    measured = stored(docs.withColumn(own, quality.statistics_column(F.col("text"))), "measured")
-    known = measured.select(F.col("doc_id").alias("id"), F.col(own).alias("statistics"))
+    that are held out. Texts are measured twice, for the model and for their scores: kept between,
+    the documents would lie beside their own copy until the last stage has ended."""
+    known = stored(quality.document_statistics(docs), "statistics")
     model = quality.fit_quality(known, table(spark, sf_dir, "labels"), calibrate=True)
-    good = quality.score_of(model, F.col(own)) >= quality.THRESHOLD
-    return measured.where(good).drop(own)
+    discard(known)
+    return docs.where(quality.score_column(model, F.col("text")) >= quality.THRESHOLD)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

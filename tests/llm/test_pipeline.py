@@ -11,7 +11,7 @@ import __spark_entry__ as entry_file
 import corpus_pipeline as C
 from followgraph.llm import queries as llm
 from followgraph.llm import secret_scan
-from followgraph.llm.common import stored
+from followgraph.llm.common import discard, stored
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -40,6 +40,17 @@ def test_quality_stage(spark, kept):
     assert all(after[i] == before[i] for i in after)
 
 
+def test_quality_stage_keeps_no_copy_of_the_texts(spark, monkeypatch):
+    """What it stores lies on disk until the last stage has ended: numbers only, and these go too."""
+    made, gone = [], []
+    monkeypatch.setattr(C, "stored", lambda df, name: made.append(stored(df, name)) or made[-1])
+    monkeypatch.setattr(C, "discard", lambda *tables: gone.extend(tables) or discard(*tables), raising=False)
+    docs = C.table(spark, SF, "documents")
+    good = C.keep_quality(spark, docs, SF)
+    assert made and all("text" not in df.columns for df in made) and gone == made
+    assert good.columns == docs.columns and 0 < good.count() < docs.count()
+
+
 def test_near_duplicate_stage(kept):
     before, after = kept[1], kept[2]
     roots = {i: root for i, _, root in brute_copies([(i, r.text) for i, r in before.items()], 80)}
