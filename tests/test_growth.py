@@ -1,10 +1,12 @@
 """What must not grow faster than the input: tasks, rows moved, relations made again."""
 
 import re
+from pathlib import Path
 
 import pytest
 from conftest import brute_paths, brute_walks, random_edges, rows
 
+import __spark_entry__ as entry
 import followgraph as fg
 from followgraph.operators import closing, cycles, paths
 from followgraph.operators.paths import MANY_TASKS, tasks_for
@@ -90,6 +92,45 @@ def test_ids_of_saved_walks_are_parsed_once(spark, tmp_path):
     assert "split(" not in "".join(re.findall(r"Filter .*", final_plan(saved)))
 
 
+def test_a_line_is_split_once_for_all_its_ids(spark, tmp_path):
+    fg.write_tsv(spark.sql("SELECT 1 AS a, 2 AS b, 3 AS c"), str(tmp_path / "w"))
+    saved = fg.read_walks(spark, str(tmp_path / "w"), ["a", "b", "c"])
+    assert rows(saved) == [(1, 2, 3)]
+    assert len(re.findall(r"\bsplit\(", final_plan(saved))) == 1
+
+
+@pytest.mark.parametrize("strategy", ["auto", "shuffle"])
+def test_paths_are_moved_once_unless_ends_are_crowded(spark, graph, strategy):
+    """Where no two ends have more paths than a task is to hold, paths go straight to the edges; a path
+    that is there very often is merged first, and ends that are shared by many get slots."""
+    edges = [(n, n % 7) for n in range(40)]
+    few = [(n % 7, n, n) for n in range(40)] + [(1, 5, 9)] * 3 + [(0, 3, 0), (None, 1, 2)]
+    for paths, slots in (few, False), (few + [(0, 1, 7)] * 100, True), (few + [(0, n, 7) for n in range(100)], True):
+        given = spark.createDataFrame(paths, "start_node long, mid_node long, end_node long")
+        limits = fg.Limits(broadcast_rows=0, rows=50)
+        closed = fg.close_paths(given, graph(edges), "closed", strategy=strategy, limits=limits)
+        assert rows(closed) == sorted(p for p in paths if (p[2], p[0]) in edges)
+        assert ("slot" in final_plan(closed)) == slots
+
+
+def test_saved_paths_are_packed(spark, graph, tmp_path, monkeypatch):
+    """2-paths are many times the edges; shuffle files of the job that saves them don't stay."""
+    e = graph([(a, b) for a in range(60) for b in range(60)])
+    paths = fg.two_paths(e, loops=False)
+    size = lambda name: sum(p.stat().st_size for p in (tmp_path / name).glob("part-*"))
+    fg.write_tsv(paths, str(tmp_path / "plain"))
+    fg.write_tsv(paths, str(tmp_path / "packed"), compression="gzip")
+    assert size("plain") > 3 * size("packed")
+    read = lambda name: fg.read_walks(spark, str(tmp_path / name), ["start_node", "mid_node", "end_node"])
+    assert rows(read("packed")) == rows(read("plain"))
+    saved = []
+    monkeypatch.setattr(entry.fg, "write_tsv", lambda *a, write=fg.write_tsv, **how: saved.append(a[1]) or write(*a, **how))
+    spark.sql("SELECT 1L AS l_partkey, 2L AS l_suppkey UNION ALL SELECT 2L, 3L UNION ALL SELECT 3L, 1L").write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert rows(entry.queries()["close_saved_paths"](spark, str(tmp_path))) == [(1, 2, 3), (2, 3, 1), (3, 1, 2)]
+    files = list(Path(saved[0].removeprefix("file:")).glob("part-*"))
+    assert files and all(p.suffix == ".gz" for p in files)
+
+
 @pytest.mark.parametrize("walks", cycles.WALKS)
 @pytest.mark.parametrize("limits", [fg.Limits(broadcast_rows=0), fg.Limits(broadcast_rows=0, rows=5, max_share=50, wedge_rows=1, path_rows=2, copies=2, repeats=2)])
 def test_edges_that_are_on_no_walk_go_first(graph, monkeypatch, walks, limits):
